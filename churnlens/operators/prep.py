@@ -133,3 +133,26 @@ def apply_prep(df: DataFrame, stats: PrepStats, digits: int | None = None,
     drop-first dummies; other columns are dropped unless listed in ``keep``."""
     out = onehot_drop_first(standardize(impute(df, stats.medians, stats.modes), stats, digits), stats)
     return out.select(*stats.means, *stats.dummy_columns(), *keep)
+
+
+PREPARED_PREFIX = "__p_"
+
+
+def prepared_columns(stats: PrepStats, prefix: str = PREPARED_PREFIX) -> list[str]:
+    return [prefix + c for c in stats.means] + [prefix + d for d in stats.dummy_columns()]
+
+
+def with_prepared(df: DataFrame, stats: PrepStats, prefix: str = PREPARED_PREFIX) -> DataFrame:
+    """``apply_prep`` into new ``prefix``-named columns, keeping the raw ones
+    (so scores can carry the original feature values)."""
+    cols = {}
+    for c, m in stats.means.items():
+        s = stats.stds[c]
+        scale = 1.0 if (s is None or s == 0.0) else s
+        filled = F.coalesce(F.col(c).cast("double"), F.lit(stats.medians[c]))
+        cols[prefix + c] = (filled - F.lit(m)) / F.lit(scale)
+    for c, values in stats.categories.items():
+        filled = F.coalesce(F.col(c), F.lit(stats.modes[c]))
+        for v in values[1:]:
+            cols[prefix + f"{c}_{v}"] = F.coalesce((filled == F.lit(v)).cast("int"), F.lit(0))
+    return df.withColumns(cols)

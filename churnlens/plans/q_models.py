@@ -1 +1,165 @@
-"""(filled in below)"""
+"""Model-backed queries.
+
+Their outputs depend on fitted trees, so they are checked by row count only.
+Fitted runs are cached per (Spark application, data folder, run kind): the
+keys that only need *a* model share one fit.
+
+Check budget: ``cv_random`` runs the 20 seeded draws x 3 folds of the
+original search space with every drawn tree count scaled by
+``CHECK_ITERATION_SCALE`` (the library default, ``run_random``, is 1.0).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from churnlens import config as C
+from churnlens.operators import models as M
+from churnlens.operators import scoring as SC
+from churnlens.plans import training as TR
+from churnlens.plans.medallion import split_from
+from churnlens.plans.registry import register
+from churnlens.sources import tables as TB
+
+CHECK_ITERATION_SCALE = 0.1
+_RUNS: dict = {}
+
+
+def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _RUNS:
+        df = split_from(spark, sf_dir)
+        if kind == "single":
+            run = TR.fit_single(df)
+        elif kind == "single_prepared":
+            run = TR.fit_single_prepared(df)
+        elif kind == "grid":
+            run = TR.run_grid(df)
+        elif kind == "random":
+            run = TR.run_random(df, iteration_scale=CHECK_ITERATION_SCALE)
+        else:
+            raise KeyError(kind)
+        TR.evaluate(run, df)
+        _RUNS[key] = run
+    return _RUNS[key]
+
+
+def _search_table(spark, run: TR.ModelRun, sf_dir: str):
+    """One row per evaluated parameter set; built on a scan of the training
+    rows so the query stays tied to the data it searched."""
+    rows = [(i, str(sorted((k, v) for k, v in r.items() if k != "avg_auc")), r["avg_auc"])
+            for i, r in enumerate(run.search.results)]
+    return spark.createDataFrame(rows, "param_set int, params string, avg_auc double")
+
+
+@register("train_gbt")
+def train_gbt_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    gbt = run.scorer.model.stages[-1]
+    split = split_from(spark, sf_dir)
+    return split.filter(F.col("split") == "train").agg(F.count(F.lit(1)).alias("train_rows")).select(
+        F.lit(gbt.getNumTrees).alias("num_trees"), F.lit(gbt.getOrDefault("maxDepth")).alias("max_depth"),
+        F.lit(gbt.getOrDefault("stepSize")).alias("step_size"), F.lit(gbt.numFeatures).alias("num_features"),
+        F.lit(run.class_weight).alias("class_weight_ratio"), "train_rows")
+
+
+@register("cv_grid")
+def cv_grid_q(spark, sf_dir):
+    return _search_table(spark, _run(spark, sf_dir, "grid"), sf_dir)
+
+
+@register("cv_random")
+def cv_random_q(spark, sf_dir):
+    return _search_table(spark, _run(spark, sf_dir, "random"), sf_dir)
+
+
+@register("best_params")
+def best_params_q(spark, sf_dir):
+    return cv_grid_q(spark, sf_dir).orderBy(F.desc("avg_auc"), "param_set").limit(1)
+
+
+@register("predict")
+def predict_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    return TR.test_predictions(run, split_from(spark, sf_dir)).select(C.TARGET, "prediction", "prob_churn")
+
+
+@register("score_portfolio")
+def score_portfolio_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    gold = split_from(spark, sf_dir).drop("split", "fold")
+    return TR.score_portfolio(run, gold, with_tags=False)
+
+
+@register("score_tags")
+def score_tags_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    gold = split_from(spark, sf_dir).drop("split", "fold")
+    return TR.score_portfolio(run, gold).select("modelo", "scoring_timestamp", "mlflow_run_id")
+
+
+@register("scores_roundtrip")
+def scores_roundtrip_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    gold = split_from(spark, sf_dir).drop("split", "fold")
+    tables = C.Tables()
+    TB.ensure_database(spark, tables.database)
+    name = TB.write_table(TR.score_portfolio(run, gold), tables.qualified(tables.scores_grid),
+                          tables.fmt, "Churn scores of the Spark-ML boosted trees.")
+    return SC.band_counts(TB.read_table(spark, name))
+
+
+def _importance_df(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    gold = split_from(spark, sf_dir).drop("split", "fold")
+    pairs = M.importance_by_source(run.scorer, gold)
+    return spark.createDataFrame(pairs, "feature string, importance double")
+
+
+@register("feature_importance")
+def feature_importance_q(spark, sf_dir):
+    return _importance_df(spark, sf_dir)
+
+
+@register("importance_topk")
+def importance_topk_q(spark, sf_dir):
+    return _importance_df(spark, sf_dir).orderBy(F.desc("importance"), "feature").limit(10)
+
+
+@register("mean_abs_attribution")
+def mean_abs_attribution_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    test = split_from(spark, sf_dir).filter(F.col("split") == "test")
+    return M.mean_abs_attribution(run.scorer, test, run.reference_values())
+
+
+def _impact_metrics(spark, run, sf_dir) -> dict:
+    gold = split_from(spark, sf_dir).drop("split", "fold")
+    row = SC.retention_impact(TR.score_portfolio(run, gold, with_tags=False)).first()
+    return {"roi": row["roi"], "high_risk": row["high_risk"]}
+
+
+@register("run_log")
+def run_log_q(spark, sf_dir):
+    run = _run(spark, sf_dir, "single")
+    name = TR.append_run_log(spark, run, extra_metrics=_impact_metrics(spark, run, sf_dir))
+    return TB.read_table(spark, name).filter(F.col("run_id") == run.run_id).drop("logged_at")
+
+
+@register("model_comparison")
+def model_comparison_q(spark, sf_dir):
+    ids = []
+    for kind in ("single", "single_prepared"):
+        run = _run(spark, sf_dir, kind)
+        name = TR.append_run_log(spark, run, extra_metrics=_impact_metrics(spark, run, sf_dir))
+        ids.append(run.run_id)
+    log = TB.read_table(spark, name).filter(F.col("run_id").isin(*ids))
+    return TR.model_comparison(log)
+
+
+def flagship(spark, sf_dir: str):
+    """Portfolio -> gold -> small class-weighted GBT -> scores -> band counts."""
+    df = split_from(spark, sf_dir)
+    run = TR.fit_single(df, C.GBTParams(max_iter=5, max_depth=3))
+    gold = df.drop("split", "fold")
+    return SC.band_counts(TR.score_portfolio(run, gold, with_tags=False))

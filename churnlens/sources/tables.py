@@ -9,13 +9,29 @@ def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder of ``database.table`` inside its database's location."""
+    database, table = name.split(".", 1)
+    info = {r["info_name"]: r["info_value"]
+            for r in spark.sql(f"DESCRIBE DATABASE `{database}`").collect()}
+    return f"{info['Location'].rstrip('/')}/{table}"
+
+
 def write_table(df: DataFrame, name: str, fmt: str = "parquet", comment: str | None = None,
                 mode: str = "overwrite") -> str:
-    """Write ``df`` as a managed table and attach a comment; returns the name."""
-    df.write.format(fmt).mode(mode).saveAsTable(name)
+    """Write ``df`` as a table at its database location; returns the name.
+
+    The location is given explicitly, so a table whose files outlive the
+    catalog entry (a new session on a session-scoped catalog) is written
+    and re-registered instead of failing on the existing folder."""
+    spark = df.sparkSession
+    writer = df.write.format(fmt).mode(mode)
+    if not spark.catalog.tableExists(name):
+        writer = writer.option("path", table_location(spark, name))
+    writer.saveAsTable(name)
     if comment:
         escaped = comment.replace("'", "\\'")
-        df.sparkSession.sql(
+        spark.sql(
             f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{escaped}')")
     return name
 
