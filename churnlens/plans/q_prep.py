@@ -12,6 +12,7 @@ from churnlens.plans.oracle import q, with_base
 from churnlens.plans.registry import register
 
 NUM, CAT = C.NUM_FEATURES, C.CAT_FEATURES
+GOLD_ALL = C.ALL_FEATURES + [C.TARGET]
 #: Categories of the portfolio's categorical columns, by definition of the
 #: adapter (sorted; the first one is the dropped reference level).
 ORACLE_CATEGORIES = {
@@ -151,3 +152,58 @@ def onehot_drop_first_q(spark, sf_dir):
 def column_transform_q(spark, sf_dir):
     df, stats = _fitted(spark, sf_dir)
     return PR.apply_prep(df, stats, digits=6)
+
+
+# ------------------------------------------------- Spark-ML indexing
+
+def _indexed(spark, sf_dir):
+    """Indexers and encoder fitted on the training split, applied to all rows."""
+    from pyspark.ml import Pipeline
+
+    from churnlens.operators.models import native_stages
+
+    df = _split(spark, sf_dir)
+    stages = native_stages()
+    model = Pipeline(stages=stages).fit(df.filter(F.col("split") == "train"))
+    return model.transform(df.drop("split", "fold"))
+
+
+_RANKS = ",\n".join(
+    f"rank_{i} AS (SELECT {q(c)} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {q(c)}) - 1 AS DOUBLE)"
+    f" AS idx FROM train WHERE {q(c)} IS NOT NULL GROUP BY {q(c)})" for i, c in enumerate(CAT))
+_IDX = ", ".join(
+    f"coalesce(r{i}.idx, (SELECT CAST(count(*) AS DOUBLE) FROM rank_{i})) AS {q(c + '__idx')}"
+    for i, c in enumerate(CAT))
+_JOINS = " ".join(f"LEFT JOIN rank_{i} r{i} ON split.{q(c)} = r{i}.v" for i, c in enumerate(CAT))
+
+
+@register("string_index", with_base(
+    f"SELECT {', '.join('split.' + q(c) for c in GOLD_ALL)}, {_IDX} FROM split {_JOINS}", _RANKS))
+def string_index_q(spark, sf_dir):
+    out = _indexed(spark, sf_dir)
+    return out.select(*GOLD_ALL, *[c + "__idx" for c in CAT])
+
+
+_OHE = ", ".join(
+    f"array_to_string([CASE WHEN coalesce(r{i}.idx, -1) = k THEN 1 ELSE 0 END "
+    f"FOR k IN range((SELECT count(*) FROM rank_{i}))], ',') AS {q(c + '__ohe')}"
+    for i, c in enumerate(CAT))
+
+
+@register("onehot_keep", with_base(
+    f"SELECT {', '.join('split.' + q(c) for c in GOLD_ALL)}, {_OHE} FROM split {_JOINS}", _RANKS))
+def onehot_keep_q(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    out = _indexed(spark, sf_dir)
+    flat = {c + "__ohe": F.array_join(F.transform(vector_to_array(c + "__ohe"),
+                                                  lambda x: x.cast("int")), ",") for c in CAT}
+    return out.select(*GOLD_ALL, *[flat[c + "__ohe"].alias(c + "__ohe") for c in CAT])
+
+
+@register("assemble")
+def assemble_q(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    out = _indexed(spark, sf_dir)
+    return out.select(*GOLD_ALL, vector_to_array("features").alias("features"))
