@@ -21,8 +21,10 @@ classes share every scan.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,32 +40,38 @@ class _Target:
     done: bool = False
 
 
-def _group_expr(group_cols: list[str]):
-    return F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.lit(0)
-
-
-def kth_values(df: DataFrame, value_col: str, targets: dict[tuple, list[int]],
+def kth_values(df: DataFrame, value_col: str, ranks_for: Callable[[int], list[int]],
                group_cols: list[str] = (), bins: int = 2048, final_rows: int = 4096,
-               max_rounds: int = 12) -> dict[tuple, dict[int, object]]:
-    """Exact k-th smallest non-NULL value per group for the requested ranks.
+               max_rounds: int = 12) -> tuple[dict[tuple, dict[int, object]], dict[tuple, int]]:
+    """Exact k-th smallest non-NULL value per group.
 
-    ``targets`` maps a group key tuple (``()`` without groups) to 1-based ranks.
-    Returns ``{group: {rank: value}}``.
+    ``ranks_for(n)`` gives the 1-based ranks wanted in a group of ``n``
+    non-NULL values.  Returns ``({group: {rank: value}}, {group: n})``.
+    The narrow (group, value) projection is persisted for the few passes
+    and released at the end.
     """
     group_cols = list(group_cols)
-    vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    tlist = [_Target(g, r) for g, ranks in targets.items() for r in sorted(set(ranks))]
-    if not tlist:
-        return {}
-    # Round 0: range per group (one small aggregate).
-    stats = vals.groupBy(*group_cols).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    ranges = {tuple(r[c] for c in group_cols): (r["lo"], r["hi"]) for r in stats.collect()}
-    for t in tlist:
-        t.lo, t.hi = ranges.get(t.group, (None, None))
-        if t.lo is None:
-            t.done = True
-        elif t.lo == t.hi:
-            t.value, t.done = t.lo, True
+    vals = (df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds)
+    finally:
+        vals.unpersist()
+
+
+def _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds):
+    # Pass 1: size and range per group (one small aggregate).
+    stats = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
+                                          F.max("_v").alias("hi")).collect()
+    counts = {tuple(r[c] for c in group_cols): r["n"] for r in stats}
+    tlist = []
+    for r in stats:
+        g = tuple(r[c] for c in group_cols)
+        for k in sorted(set(ranks_for(r["n"]))):
+            t = _Target(g, k, r["lo"], r["hi"])
+            if t.lo == t.hi:
+                t.value, t.done = t.lo, True
+            tlist.append(t)
 
     for _ in range(max_rounds):
         live = [t for t in tlist if not t.done]
@@ -105,10 +113,10 @@ def kth_values(df: DataFrame, value_col: str, targets: dict[tuple, list[int]],
             cond = F.col("_v").between(F.lit(t.lo), F.lit(t.hi))
             for c, g in zip(group_cols, t.group):
                 cond = cond & (F.col(c) == F.lit(g))
-            counts = sorted((r["_v"], r["n"]) for r in
+            values = sorted((r["_v"], r["n"]) for r in
                             vals.filter(cond).groupBy("_v").agg(F.count(F.lit(1)).alias("n")).collect())
             cum = t.below
-            for v, n in counts:
+            for v, n in values:
                 cum += n
                 if cum >= t.rank:
                     t.value = v
@@ -118,23 +126,17 @@ def kth_values(df: DataFrame, value_col: str, targets: dict[tuple, list[int]],
     out: dict[tuple, dict[int, object]] = {}
     for t in tlist:
         out.setdefault(t.group, {})[t.rank] = t.value
-    return out
-
-
-def group_counts(df: DataFrame, value_col: str, group_cols: list[str] = ()) -> dict[tuple, int]:
-    """Non-NULL values per group (one small aggregate)."""
-    rows = (df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols)
-            .agg(F.count(F.lit(1)).alias("n")).collect())
-    return {tuple(r[c] for c in group_cols): r["n"] for r in rows}
+    return out, counts
 
 
 def percentile_disc(df: DataFrame, value_col: str, q: float,
                     group_cols: list[str] = ()) -> dict[tuple, object]:
     """Smallest value whose cumulative share reaches ``q`` (SQL PERCENTILE_DISC)."""
-    counts = group_counts(df, value_col, group_cols)
-    ranks = {g: [max(1, math.ceil(q * n))] for g, n in counts.items()}
-    found = kth_values(df, value_col, ranks, group_cols)
-    return {g: found[g][ranks[g][0]] for g in ranks}
+    def rank(n: int) -> list[int]:
+        return [max(1, math.ceil(q * n))]
+
+    found, counts = kth_values(df, value_col, rank, group_cols)
+    return {g: found[g][rank(n)[0]] for g, n in counts.items()}
 
 
 def percentile_cont_many(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float]:
@@ -143,15 +145,15 @@ def percentile_cont_many(df: DataFrame, columns: list[str], q: float = 0.5) -> d
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns
     ])).alias("kv")).select("kv.feature", "kv.v")
-    counts = group_counts(long, "v", ["feature"])
-    ranks, pos = {}, {}
-    for g, n in counts.items():
+
+    def ranks(n: int) -> list[int]:
         p = (n - 1) * q
-        pos[g] = p
-        ranks[g] = [math.floor(p) + 1, math.ceil(p) + 1]
-    found = kth_values(long, "v", ranks, ["feature"])
+        return [math.floor(p) + 1, math.ceil(p) + 1]
+
+    found, counts = kth_values(long, "v", ranks, ["feature"])
     out: dict[str, float] = {c: None for c in columns}
-    for g, p in pos.items():
+    for g, n in counts.items():
+        p = (n - 1) * q
         lo_v, hi_v = found[g][math.floor(p) + 1], found[g][math.ceil(p) + 1]
         out[g[0]] = lo_v + (p - math.floor(p)) * (hi_v - lo_v)
     return out

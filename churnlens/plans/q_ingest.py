@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlens import config as C
 from churnlens.operators import bronze as B
 from churnlens.plans.medallion import bronze_from
 from churnlens.plans.oracle import with_base
@@ -74,4 +73,14 @@ def bronze_q(spark, sf_dir):
     return df.withColumn("stamped", F.col("_ingestion_time").isNotNull()).drop("_ingestion_time")
 
 
-__all__ = ["C"]
+@register("bronze_stream", with_base("""
+SELECT * EXCLUDE (_ingestion_time), _ingestion_time IS NOT NULL AS stamped FROM bronze"""))
+def bronze_stream_q(spark, sf_dir):
+    """Landing files -> streaming ingest (availableNow) -> bronze folder, read back."""
+    from churnlens.streaming.ingest import run_bronze_ingest
+
+    landing = _staged_landing(spark, sf_dir)
+    out = scratch_path(spark, "bronze-stream")
+    run_bronze_ingest(spark, landing, f"{out}/data", f"{out}/checkpoint")
+    df = spark.read.parquet(f"{out}/data")
+    return df.withColumn("stamped", F.col("_ingestion_time").isNotNull()).drop("_ingestion_time")
