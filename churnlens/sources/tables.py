@@ -25,10 +25,7 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", comment: str | N
     catalog entry (a new session on a session-scoped catalog) is written
     and re-registered instead of failing on the existing folder."""
     spark = df.sparkSession
-    writer = df.write.format(fmt).mode(mode)
-    if not spark.catalog.tableExists(name):
-        writer = writer.option("path", table_location(spark, name))
-    writer.saveAsTable(name)
+    df.write.format(fmt).mode(mode).option("path", table_location(spark, name)).saveAsTable(name)
     if comment:
         escaped = comment.replace("'", "\\'")
         spark.sql(
@@ -41,8 +38,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def table_comment(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name} ('comment')").collect()
-    return rows[0]["value"] if rows else None
+    return spark.catalog.getTable(name).description
 
 
 def save_model(model, path: str) -> str:
