@@ -6,9 +6,9 @@
 * The ROC curve first aggregates rows per distinct score (a hot score costs
   one row), then needs a running sum in descending score order.  A plain
   ``sum() over (order by score)`` would move every distinct score into one
-  task; instead the score range is cut into blocks, block totals (at most
-  ``blocks`` rows) give each block's offset, and the running sum inside a
-  block is a window partitioned by block.
+  task; instead the distinct scores are cut into blocks at approximate
+  quantiles, block totals (at most ``blocks`` rows) give each block's offset,
+  and the running sum inside a block is a window partitioned by block.
 * AUC is the trapezoid area under those points and needs no ``lag``: the
   previous point of a score is its own cumulative count minus its own count.
 """
@@ -121,23 +121,33 @@ def score_counts(df: DataFrame, label: str = LABEL, score: str = SCORE) -> DataF
                  F.count_if(F.col(label) != 1).alias("neg")))
 
 
-def roc_points(df: DataFrame, label: str = LABEL, score: str = SCORE, blocks: int = 1024,
-               score_min: float = 0.0, score_max: float = 1.0) -> DataFrame:
+def roc_points(df: DataFrame, label: str = LABEL, score: str = SCORE, blocks: int = 1024
+               ) -> DataFrame:
     """Cumulative tp / fp per distinct threshold (score >= threshold is positive),
     with tpr and fpr; one row per distinct score.
 
-    ``[score_min, score_max]`` is the score domain (probabilities by default)
-    used to cut blocks; scores outside it fall into the end blocks.
+    Blocks are cut at approximate quantiles of the DISTINCT scores, so each
+    block holds about ``D / blocks`` of them however the scores concentrate;
+    the distinct-score table is checkpointed (shared folder) because it is
+    read twice.
     """
-    sc = score_counts(df, label, score)
-    width = (score_max - score_min) / blocks
-    # Block 0 holds the HIGHEST scores, so offsets run in ascending block order.
-    block = (F.lit(blocks - 1) - F.least(F.greatest(
-        F.floor((F.col("threshold") - score_min) / width), F.lit(0)), F.lit(blocks - 1))).cast("int")
-    sc = sc.withColumn("block", block)
+    from pyspark.ml.feature import Bucketizer
+
+    from churnlens.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    sc = score_counts(df, label, score).checkpoint(eager=True)
+    probs = [i / blocks for i in range(1, blocks)]
+    cuts = sorted(set(v for v in sc.approxQuantile("threshold", probs, 1.0 / (4 * blocks))
+                      if v is not None))
+    splits = [float("-inf")] + cuts + [float("inf")]
+    # Bucketizer: ascending block index in score (JVM binary search, no UDF).
+    sc = Bucketizer(splits=splits, inputCol="threshold", outputCol="_b").transform(sc)
+    sc = sc.withColumn("block", F.col("_b").cast("int")).drop("_b")
     totals = sc.groupBy("block").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     # At most `blocks` rows: a single-partition window here is bounded.
-    w_all = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # Blocks of HIGHER scores come first in the cumulative order.
+    w_all = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "block",
         F.coalesce(F.sum("bpos").over(w_all), F.lit(0)).alias("pos_before"),

@@ -94,7 +94,7 @@ def test_auc_matches_spark_evaluator_without_binning(spark):
 
 def test_roc_points_cumulative_and_youden(spark):
     df = _frame(spark, [1, 1, 0, 1, 0, 0], [0.9, 0.8, 0.8, 0.4, 0.3, 0.1])
-    pts = {r["threshold"]: r for r in EV.roc_points(df, blocks=4).collect()}
+    pts = {r["threshold"]: r for r in EV.roc_points(df, blocks=2).collect()}
     assert (pts[0.9]["tp"], pts[0.9]["fp"]) == (1, 0)
     assert (pts[0.8]["tp"], pts[0.8]["fp"]) == (2, 1)
     assert (pts[0.1]["tp"], pts[0.1]["fp"]) == (3, 3)
@@ -133,3 +133,18 @@ def test_metrics_zero_division(spark):
     rep = {r["row"]: r for r in EV.classification_report(df).collect()}
     assert set(rep) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
     assert rep["accuracy"]["f1"] == 1.0 and rep["accuracy"]["precision"] is None
+
+
+def test_roc_blocks_with_concentrated_distinct_scores(spark):
+    """500 distinct scores packed into [0.50, 0.51) and 8 blocks: the running
+    sums must still equal a sorted brute force."""
+    rng = random.Random(13)
+    scores = [0.5 + rng.random() / 100 for _ in range(500)] + [0.9] * 40
+    labels = [rng.randint(0, 1) for _ in scores]
+    pts = EV.roc_points(_frame(spark, labels, scores), blocks=8).collect()
+    by_t = {r["threshold"]: (r["tp"], r["fp"]) for r in pts}
+    for t, (tp, fp) in by_t.items():
+        assert tp == sum(1 for y, s in zip(labels, scores) if s >= t and y == 1)
+        assert fp == sum(1 for y, s in zip(labels, scores) if s >= t and y != 1)
+    auc = EV.roc_auc(EV.roc_points(_frame(spark, labels, scores), blocks=8)).first()["auc"]
+    assert math.isclose(auc, _pairwise_auc(labels, scores), abs_tol=1e-12)
