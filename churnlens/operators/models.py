@@ -41,14 +41,15 @@ def gbt(params: C.GBTParams = C.GBTParams(), label: str = C.TARGET,
 
 
 def native_stages(num: list[str] = C.NUM_FEATURES, cat: list[str] = C.CAT_FEATURES) -> list:
-    """Indexers (unknown / NULL -> extra index), one-hot (last slot dropped),
-    median imputation of numerics (NaN would stop the tree fit), assembler."""
-    indexers = [StringIndexer(inputCol=c, outputCol=c + IDX, handleInvalid="keep") for c in cat]
+    """Indexer (all categoricals in one pass; unknown / NULL -> extra index),
+    one-hot (last slot dropped), median imputation of numerics (NaN would
+    stop the tree fit), assembler."""
+    indexer = StringIndexer(inputCols=cat, outputCols=[c + IDX for c in cat], handleInvalid="keep")
     encoder = OneHotEncoder(inputCols=[c + IDX for c in cat], outputCols=[c + OHE for c in cat])
     imputer = Imputer(inputCols=num, outputCols=[c + IMP for c in num], strategy="median")
     assembler = VectorAssembler(inputCols=[c + IMP for c in num] + [c + OHE for c in cat],
                                 outputCol="features", handleInvalid="keep")
-    return indexers + [encoder, imputer, assembler]
+    return [indexer, encoder, imputer, assembler]
 
 
 def native_pipeline(params: C.GBTParams = C.GBTParams()) -> tuple[Pipeline, GBTClassifier]:

@@ -33,6 +33,11 @@ from churnlens.operators import split as SP
 from churnlens.session import checkpoint_root
 
 
+#: Rows per partition of a model's training input.  Tree fits run a few
+#: Spark jobs per tree level, so tiny partitions only add task overhead.
+ROWS_PER_PARTITION = 500_000
+
+
 @dataclass
 class ModelRun:
     name: str                      # model tag written into the scores
@@ -40,46 +45,57 @@ class ModelRun:
     scorer: M.Scorer
     search: M.SearchResult
     class_weight: float
-    prep: PR.PrepStats             # training statistics (reference values)
+    prep: PR.PrepStats | None      # training statistics (computed on demand)
     params: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
+    train_rows: DataFrame | None = None
 
     def reference_values(self) -> dict:
+        """Training medians / modes (fitted on first use)."""
+        if self.prep is None:
+            self.prep = PR.fit_prep(self.train_rows)
         return {**self.prep.medians, **self.prep.modes}
 
 
-def training_frame(split_df: DataFrame) -> tuple[DataFrame, float]:
-    """Training rows with ``classWeight``; the weight ratio comes from one
-    grouped count (at most one row per class)."""
-    train = split_df.filter(F.col("split") == "train").drop("split")
-    ratio = SP.class_weight_ratio(train)
-    return SP.with_class_weight(train, ratio), ratio
-
-
-def _persisted(df: DataFrame) -> DataFrame:
-    """Keep the search input for the many fits; lost blocks are recomputed
-    from lineage, so an executor loss costs time, not correctness."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, DataFrame]:
+    """Training rows with ``classWeight``, sized for the fits.
+
+    Returns (weighted rows, n_negative / n_positive, the persisted base to
+    release after the fits).  The base is persisted (MEMORY_AND_DISK: lost
+    blocks are recomputed from lineage) before the class counts, so the
+    upstream plan runs once; the counts (one row per class) also give the
+    row count that sizes the partitions."""
+    base = (split_df.filter(F.col("split") == "train").drop("split")
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = SP.class_counts(base)
+    n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
+    if n_pos == 0:
+        base.unpersist()
+        raise ValueError("no positive rows: the class-weight ratio is undefined")
+    ratio = n_neg / n_pos
+    target = max(1, -(-sum(counts.values()) // ROWS_PER_PARTITION))
+    weighted = SP.with_class_weight(base, ratio)
+    if weighted.rdd.getNumPartitions() > target:
+        weighted = weighted.coalesce(target)
+    return weighted, ratio, base
 
 
 def run_grid(split_df: DataFrame, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MAX_ITER,
              step_size=C.GRID_STEP_SIZE, parallelism: int = 2) -> ModelRun:
     checkpoint_root(split_df.sparkSession)   # GBT checkpoints its state there
-    train, ratio = training_frame(split_df)
-    train = _persisted(train)
+    train, ratio, base = training_frame(split_df)
     try:
-        stats = PR.fit_prep(train)
         pipeline, est = M.native_pipeline()
         maps = M.grid_maps(est, max_depth, max_iter, step_size)
         labels = [{"maxDepth": m[est.maxDepth], "maxIter": m[est.maxIter],
                    "stepSize": m[est.stepSize]} for m in maps]
         search = M.cross_validate(pipeline, maps, train, labels, parallelism=parallelism)
     finally:
-        train.unpersist()
+        base.unpersist()
     params = dict(search.best, class_weight_ratio=ratio)
     params.pop("avg_auc", None)
     return ModelRun(C.MODEL_TAG_GRID, uuid.uuid4().hex, M.Scorer(search.model), search, ratio,
-                    stats, params)
+                    None, params, train_rows=_train_rows(split_df))
 
 
 def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS,
@@ -87,18 +103,18 @@ def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS,
                space: dict = C.RANDOM_SPACE) -> ModelRun:
     """``iteration_scale`` multiplies every drawn tree count (1.0 = as drawn)."""
     checkpoint_root(split_df.sparkSession)
-    train, ratio = training_frame(split_df)
-    stats = PR.fit_prep(train)
-    feats = PR.prepared_columns(stats)
-    prepared = _persisted(PR.with_prepared(train, stats).select(*feats, C.TARGET, "classWeight", "fold"))
+    train, ratio, base = training_frame(split_df)
     try:
+        stats = PR.fit_prep(train)
+        feats = PR.prepared_columns(stats)
+        prepared = PR.with_prepared(train, stats).select(*feats, C.TARGET, "classWeight", "fold")
         pipeline, est = M.prepared_pipeline(feats)
         picked = M.random_draws(space, draws)
         maps = [M.draw_to_params(est, d, iteration_scale) for d in picked]
         labels = [dict(d, max_iter_used=m[est.maxIter]) for d, m in zip(picked, maps)]
         search = M.cross_validate(pipeline, maps, prepared, labels, parallelism=parallelism)
     finally:
-        prepared.unpersist()
+        base.unpersist()
     params = dict(search.best, scale_pos_weight=ratio)
     params.pop("avg_auc", None)
     return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(search.model, stats), search,
@@ -108,34 +124,39 @@ def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS,
 def fit_single(split_df: DataFrame, params: C.GBTParams = C.GBTParams()) -> ModelRun:
     """One class-weighted fit of the native pipeline (no search)."""
     checkpoint_root(split_df.sparkSession)
-    train, ratio = training_frame(split_df)
-    train = _persisted(train)
+    train, ratio, base = training_frame(split_df)
     try:
-        stats = PR.fit_prep(train)
         pipeline, _ = M.native_pipeline(params)
         model = pipeline.fit(train)
     finally:
-        train.unpersist()
+        base.unpersist()
     labels = {"maxDepth": params.max_depth, "maxIter": params.max_iter, "stepSize": params.step_size}
     search = M.SearchResult(model, [dict(labels, avg_auc=None)], 0)
-    return ModelRun(C.MODEL_TAG_GRID, uuid.uuid4().hex, M.Scorer(model), search, ratio, stats,
-                    dict(labels, class_weight_ratio=ratio))
+    return ModelRun(C.MODEL_TAG_GRID, uuid.uuid4().hex, M.Scorer(model), search, ratio, None,
+                    dict(labels, class_weight_ratio=ratio), train_rows=_train_rows(split_df))
 
 
 def fit_single_prepared(split_df: DataFrame, params: C.GBTParams = C.GBTParams()) -> ModelRun:
     """One class-weighted fit on the prepared columns (no search)."""
     checkpoint_root(split_df.sparkSession)
-    train, ratio = training_frame(split_df)
-    stats = PR.fit_prep(train)
-    feats = PR.prepared_columns(stats)
-    pipeline, _ = M.prepared_pipeline(feats, params)
-    model = pipeline.fit(PR.with_prepared(train, stats).select(*feats, C.TARGET, "classWeight"))
+    train, ratio, base = training_frame(split_df)
+    try:
+        stats = PR.fit_prep(train)
+        feats = PR.prepared_columns(stats)
+        pipeline, _ = M.prepared_pipeline(feats, params)
+        model = pipeline.fit(PR.with_prepared(train, stats).select(*feats, C.TARGET, "classWeight"))
+    finally:
+        base.unpersist()
     labels = {"maxDepth": params.max_depth, "maxIter": params.max_iter, "stepSize": params.step_size}
     search = M.SearchResult(model, [dict(labels, avg_auc=None)], 0)
     return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(model, stats), search, ratio,
                     stats, dict(labels, scale_pos_weight=ratio))
 
 
+def _train_rows(split_df: DataFrame) -> DataFrame:
+    return split_df.filter(F.col("split") == "train")
+
+
 def test_predictions(run: ModelRun, split_df: DataFrame) -> DataFrame:
     test = split_df.filter(F.col("split") == "test").select(*C.ALL_FEATURES, C.TARGET)
     return run.scorer.score(test)
@@ -212,8 +233,9 @@ def save_run(run: ModelRun, path: str | None = None) -> str:
     spark = SparkSession.getActiveSession()
     path = path or f"{checkpoint_root(spark)}/models/{run.name}-{run.run_id}"
     save_model(run.scorer.model, f"{path}/model")
-    spark.createDataFrame([(run.prep.to_json(),)], "prep string").write.mode("overwrite").json(
-        f"{path}/prep")
+    if run.scorer.prep is not None:
+        spark.createDataFrame([(run.scorer.prep.to_json(),)], "prep string").write.mode(
+            "overwrite").json(f"{path}/prep")
     return path
 
 

@@ -110,3 +110,16 @@ def test_search_draws_are_seeded_and_distinct():
 
 
 from churnlens.operators.scoring import SCORE_COLUMNS as M_SCORE_COLUMNS  # noqa: E402
+
+
+def test_medallion_tables(spark):
+    from churnlens.plans.medallion import bronze_from, run_medallion
+
+    tables = C.Tables(database="churnlens_medallion_test")
+    names = run_medallion(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables)
+    counts = {k: TB.read_table(spark, v).count() for k, v in names.items()}
+    assert counts == {"bronze": 180, "silver": 130, "gold": 130}
+    assert TB.read_table(spark, names["gold"]).columns == C.ALL_FEATURES + [C.TARGET]
+    assert TB.table_comment(spark, names["gold"]) == "Model-ready feature table."
+    again = run_medallion(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables)  # overwrite
+    assert TB.read_table(spark, again["silver"]).count() == 130
