@@ -9,15 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens import config as C
-from churnlens.operators.bronze import bronze
+from churnlens.operators.bronze import rename_headers, stamp_ingestion
 from churnlens.operators.gold import gold_features
 from churnlens.operators.silver import silver, silver_unfiltered
 from churnlens.operators.split import stratified_folds, stratified_split
-from churnlens.sources.portfolio import portfolio
+from churnlens.sources.portfolio import portfolio_tagged
 
 
 def bronze_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze(portfolio(spark, sf_dir))
+    """Bronze rows of the portfolio: both landing parts from one scan of the
+    source tables, renamed and stamped (same rows as ``bronze(portfolio)``)."""
+    return stamp_ingestion(rename_headers(portfolio_tagged(spark, sf_dir)))
 
 
 def unfiltered_from(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,3 +116,14 @@ def test_landing_inventory_empty_folder(spark, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()
     assert landing_inventory(spark, str(empty)).count() == 0
+
+
+def test_single_pass_portfolio_equals_union_of_parts(spark):
+    from churnlens.plans.medallion import bronze_from
+    from churnlens.sources.portfolio import portfolio
+
+    sf = "/root/testdata/sf0.001"
+    a = bronze_from(spark, sf).drop("_ingestion_time")
+    b = bronze(portfolio(spark, sf)).drop("_ingestion_time").select(*a.columns)
+    assert a.count() == b.count() == 180
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
