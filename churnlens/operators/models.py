@@ -121,12 +121,16 @@ class SearchResult:
 
 def cross_validate(pipeline: Pipeline, maps: list, train: DataFrame, labels: list[dict],
                    fold_col: str = "fold", folds: int = C.CV_FOLDS,
-                   parallelism: int = 1) -> SearchResult:
+                   parallelism: int | None = None) -> SearchResult:
     """k-fold search over ``maps`` using the row's hash fold; refits the best.
 
     The fold column comes from ``split.stratified_folds`` (k distinct values
     0..k-1), so folds are reproducible and need no random split.
+    ``parallelism`` (concurrent fits) defaults to min(fits, cluster cores).
     """
+    if parallelism is None:
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        parallelism = max(1, min(len(maps) * folds, cores))
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=auc_evaluator(),
                         foldCol=fold_col, numFolds=folds,
                         parallelism=parallelism, seed=C.RANDOM_STATE)

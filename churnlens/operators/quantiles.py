@@ -42,17 +42,21 @@ class _Target:
 
 def kth_values(df: DataFrame, value_col: str, ranks_for: Callable[[int], list[int]],
                group_cols: list[str] = (), bins: int = 2048, final_rows: int = 4096,
-               max_rounds: int = 12) -> tuple[dict[tuple, dict[int, object]], dict[tuple, int]]:
+               max_rounds: int = 12, persist: bool = True
+               ) -> tuple[dict[tuple, dict[int, object]], dict[tuple, int]]:
     """Exact k-th smallest non-NULL value per group.
 
     ``ranks_for(n)`` gives the 1-based ranks wanted in a group of ``n``
     non-NULL values.  Returns ``({group: {rank: value}}, {group: n})``.
-    The narrow (group, value) projection is persisted for the few passes
-    and released at the end.
+    With ``persist`` the narrow (group, value) projection is kept for the
+    few passes and released at the end; callers whose input is already
+    persisted pass ``persist=False``.
     """
     group_cols = list(group_cols)
-    vals = (df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
+    if not persist:
+        return _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds)
+    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds)
     finally:
@@ -141,7 +145,9 @@ def percentile_disc(df: DataFrame, value_col: str, q: float,
 
 def percentile_cont_many(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float]:
     """Interpolated percentile (SQL PERCENTILE_CONT, numpy's median for 0.5)
-    of several columns, all sharing the same scans (long format)."""
+    of several columns, all sharing the same scans (long format).  When
+    ``df`` is persisted, the long format is re-derived from it on each pass
+    (a map-only explode) instead of persisting ``len(columns)`` times the rows."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns
     ])).alias("kv")).select("kv.feature", "kv.v")
@@ -150,7 +156,7 @@ def percentile_cont_many(df: DataFrame, columns: list[str], q: float = 0.5) -> d
         p = (n - 1) * q
         return [math.floor(p) + 1, math.ceil(p) + 1]
 
-    found, counts = kth_values(long, "v", ranks, ["feature"])
+    found, counts = kth_values(long, "v", ranks, ["feature"], persist=not df.is_cached)
     out: dict[str, float] = {c: None for c in columns}
     for g, n in counts.items():
         p = (n - 1) * q

@@ -81,7 +81,7 @@ def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, DataFrame]:
 
 
 def run_grid(split_df: DataFrame, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MAX_ITER,
-             step_size=C.GRID_STEP_SIZE, parallelism: int = 2) -> ModelRun:
+             step_size=C.GRID_STEP_SIZE, parallelism: int | None = None) -> ModelRun:
     checkpoint_root(split_df.sparkSession)   # GBT checkpoints its state there
     train, ratio, base = training_frame(split_df)
     try:
@@ -99,7 +99,7 @@ def run_grid(split_df: DataFrame, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MA
 
 
 def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS,
-               iteration_scale: float = 1.0, parallelism: int = 4,
+               iteration_scale: float = 1.0, parallelism: int | None = None,
                space: dict = C.RANDOM_SPACE) -> ModelRun:
     """``iteration_scale`` multiplies every drawn tree count (1.0 = as drawn)."""
     checkpoint_root(split_df.sparkSession)
