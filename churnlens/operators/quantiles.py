@@ -113,19 +113,29 @@ def _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds):
                 cum += n
             else:  # rank beyond the group size
                 t.done = True
-        for _, t in fetch:
-            cond = F.col("_v").between(F.lit(t.lo), F.lit(t.hi))
-            for c, g in zip(group_cols, t.group):
-                cond = cond & (F.col(c) == F.lit(g))
-            values = sorted((r["_v"], r["n"]) for r in
-                            vals.filter(cond).groupBy("_v").agg(F.count(F.lit(1)).alias("n")).collect())
-            cum = t.below
-            for v, n in values:
-                cum += n
-                if cum >= t.rank:
-                    t.value = v
-                    break
-            t.done = True
+        if fetch:
+            # All fetches in one job: each row is tagged with the targets
+            # whose (small) final range contains it; at most final_rows
+            # distinct values per target come back.
+            tags = []
+            for i, t in fetch:
+                cond = F.col("_v").between(F.lit(t.lo), F.lit(t.hi))
+                for c, g in zip(group_cols, t.group):
+                    cond = cond & (F.col(c) == F.lit(g))
+                tags.append(F.when(cond, F.lit(i)))
+            rows = (vals.select("_v", F.explode(F.array_compact(F.array(*tags))).alias("t"))
+                    .groupBy("t", "_v").agg(F.count(F.lit(1)).alias("n")).collect())
+            per_fetch: dict[int, list] = {}
+            for r in rows:
+                per_fetch.setdefault(r["t"], []).append((r["_v"], r["n"]))
+            for i, t in fetch:
+                cum = t.below
+                for v, n in sorted(per_fetch.get(i, [])):
+                    cum += n
+                    if cum >= t.rank:
+                        t.value = v
+                        break
+                t.done = True
 
     out: dict[tuple, dict[int, object]] = {}
     for t in tlist:
