@@ -44,6 +44,20 @@ class PrepStats:
         return [f"{c}_{v}" for c, values in self.categories.items() for v in values[1:]]
 
 
+#: One-hot and mode imputation only make sense for low-cardinality columns;
+#: beyond this many distinct values per column the fit stops with an error
+#: instead of collecting an unbounded list to the driver.
+MAX_CATEGORIES = 10_000
+
+
+def _bounded_collect(df: DataFrame, n_columns: int) -> list:
+    limit = MAX_CATEGORIES * max(1, n_columns)
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories per column: not a categorical feature")
+    return rows
+
+
 def numeric_medians(df: DataFrame, columns: list[str] = C.NUM_FEATURES) -> dict[str, float]:
     return percentile_cont_many(df, columns, 0.5)
 
@@ -56,7 +70,8 @@ def category_modes(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> dict[s
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = _bounded_collect(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")),
+                              len(columns))
     best: dict[str, str] = {}
     for r in sorted(counts, key=lambda r: (r["feature"], -r["n"], r["value"])):
         best.setdefault(r["feature"], r["value"])
@@ -87,7 +102,7 @@ def sorted_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull()).distinct()
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in long.collect():
+    for r in _bounded_collect(long, len(columns)):
         out[r["feature"]].append(r["value"])
     return {c: sorted(v) for c, v in out.items()}
 

@@ -60,3 +60,12 @@ def test_with_prepared_matches_apply_prep(spark):
 def test_json_roundtrip():
     stats = PR.PrepStats({"x": 1.5}, {"c": "a"}, {"x": 2.0}, {"x": 3.0}, {"c": ["a", "b"]})
     assert PR.PrepStats.from_json(stats.to_json()) == stats
+
+
+def test_high_cardinality_column_is_refused(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(PR, "MAX_CATEGORIES", 3)
+    df = spark.createDataFrame([(str(i),) for i in range(10)], "cat string")
+    with pytest.raises(ValueError):
+        PR.category_modes(df, ["cat"])
