@@ -21,9 +21,33 @@ def tag_source(df: DataFrame, file_name: str) -> DataFrame:
     return df.withColumn("_source_file", F.lit(file_name))
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def align_types(parts: list[DataFrame]) -> list[DataFrame]:
+    """Make per-file types compatible before the union.
+
+    Files whose inferred types differ only numerically are left to the
+    union's numeric widening (int + double -> double).  Any other
+    disagreement (e.g. one file's column inferred as text because of a
+    malformed value) becomes text in every part, so the union never tries
+    to parse text as a number; the silver ``try_cast`` does that per value.
+    """
+    types: dict[str, set[str]] = {}
+    for df in parts:
+        for name, dtype in df.dtypes:
+            types.setdefault(name, set()).add(dtype)
+    to_text = [c for c, ts in types.items()
+               if len(ts) > 1 and not all(t in _NUMERIC or t.startswith("decimal") for t in ts)]
+    if not to_text:
+        return parts
+    return [df.withColumns({c: F.col(c).cast("string") for c in to_text if c in df.columns})
+            for df in parts]
+
+
 def union_parts(parts: list[DataFrame]) -> DataFrame:
     """Union by column name; no shuffle, the partitions are concatenated."""
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), align_types(parts))
 
 
 def stamp_ingestion(df: DataFrame) -> DataFrame:

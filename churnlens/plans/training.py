@@ -180,14 +180,18 @@ def evaluate(run: ModelRun, split_df: DataFrame) -> dict:
     return run.metrics
 
 
-def score_portfolio(run: ModelRun, gold: DataFrame, with_tags: bool = True) -> DataFrame:
-    """Every gold row scored, banded, tagged and laid out like the scores table."""
-    scored = SC.with_band(run.scorer.score(gold.select(*C.ALL_FEATURES, C.TARGET)))
+def score_portfolio(run: ModelRun, gold: DataFrame, with_tags: bool = True,
+                    extra: tuple[str, ...] = ()) -> DataFrame:
+    """Every gold row scored, banded, tagged and laid out like the scores table.
+
+    ``extra`` passes columns through after the layout, e.g. ``split`` (to tell
+    in-sample rows from hold-out rows) or a customer key kept through silver."""
+    scored = SC.with_band(run.scorer.score(gold.select(*C.ALL_FEATURES, C.TARGET, *extra)))
     if with_tags:
         scored = SC.with_tags(scored, run.name, run.run_id)
     else:
         scored = scored.withColumn("modelo", F.lit(run.name))
-    return SC.scores_layout(scored)
+    return SC.scores_layout(scored, extra)
 
 
 RUN_LOG_SCHEMA = T.StructType([

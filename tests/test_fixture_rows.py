@@ -127,3 +127,31 @@ def test_single_pass_portfolio_equals_union_of_parts(spark):
     b = bronze(portfolio(spark, sf)).drop("_ingestion_time").select(*a.columns)
     assert a.count() == b.count() == 180
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_inferred_schemas_widen_in_the_union(spark, tmp_landing):
+    """With inference the testing file's Age is text ('x'), the training
+    file's is numeric; the union widens and silver's try_cast drops 'x'."""
+    folder = _write_landing(tmp_landing)
+    parts = read_landing(spark, folder, schema=None, infer_schema=True)
+    types = {name: dict(df.dtypes)["Age"] for name, df in parts.items()}
+    assert types[C.TEST_FILE] == "string" and types[C.TRAIN_FILE] != "string"
+    b = bronze(parts)
+    assert b.count() == 9
+    assert silver(b).count() == 3
+    failed = {r["rule"]: r["failed"] for r in Q.expect_metrics(silver_unfiltered(b)).collect()}
+    assert failed == EXPECTED_FAILED
+
+
+def test_keep_customer_id_through_dedup(spark, tmp_landing):
+    """Keeping the id makes customers 2 and 3 (same profile) two rows; the
+    cross-file copy of customer 1 still collapses."""
+    folder = _write_landing(tmp_landing)
+    b = bronze(read_landing(spark, folder))
+    assert silver(b).count() == 3
+    with_ids = silver(b, keep=("CustomerID",))
+    assert sorted(r["CustomerID"] for r in with_ids.collect()) == [1, 2, 3, 4]
+    g = gold_features(with_ids, extra=("CustomerID",))
+    assert g.columns[-1] == "CustomerID" and g.count() == 4
+    by_id = silver(b, keep=("CustomerID",), dedup_keys=["CustomerID"])
+    assert sorted(r["CustomerID"] for r in by_id.collect()) == [1, 2, 3, 4]
