@@ -62,20 +62,27 @@ def numeric_medians(df: DataFrame, columns: list[str] = C.NUM_FEATURES) -> dict[
     return percentile_cont_many(df, columns, 0.5)
 
 
-def category_modes(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> dict[str, str]:
-    """Most frequent non-NULL value per column, smallest value on ties.
-
-    One grouped count over (column, value) pairs -- its size is the number
-    of distinct categories -- then a per-column max over (count, -value)."""
+def category_stats(df: DataFrame, columns: list[str] = C.CAT_FEATURES
+                   ) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """Mode (most frequent non-NULL value, smallest on ties) and sorted
+    distinct values of each column, from ONE grouped count over (column,
+    value) pairs whose size is the number of distinct categories."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
     counts = _bounded_collect(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")),
                               len(columns))
     best: dict[str, str] = {}
+    values: dict[str, list[str]] = {c: [] for c in columns}
     for r in sorted(counts, key=lambda r: (r["feature"], -r["n"], r["value"])):
         best.setdefault(r["feature"], r["value"])
-    return {c: best.get(c) for c in columns}
+        values[r["feature"]].append(r["value"])
+    return {c: best.get(c) for c in columns}, {c: sorted(v) for c, v in values.items()}
+
+
+def category_modes(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> dict[str, str]:
+    """Most frequent non-NULL value per column, smallest value on ties."""
+    return category_stats(df, columns)[0]
 
 
 def impute(df: DataFrame, medians: dict[str, float], modes: dict[str, str]) -> DataFrame:
@@ -115,10 +122,11 @@ def fit_prep(train: DataFrame, num: list[str] = C.NUM_FEATURES,
     cols = train.select(*num, *cat).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         medians = numeric_medians(cols, num)
-        modes = category_modes(cols, cat)
-        imputed = impute(cols, medians, modes)
-        means, stds = numeric_moments(imputed, num)
-        return PrepStats(medians, modes, means, stds, sorted_categories(imputed, cat))
+        # Imputing with the mode adds no new value, so the categories of the
+        # imputed column are the distinct non-NULL values counted here.
+        modes, categories = category_stats(cols, cat)
+        means, stds = numeric_moments(impute(cols, medians, modes), num)
+        return PrepStats(medians, modes, means, stds, categories)
     finally:
         cols.unpersist()
 
