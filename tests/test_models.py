@@ -123,3 +123,21 @@ def test_medallion_tables(spark):
     assert TB.table_comment(spark, names["gold"]) == "Model-ready feature table."
     again = run_medallion(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables)  # overwrite
     assert TB.read_table(spark, again["silver"]).count() == 130
+
+
+def test_whole_job_small_budget(spark):
+    from churnlens.plans.job import run_job
+    from churnlens.plans.medallion import bronze_from
+
+    tables = C.Tables(database="churnlens_job_test")
+    out = run_job(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables,
+                  grid={"max_depth": [2], "max_iter": [3]},
+                  random={"draws": 2, "iteration_scale": 0.01}, concurrent=True)
+    assert set(out["models"]) == {"grid", "random"}
+    for res in out["models"].values():
+        assert TB.read_table(spark, res["scores_table"]).count() == 130
+        assert res["impact"]["total_customers"] == 130
+        assert res["metrics"]["roc_auc"] is not None
+    log = TB.read_table(spark, tables.qualified(tables.run_log))
+    ids = [r["run_id"] for r in out["models"].values()]
+    assert log.filter(F.col("run_id").isin(*ids)).select("run_id").distinct().count() == 2
