@@ -42,16 +42,31 @@ def split_from(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_medallion(spark: SparkSession, bronze_df: DataFrame, tables: C.Tables = C.Tables()
                   ) -> dict[str, str]:
     """Materialise bronze, silver and gold as tables (overwrite), each layer
-    read back from storage by the next one, as a batch update does."""
+    read back from storage by the next one, as a batch update does.
+
+    The rule metrics of the update (failed rows per rule, kept, dropped) are
+    appended to a ``quality_metrics`` table.  The distinct, derived rows are
+    persisted once and feed both the silver write and the metrics aggregate."""
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+
+    from churnlens.operators.quality import expect_drop, expect_metrics
     from churnlens.sources import tables as T
 
     T.ensure_database(spark, tables.database)
     out = {}
     out["bronze"] = T.write_table(bronze_df, tables.qualified(tables.bronze), tables.fmt,
                                   "Raw churn rows (train+test) with standardised column names.")
-    silver_df = silver(spark.table(out["bronze"]))
-    out["silver"] = T.write_table(silver_df, tables.qualified(tables.silver), tables.fmt,
-                                  "Clean, typed, distinct rows with derived business features.")
+    unfiltered = silver_unfiltered(spark.table(out["bronze"])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out["silver"] = T.write_table(expect_drop(unfiltered), tables.qualified(tables.silver),
+                                      tables.fmt,
+                                      "Clean, typed, distinct rows with derived business features.")
+        metrics = expect_metrics(unfiltered).withColumn("updated_at", F.current_timestamp())
+        out["quality"] = T.write_table(metrics, tables.qualified("quality_metrics"), tables.fmt,
+                                       mode="append")
+    finally:
+        unfiltered.unpersist()
     gold_df = gold_features(spark.table(out["silver"]))
     out["gold"] = T.write_table(gold_df, tables.qualified(tables.gold), tables.fmt,
                                 "Model-ready feature table.")

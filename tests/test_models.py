@@ -117,8 +117,12 @@ def test_medallion_tables(spark):
 
     tables = C.Tables(database="churnlens_medallion_test")
     names = run_medallion(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables)
-    counts = {k: TB.read_table(spark, v).count() for k, v in names.items()}
+    counts = {k: TB.read_table(spark, v).count() for k, v in names.items() if k != "quality"}
     assert counts == {"bronze": 180, "silver": 130, "gold": 130}
+    qt = TB.read_table(spark, names["quality"])
+    latest = qt.agg(F.max("updated_at")).first()[0]
+    q = qt.filter(F.col("updated_at") == latest).collect()
+    assert {(r["total"], r["kept"], r["dropped"]) for r in q} == {(150, 130, 20)} and len(q) == 8
     assert TB.read_table(spark, names["gold"]).columns == C.ALL_FEATURES + [C.TARGET]
     assert TB.table_comment(spark, names["gold"]) == "Model-ready feature table."
     again = run_medallion(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables)  # overwrite
