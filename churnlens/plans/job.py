@@ -26,8 +26,11 @@ from churnlens.sources import tables as TB
 
 
 def model_stage(spark: SparkSession, gold: DataFrame, kind: str, tables: C.Tables,
-                search: dict | None = None) -> dict:
-    """One model task: search, evaluate, score table, impact, run log."""
+                search: dict | None = None, log: bool = True) -> dict:
+    """One model task: search, evaluate, score table, impact, run log.
+
+    With ``log=False`` the run-log entry is returned (``_log``) instead of
+    appended, so concurrent stages never write the same table at once."""
     split_df = stratified_folds(stratified_split(gold))
     opts = dict(search or {})
     run = TR.run_grid(split_df, **opts) if kind == "grid" else TR.run_random(split_df, **opts)
@@ -36,11 +39,15 @@ def model_stage(spark: SparkSession, gold: DataFrame, kind: str, tables: C.Table
     name = TB.write_table(TR.score_portfolio(run, gold), tables.qualified(table), tables.fmt,
                           f"Churn scores ({run.name}).")
     impact = SC.retention_impact(TB.read_table(spark, name)).first().asDict()
-    TR.append_run_log(spark, run, tables, extra_metrics={
-        "roi": impact["roi"], "high_risk": impact["high_risk"],
-        "best_cv_auc": run.search.best["avg_auc"]})
-    return {"run_id": run.run_id, "model": run.name, "scores_table": name,
-            "metrics": metrics, "impact": impact, "best": run.search.best}
+    extra = {"roi": impact["roi"], "high_risk": impact["high_risk"],
+             "best_cv_auc": run.search.best["avg_auc"]}
+    result = {"run_id": run.run_id, "model": run.name, "scores_table": name,
+              "metrics": metrics, "impact": impact, "best": run.search.best}
+    if log:
+        TR.append_run_log(spark, run, tables, extra_metrics=extra)
+    else:
+        result["_log"] = (run, extra)
+    return result
 
 
 def run_job(spark: SparkSession, bronze_df: DataFrame, tables: C.Tables = C.Tables(),
@@ -55,8 +62,12 @@ def run_job(spark: SparkSession, bronze_df: DataFrame, tables: C.Tables = C.Tabl
     tasks = {"grid": grid, "random": random}
     if concurrent:
         with ThreadPoolExecutor(max_workers=2) as pool:
-            futures = {k: pool.submit(model_stage, spark, gold, k, tables, v) for k, v in tasks.items()}
+            futures = {k: pool.submit(model_stage, spark, gold, k, tables, v, False)
+                       for k, v in tasks.items()}
             models = {k: f.result() for k, f in futures.items()}
+        for res in models.values():   # one writer at a time on the shared log
+            run, extra = res.pop("_log")
+            TR.append_run_log(spark, run, tables, extra_metrics=extra)
     else:
         models = {k: model_stage(spark, gold, k, tables, v) for k, v in tasks.items()}
     return {"tables": layers, "models": models}
