@@ -58,11 +58,12 @@ def risk_band(probability: str | Column) -> Column:
 
 
 def key_field(c: str, dtype: str) -> Column:
-    """One field of a hash key as text; doubles go through decimal(18,2) so
-    the text does not depend on an engine's double formatting."""
+    """One field of a hash key as text; doubles go through decimal(38,2) so
+    the text does not depend on an engine's double formatting (a value out
+    of that range, or NaN, becomes the NULL marker instead of an error)."""
     value = F.col(c)
     if dtype in ("double", "float"):
-        value = value.cast("decimal(18,2)")
+        value = value.try_cast("decimal(38,2)")
     return F.coalesce(value.cast("string"), F.lit(NULL_MARK))
 
 

@@ -47,7 +47,7 @@ def all_rules_sql() -> str:
 def key_sql(seed: int = C.RANDOM_STATE) -> str:
     parts = [f"'{seed}'"]
     for c, t in KEY_COLS:
-        v = f"CAST({q(c)} AS DECIMAL(18,2))" if t == "double" else q(c)
+        v = f"TRY_CAST({q(c)} AS DECIMAL(38,2))" if t == "double" else q(c)
         parts.append(f"coalesce(CAST({v} AS VARCHAR), '\\N')")
     return "concat_ws('|', " + ", ".join(parts) + ")"
 
