@@ -77,16 +77,34 @@ def per_class(df: DataFrame, label: str = LABEL, prediction: str = PRED) -> Data
         (tp + fn).alias("support"))
 
 
+def _weighted_columns() -> list:
+    """Support-weighted precision / recall / F1 and accuracy as expressions
+    over the confusion cells (class 0: tp=tn, fp=fn, fn=fp)."""
+    tp, fp, fn, tn = F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
+    n = tp + fp + fn + tn
+    s1, s0 = tp + fn, tn + fp
+    p1, r1, f1 = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn), _safe_div(2 * tp, 2 * tp + fp + fn)
+    p0, r0, f0 = _safe_div(tn, tn + fn), _safe_div(tn, tn + fp), _safe_div(2 * tn, 2 * tn + fn + fp)
+    return [
+        _safe_div(r0 * s0 + r1 * s1, n).alias("weighted_recall"),
+        _safe_div(p0 * s0 + p1 * s1, n).alias("weighted_precision"),
+        _safe_div(f0 * s0 + f1 * s1, n).alias("weighted_f1"),
+        _safe_div(r0 * s0 + r1 * s1, n).alias("accuracy"),
+    ]
+
+
 def weighted_metrics(df: DataFrame, label: str = LABEL, prediction: str = PRED) -> DataFrame:
     """Accuracy and support-weighted precision / recall / F1 over both classes."""
-    pc = per_class(df, label, prediction)
-    n = F.sum("support")
-    return pc.agg(
-        _safe_div(F.sum(F.col("recall") * F.col("support")), n).alias("weighted_recall"),
-        _safe_div(F.sum(F.col("precision") * F.col("support")), n).alias("weighted_precision"),
-        _safe_div(F.sum(F.col("f1") * F.col("support")), n).alias("weighted_f1"),
-        _safe_div(F.sum(F.col("recall") * F.col("support")), n).alias("accuracy"),
-    )
+    return confusion_cells(df, label, prediction).select(*_weighted_columns())
+
+
+def all_metrics(df: DataFrame, label: str = LABEL, prediction: str = PRED) -> DataFrame:
+    """Positive-class and weighted metrics in one row, from one aggregate."""
+    tp, fp, fn, tn = F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
+    return confusion_cells(df, label, prediction).select(
+        _safe_div(tp + tn, tp + tn + fp + fn).alias("accuracy_all"),
+        _safe_div(tp, tp + fp).alias("precision"), _safe_div(tp, tp + fn).alias("recall"),
+        _safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"), *_weighted_columns())
 
 
 def classification_report(df: DataFrame, label: str = LABEL, prediction: str = PRED,

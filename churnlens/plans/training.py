@@ -169,14 +169,13 @@ def evaluate(run: ModelRun, split_df: DataFrame) -> dict:
     pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         auc = EV.roc_auc(EV.roc_points(pred)).first()["auc"]
-        b = EV.binary_metrics(pred).first().asDict()
-        w = EV.weighted_metrics(pred).first().asDict()
+        m = EV.all_metrics(pred).first().asDict()
     finally:
         pred.unpersist()
-    run.metrics = {"roc_auc": auc, "accuracy": b["accuracy"], "precision": b["precision"],
-                   "recall": b["recall"], "f1_score": b["f1"],
-                   "weighted_precision": w["weighted_precision"],
-                   "weighted_recall": w["weighted_recall"], "weighted_f1": w["weighted_f1"]}
+    run.metrics = {"roc_auc": auc, "accuracy": m["accuracy_all"], "precision": m["precision"],
+                   "recall": m["recall"], "f1_score": m["f1"],
+                   "weighted_precision": m["weighted_precision"],
+                   "weighted_recall": m["weighted_recall"], "weighted_f1": m["weighted_f1"]}
     return run.metrics
 
 
