@@ -141,7 +141,7 @@ keyed AS (
 split AS (
   SELECT * EXCLUDE (h, h2),
     CASE WHEN h < {fraction_cut(1 - C.TEST_FRACTION)} THEN 'train' ELSE 'test' END AS split,
-    h2 % {C.CV_FOLDS} AS fold
+    CAST(h2 % {C.CV_FOLDS} AS INTEGER) AS fold
   FROM keyed),
 train AS (SELECT * FROM split WHERE split = 'train'),
 test AS (SELECT * FROM split WHERE split = 'test'),
