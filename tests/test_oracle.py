@@ -22,10 +22,19 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    want = duck.execute(ORACLES[name]).df()
+    sdf = E.queries()[name](spark, SF)
+    rel = duck.sql(ORACLES[name])
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    want = rel.df()
     gn, gr = rows_of(got)
     wn, wr = rows_of(want)
     assert gn == wn
