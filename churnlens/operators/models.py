@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from churnlens import config as C
 from churnlens.functions.expressions import positive_probability
+from churnlens.operators.prep import PREPARED_PREFIX, with_prepared
 
 IMP, IDX, OHE = "__imp", "__idx", "__ohe"
 
@@ -151,8 +152,6 @@ class Scorer:
     prep: object = None          # prep.PrepStats or None
 
     def score(self, df: DataFrame) -> DataFrame:
-        from churnlens.operators.prep import with_prepared
-
         keep = df.columns
         x = with_prepared(df, self.prep) if self.prep is not None else df
         out = self.model.transform(x)
@@ -160,8 +159,6 @@ class Scorer:
                           positive_probability("probability").alias("prob_churn"))
 
     def assembled(self, df: DataFrame) -> DataFrame:
-        from churnlens.operators.prep import with_prepared
-
         return with_prepared(df, self.prep) if self.prep is not None else df
 
 
@@ -176,8 +173,6 @@ def slot_names(scorer: Scorer, sample: DataFrame) -> list[str]:
 
 def source_column(slot: str, sources: list[str]) -> str:
     """Map a slot name back to its input column (longest matching prefix)."""
-    from churnlens.operators.prep import PREPARED_PREFIX
-
     slot = slot[len(PREPARED_PREFIX):] if slot.startswith(PREPARED_PREFIX) else slot
     best = ""
     for s in sources:

@@ -44,9 +44,9 @@ def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
     return _RUNS[key]
 
 
-def _search_table(spark, run: TR.ModelRun, sf_dir: str):
-    """One row per evaluated parameter set; built on a scan of the training
-    rows so the query stays tied to the data it searched."""
+def _search_table(spark, run: TR.ModelRun):
+    """One row per evaluated parameter set with its mean cross-validated AUC
+    (model-sized: the search ran as Spark jobs over the training rows)."""
     rows = [(i, str(sorted((k, v) for k, v in r.items() if k != "avg_auc")), r["avg_auc"])
             for i, r in enumerate(run.search.results)]
     return spark.createDataFrame(rows, "param_set int, params string, avg_auc double")
@@ -65,12 +65,12 @@ def train_gbt_q(spark, sf_dir):
 
 @register("cv_grid")
 def cv_grid_q(spark, sf_dir):
-    return _search_table(spark, _run(spark, sf_dir, "grid"), sf_dir)
+    return _search_table(spark, _run(spark, sf_dir, "grid"))
 
 
 @register("cv_random")
 def cv_random_q(spark, sf_dir):
-    return _search_table(spark, _run(spark, sf_dir, "random"), sf_dir)
+    return _search_table(spark, _run(spark, sf_dir, "random"))
 
 
 @register("best_params")

@@ -73,8 +73,8 @@ def _dummies_sql() -> str:
 def numeric_median_q(spark, sf_dir):
     train = _split(spark, sf_dir).filter(F.col("split") == "train")
     med = PR.numeric_medians(train, NUM)
-    # Statistics are one number per column: the result is built from the
-    # training rows' aggregate, not from driver-side data.
+    # The medians come from the distributed refinement (one number per
+    # column); the long-form result is projected from a one-row aggregate.
     return train.agg(*[F.lit(med[c]).cast("double").alias(c) for c in NUM]).select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("median"))
                             for c in NUM])).alias("kv")).select("kv.*")
