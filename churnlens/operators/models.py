@@ -151,12 +151,16 @@ class Scorer:
     model: PipelineModel
     prep: object = None          # prep.PrepStats or None
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, threshold: float | None = None) -> DataFrame:
+        """``threshold`` (e.g. the Youden cut-off of ``evaluate.youden_threshold``)
+        replaces the model's own decision: prediction = prob_churn >= threshold."""
         keep = df.columns
         x = with_prepared(df, self.prep) if self.prep is not None else df
-        out = self.model.transform(x)
-        return out.select(*keep, F.col("prediction").cast("int").alias("prediction"),
-                          positive_probability("probability").alias("prob_churn"))
+        out = self.model.transform(x).withColumn(
+            "prob_churn", positive_probability("probability"))
+        pred = (F.col("prediction") if threshold is None
+                else (F.col("prob_churn") >= F.lit(float(threshold))))
+        return out.select(*keep, pred.cast("int").alias("prediction"), "prob_churn")
 
     def assembled(self, df: DataFrame) -> DataFrame:
         return with_prepared(df, self.prep) if self.prep is not None else df

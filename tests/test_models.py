@@ -145,3 +145,16 @@ def test_whole_job_small_budget(spark):
     log = TB.read_table(spark, tables.qualified(tables.run_log))
     ids = [r["run_id"] for r in out["models"].values()]
     assert log.filter(F.col("run_id").isin(*ids)).select("run_id").distinct().count() == 2
+
+
+def test_youden_cut_off_as_decision_threshold(native_run, split_df):
+    from churnlens.operators import evaluate as EV
+
+    test = split_df.filter(F.col("split") == "test").select(*C.ALL_FEATURES, C.TARGET)
+    scored = native_run.scorer.score(test)
+    pts = EV.roc_points(scored.select(F.col(C.TARGET).alias("label"), F.col("prob_churn").alias("score")))
+    cut = EV.youden_threshold(pts).first()["threshold"]
+    at_cut = native_run.scorer.score(test, threshold=cut)
+    assert at_cut.filter((F.col("prob_churn") >= cut) != (F.col("prediction") == 1)).count() == 0
+    default = scored.filter((F.col("prob_churn") > 0.5) & (F.col("prediction") == 0)).count()
+    assert default == 0
