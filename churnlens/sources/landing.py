@@ -44,6 +44,18 @@ def landing_inventory(spark: SparkSession, path: str, pattern: str = "*") -> Dat
     )
 
 
+def check_landing(spark: SparkSession, path: str, pattern: str = "*") -> list[tuple[str, int]]:
+    """File names and sizes in the landing folder (one row per file, so the
+    list is as small as the folder listing); warns when the folder is empty."""
+    import warnings
+
+    files = [(r["name"], r["size"]) for r in landing_inventory(spark, path, pattern).collect()]
+    if not files:
+        warnings.warn(f"landing folder {path} is empty: upload the CSV files before ingesting",
+                      stacklevel=2)
+    return files
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA,
              infer_schema: bool = False) -> DataFrame:
     """Read one CSV file (or folder) with a header row.

@@ -155,3 +155,14 @@ def test_keep_customer_id_through_dedup(spark, tmp_landing):
     assert g.columns[-1] == "CustomerID" and g.count() == 4
     by_id = silver(b, keep=("CustomerID",), dedup_keys=["CustomerID"])
     assert sorted(r["CustomerID"] for r in by_id.collect()) == [1, 2, 3, 4]
+
+
+def test_check_landing_warns_on_empty(spark, tmp_path):
+    from churnlens.sources.landing import check_landing
+
+    empty = tmp_path / "nothing"
+    empty.mkdir()
+    with pytest.warns(UserWarning):
+        assert check_landing(spark, str(empty)) == []
+    folder = _write_landing(str(tmp_path))
+    assert {n for n, _ in check_landing(spark, folder, "*.csv")} == {C.TRAIN_FILE, C.TEST_FILE}
