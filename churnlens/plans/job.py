@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens import config as C
@@ -31,10 +32,13 @@ def model_stage(spark: SparkSession, gold: DataFrame, kind: str, tables: C.Table
 
     With ``log=False`` the run-log entry is returned (``_log``) instead of
     appended, so concurrent stages never write the same table at once."""
-    split_df = stratified_folds(stratified_split(gold))
+    split_df = stratified_folds(stratified_split(gold)).persist(StorageLevel.MEMORY_AND_DISK)
     opts = dict(search or {})
-    run = TR.run_grid(split_df, **opts) if kind == "grid" else TR.run_random(split_df, **opts)
-    metrics = TR.evaluate(run, split_df)
+    try:
+        run = TR.run_grid(split_df, **opts) if kind == "grid" else TR.run_random(split_df, **opts)
+        metrics = TR.evaluate(run, split_df)
+    finally:
+        split_df.unpersist()
     table = tables.scores_grid if kind == "grid" else tables.scores_random
     name = TB.write_table(TR.score_portfolio(run, gold), tables.qualified(table), tables.fmt,
                           f"Churn scores ({run.name}).")

@@ -63,10 +63,12 @@ def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, DataFrame]:
     Returns (weighted rows, n_negative / n_positive, the persisted base to
     release after the fits).  The base is persisted (MEMORY_AND_DISK: lost
     blocks are recomputed from lineage) before the class counts, so the
-    upstream plan runs once; the counts (one row per class) also give the
-    row count that sizes the partitions."""
-    base = (split_df.filter(F.col("split") == "train").drop("split")
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    upstream plan runs once (unless the caller already persisted
+    ``split_df``); the counts (one row per class) also give the row count
+    that sizes the partitions."""
+    base = split_df.filter(F.col("split") == "train").drop("split")
+    if not split_df.is_cached:   # a cached input is already cheap to filter
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     counts = SP.class_counts(base)
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     if n_pos == 0:
