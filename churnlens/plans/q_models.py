@@ -11,6 +11,7 @@ original search space with every drawn tree count scaled by
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from churnlens import config as C
@@ -28,18 +29,17 @@ _RUNS: dict = {}
 def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _RUNS:
-        df = split_from(spark, sf_dir)
-        if kind == "single":
-            run = TR.fit_single(df)
-        elif kind == "single_prepared":
-            run = TR.fit_single_prepared(df)
-        elif kind == "grid":
-            run = TR.run_grid(df)
-        elif kind == "random":
-            run = TR.run_random(df, iteration_scale=CHECK_ITERATION_SCALE)
-        else:
-            raise KeyError(kind)
-        TR.evaluate(run, df)
+        fits = {"single": TR.fit_single, "single_prepared": TR.fit_single_prepared,
+                "grid": TR.run_grid,
+                "random": lambda d: TR.run_random(d, iteration_scale=CHECK_ITERATION_SCALE)}
+        # Training and hold-out evaluation share the split frame: persisted
+        # for the run, released after it.
+        df = split_from(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            run = fits[kind](df)
+            TR.evaluate(run, df)
+        finally:
+            df.unpersist()
         _RUNS[key] = run
     return _RUNS[key]
 
