@@ -7,6 +7,12 @@ and ``events``.  Orders and events are pre-aggregated per customer before the
 joins, so each join sees at most one row per key on its right side and a
 customer holding a third of all orders is reduced by the map-side partial
 aggregate before any shuffle.
+
+The modulo expressions on the customer key are part of the fixture's
+definition, not sampling: they choose the landing file of each customer
+(residue 0 -> testing file, 1 -> both files, 2-4 -> training file, so every
+customer lands somewhere) and plant the data defects the quality rules must
+catch (missing ages, invalid labels, missing last interaction).
 """
 
 from __future__ import annotations
