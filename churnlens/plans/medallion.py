@@ -45,12 +45,14 @@ def run_medallion(spark: SparkSession, bronze_df: DataFrame, tables: C.Tables =
     read back from storage by the next one, as a batch update does.
 
     The rule metrics of the update (failed rows per rule, kept, dropped) are
-    appended to a ``quality_metrics`` table.  The distinct, derived rows are
-    persisted once and feed both the silver write and the metrics aggregate."""
+    appended to a ``quality_metrics`` table and the dropped rows, with the
+    rules they fail, overwrite ``silver_quarantine``.  The distinct, derived
+    rows are persisted once and feed the silver write, the metrics aggregate
+    and the quarantine."""
     from pyspark import StorageLevel
     from pyspark.sql import functions as F
 
-    from churnlens.operators.quality import expect_drop, expect_metrics
+    from churnlens.operators.quality import expect_drop, expect_metrics, expect_violations
     from churnlens.sources import tables as T
 
     T.ensure_database(spark, tables.database)
@@ -65,6 +67,9 @@ def run_medallion(spark: SparkSession, bronze_df: DataFrame, tables: C.Tables =
         metrics = expect_metrics(unfiltered).withColumn("updated_at", F.current_timestamp())
         out["quality"] = T.write_table(metrics, tables.qualified("quality_metrics"), tables.fmt,
                                        mode="append")
+        out["quarantine"] = T.write_table(
+            expect_violations(unfiltered), tables.qualified("silver_quarantine"), tables.fmt,
+            "Rows dropped by the quality rules, with the rules they fail.")
     finally:
         unfiltered.unpersist()
     gold_df = gold_features(spark.table(out["silver"]))

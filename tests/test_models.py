@@ -118,7 +118,7 @@ def test_medallion_tables(spark):
     tables = C.Tables(database="churnlens_medallion_test")
     names = run_medallion(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables)
     counts = {k: TB.read_table(spark, v).count() for k, v in names.items() if k != "quality"}
-    assert counts == {"bronze": 180, "silver": 130, "gold": 130}
+    assert counts == {"bronze": 180, "silver": 130, "gold": 130, "quarantine": 20}
     qt = TB.read_table(spark, names["quality"])
     latest = qt.agg(F.max("updated_at")).first()[0]
     q = qt.filter(F.col("updated_at") == latest).collect()
