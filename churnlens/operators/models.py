@@ -58,12 +58,14 @@ def native_pipeline(params: C.GBTParams = C.GBTParams()) -> tuple[Pipeline, GBTC
     return Pipeline(stages=native_stages() + [est]), est
 
 
-def prepared_pipeline(feature_cols: list[str], params: C.GBTParams = C.GBTParams()
-                      ) -> tuple[Pipeline, GBTClassifier]:
-    """For rows already transformed by ``prep.apply_prep``: assemble + GBT."""
+def prepared_pipeline(params: C.GBTParams = C.GBTParams()) -> tuple[Pipeline, GBTClassifier]:
+    """The column transform (``prep.ColumnPrep``: imputation, standardisation,
+    drop-first one-hot, assembly) + GBT.  As a pipeline stage the transform
+    is refitted inside every cross-validation fold."""
+    from churnlens.operators.prep import ColumnPrep
+
     est = gbt(params)
-    asm = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[asm, est]), est
+    return Pipeline(stages=[ColumnPrep(), est]), est
 
 
 def auc_evaluator(label: str = C.TARGET) -> BinaryClassificationEvaluator:

@@ -179,3 +179,61 @@ def with_prepared(df: DataFrame, stats: PrepStats, prefix: str = PREPARED_PREFIX
         for v in values[1:]:
             cols[prefix + f"{c}_{v}"] = F.coalesce((filled == F.lit(v)).cast("int"), F.lit(0))
     return df.withColumns(cols)
+
+
+# --------------------------------------------- as a Spark ML pipeline stage
+
+from pyspark import keyword_only  # noqa: E402
+from pyspark.ml import Estimator, Model  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.param import Param, Params, TypeConverters  # noqa: E402
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable  # noqa: E402
+
+
+class _PrepParams(Params):
+    numCols = Param(Params._dummy(), "numCols", "numeric feature columns",
+                    typeConverter=TypeConverters.toListString)
+    catCols = Param(Params._dummy(), "catCols", "categorical feature columns",
+                    typeConverter=TypeConverters.toListString)
+    outputCol = Param(Params._dummy(), "outputCol", "assembled vector column",
+                      typeConverter=TypeConverters.toString)
+
+
+class ColumnPrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
+    """The column transform as a pipeline stage, so a ``CrossValidator``
+    refits it inside every fold (fit = ``fit_prep``: distributed aggregates
+    with small results; the model is a projection plus assembly)."""
+
+    @keyword_only
+    def __init__(self, *, numCols=None, catCols=None, outputCol="features"):
+        super().__init__()
+        self._setDefault(numCols=list(C.NUM_FEATURES), catCols=list(C.CAT_FEATURES),
+                         outputCol="features")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> ColumnPrepModel:
+        stats = fit_prep(dataset, self.getOrDefault(self.numCols), self.getOrDefault(self.catCols))
+        return ColumnPrepModel(statsJson=stats.to_json(), outputCol=self.getOrDefault(self.outputCol))
+
+
+class ColumnPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    statsJson = Param(Params._dummy(), "statsJson", "fitted statistics (JSON)",
+                      typeConverter=TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "assembled vector column",
+                      typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, statsJson=None, outputCol="features"):
+        super().__init__()
+        self._setDefault(outputCol="features")
+        self._set(**self._input_kwargs)
+
+    def stats(self) -> PrepStats:
+        return PrepStats.from_json(self.getOrDefault(self.statsJson))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        stats = self.stats()
+        prepared = with_prepared(dataset, stats)
+        asm = VectorAssembler(inputCols=prepared_columns(stats),
+                              outputCol=self.getOrDefault(self.outputCol), handleInvalid="keep")
+        return asm.transform(prepared).drop(*prepared_columns(stats))

@@ -5,9 +5,9 @@ Two runs mirror the two model notebooks of the application:
 * ``grid``: Spark-native stages (indexers, one-hot, imputer, assembler) and
   class-weighted GBT, grid search over maxDepth x maxIter x stepSize;
 * ``random``: the column transform of ``operators.prep`` (median / mode
-  imputation, standardisation, drop-first one-hot) fitted on the training
-  split, then class-weighted GBT with a seeded random search over the
-  boosted-tree space mapped onto GBTClassifier.
+  imputation, standardisation, drop-first one-hot) as a pipeline stage,
+  refitted in every fold, then class-weighted GBT with a seeded random
+  search over the boosted-tree space mapped onto GBTClassifier.
 
 Everything runs as Spark jobs; the driver only sees parameters, one metric
 per fit and the few-row statistics of the preparation.
@@ -16,6 +16,7 @@ per fit and the few-row statistics of the preparation.
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -107,20 +108,18 @@ def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS,
     checkpoint_root(split_df.sparkSession)
     train, ratio, base = training_frame(split_df)
     try:
-        stats = PR.fit_prep(train)
-        feats = PR.prepared_columns(stats)
-        prepared = PR.with_prepared(train, stats).select(*feats, C.TARGET, "classWeight", "fold")
-        pipeline, est = M.prepared_pipeline(feats)
+        cols = train.select(*C.ALL_FEATURES, C.TARGET, "classWeight", "fold")
+        pipeline, est = M.prepared_pipeline()
         picked = M.random_draws(space, draws)
         maps = [M.draw_to_params(est, d, iteration_scale) for d in picked]
         labels = [dict(d, max_iter_used=m[est.maxIter]) for d, m in zip(picked, maps)]
-        search = M.cross_validate(pipeline, maps, prepared, labels, parallelism=parallelism)
+        search = M.cross_validate(pipeline, maps, cols, labels, parallelism=parallelism)
     finally:
         base.unpersist()
     params = dict(search.best, scale_pos_weight=ratio)
     params.pop("avg_auc", None)
-    return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(search.model, stats), search,
-                    ratio, stats, params)
+    return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(search.model), search,
+                    ratio, None, params, train_rows=_train_rows(split_df))
 
 
 def fit_single(split_df: DataFrame, params: C.GBTParams = C.GBTParams()) -> ModelRun:
@@ -143,16 +142,14 @@ def fit_single_prepared(split_df: DataFrame, params: C.GBTParams = C.GBTParams()
     checkpoint_root(split_df.sparkSession)
     train, ratio, base = training_frame(split_df)
     try:
-        stats = PR.fit_prep(train)
-        feats = PR.prepared_columns(stats)
-        pipeline, _ = M.prepared_pipeline(feats, params)
-        model = pipeline.fit(PR.with_prepared(train, stats).select(*feats, C.TARGET, "classWeight"))
+        pipeline, _ = M.prepared_pipeline(params)
+        model = pipeline.fit(train.select(*C.ALL_FEATURES, C.TARGET, "classWeight"))
     finally:
         base.unpersist()
     labels = {"maxDepth": params.max_depth, "maxIter": params.max_iter, "stepSize": params.step_size}
     search = M.SearchResult(model, [dict(labels, avg_auc=None)], 0)
-    return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(model, stats), search, ratio,
-                    stats, dict(labels, scale_pos_weight=ratio))
+    return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(model), search, ratio,
+                    None, dict(labels, scale_pos_weight=ratio), train_rows=_train_rows(split_df))
 
 
 def _train_rows(split_df: DataFrame) -> DataFrame:
@@ -248,6 +245,6 @@ def load_run_scorer(spark: SparkSession, path: str, prepared: bool) -> M.Scorer:
     from churnlens.sources.tables import load_model
 
     prep = None
-    if prepared:
+    if prepared and Path(path.replace("file:", ""), "prep").exists():
         prep = PR.PrepStats.from_json(spark.read.json(f"{path}/prep").first()["prep"])
     return M.Scorer(load_model(f"{path}/model"), prep)
