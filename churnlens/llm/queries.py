@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from churnlens.llm.tables import read
 
@@ -26,3 +27,144 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlens.llm.near_dup import NearDup, near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"), NearDup(percent=85))
+
+
+OP3_SQL = """
+WITH words AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT DISTINCT 'b', item_id, text FROM benchmark),
+lists AS (
+  SELECT side, id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM words),
+sets AS (
+  SELECT side, id, r, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END)) AS s FROM lists),
+sizes AS (SELECT r, count(*) AS n FROM sets WHERE side = 'b' GROUP BY r),
+shared AS (
+  SELECT d.id AS doc_id, d.r AS dr, b.id AS item_id, b.r AS br, count(*) AS n_shared
+  FROM sets d JOIN sets b ON d.side = 'd' AND b.side = 'b' AND d.s = b.s GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_shingles, n_shared, n_shared / n AS containment
+FROM shared JOIN sizes ON br = r WHERE 100 * n_shared >= 80 * n
+"""
+
+
+@query("op3_benchmark_decontamination", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.decontaminate import contained_items
+
+    return contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.language import fit_languages, identify
+
+    docs = read(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = fit_languages(docs, rest != 1)
+    return identify(docs.select("doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), "text"),
+                    model).drop("text")
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from churnlens.llm.packing import Packing, pack_documents
+
+    params = Packing(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(read(spark, sf_dir, "documents"), params, with_ids=False)
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.quality_model import fit_quality, score_quality
+
+    docs = read(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 5
+    scorer = fit_quality(docs, read(spark, sf_dir, "labels"), rest != 0)
+    return (score_quality(docs.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "text"),
+                          scorer)
+            .select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
+#: The rules of the query: `host/path start` -> verdict.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.urls import fit_urls, judge_urls, labelled_urls
+
+    return judge_urls(read(spark, sf_dir, "pages"), fit_urls(labelled_urls(spark)), URL_RULES)
+
+
+_OP5_LIMITS = """
+SELECT {keys} {sep} max(rws) AS n,
+  max(CASE WHEN metric = 'symbols' THEN q2 + greatest(6 * (q2 - q1), 100) END) AS symbols_max,
+  max(CASE WHEN metric = 'lines' THEN q2 + greatest(6 * (q2 - q1), 500) END) AS lines_max,
+  max(CASE WHEN metric = 'repeats' THEN q2 + greatest(6 * (q2 - q1), 400) END) AS repeats_max,
+  max(CASE WHEN metric = 'length' THEN q2 + greatest(6 * (q2 - q1), 2000) END) AS length_max,
+  max(CASE WHEN metric = 'length' THEN q2 - greatest(6 * (q3 - q2), 2000) END) AS length_min
+FROM (
+  SELECT {keys} {sep} metric, max(rws) AS rws, min(CASE WHEN upto * 4 >= rws THEN top END) AS q1,
+    min(CASE WHEN upto * 4 >= rws * 2 THEN top END) AS q2, min(CASE WHEN upto * 4 >= rws * 3 THEN top END) AS q3
+  FROM (
+    SELECT {keys} {sep} metric,
+      CASE WHEN bucket < 32 THEN bucket ELSE ((17 + bucket % 16) << (bucket // 16 - 4)) - 1 END AS top,
+      sum(n) OVER (PARTITION BY {keys} {sep} metric) AS rws,
+      sum(n) OVER (PARTITION BY {keys} {sep} metric ORDER BY bucket) AS upto
+    FROM (SELECT {keys} {sep} metric, bucket, sum(n)::BIGINT AS n FROM sketch GROUP BY ALL))
+  GROUP BY ALL)
+GROUP BY ALL"""
+OP5_CTES = r"""
+docs AS (SELECT row_number() OVER () AS r, *, coalesce(text, '') AS t FROM {documents}),
+split AS (
+  SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM docs),
+windows AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
+            FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM split)),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS v(k) GROUP BY r),
+measured AS (
+  SELECT r, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(ls) AS n_lines,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM docs JOIN split USING (r) LEFT JOIN covered USING (r)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    1000 * n_symbols // greatest(n_words, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS lines,
+    1000 * n_repeat_words // greatest(n_words, 1) AS repeats, 1000 * word_chars // greatest(n_words, 1) AS length
+  FROM measured),
+ratios AS (
+  SELECT lang, source, unnest(['symbols', 'lines', 'repeats', 'length']) AS metric,
+    unnest([symbols, lines, repeats, length]) AS v FROM judged JOIN docs USING (r) WHERE NOT base_failed),
+sketch AS (
+  SELECT lang, source, metric, CASE WHEN v < 32 THEN v
+    ELSE (length(bin(v)) - 1) * 16 + (v >> (length(bin(v)) - 5)) % 16 END AS bucket, count(*) AS n
+  FROM ratios GROUP BY ALL),
+by_source AS (""" + _OP5_LIMITS.format(keys="lang, source", sep=",") + """),
+by_lang AS (""" + _OP5_LIMITS.format(keys="lang", sep=",") + """),
+by_all AS (""" + _OP5_LIMITS.format(keys="", sep="") + """),
+verdicts AS (
+  SELECT d.r, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND coalesce(symbols <= c.symbols_max AND lines <= c.lines_max AND repeats <= c.repeats_max
+      AND j.length <= c.length_max AND j.length >= c.length_min, FALSE) AS kept
+  FROM docs d JOIN judged j USING (r) LEFT JOIN (
+    SELECT s.lang, s.source, """ + ", ".join(
+    f"CASE WHEN s.n >= 200 THEN s.{c} WHEN l.n >= 200 THEN l.{c} ELSE a.{c} END AS {c}"
+    for c in ("symbols_max", "lines_max", "repeats_max", "length_max", "length_min")) + """
+    FROM by_source s JOIN by_lang l ON s.lang IS NOT DISTINCT FROM l.lang, by_all a) c
+  ON d.lang IS NOT DISTINCT FROM c.lang AND d.source IS NOT DISTINCT FROM c.source)"""
+OP5_SQL = "WITH " + OP5_CTES.format(documents="documents") + """
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
+FROM verdicts JOIN docs USING (r)"""
+
+
+@query("op5_quality_rules", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.quality_rules import judged
+
+    return judged(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
