@@ -12,6 +12,7 @@ on their rank within their length.
 from __future__ import annotations
 
 import bisect
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -33,33 +34,89 @@ class Packing:
     end_id: int = 1
 
 
+def _byte_characters() -> dict[int, str]:
+    """Byte -> character of byte-level vocabularies: printable bytes stand for
+    themselves, the others for the characters from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
+
 class WordEncoder:
     """Token ids of a text, word by word with a bounded memory of known words.
 
-    Holds for tokenizers that never merge across ASCII white space and drop
-    it; texts are split there and unknown words are encoded together."""
+    For tokenizers that normalise to NFC and lower case, drop white space, and
+    separate letters from punctuation before byte-level merges.  Texts are
+    split at ASCII white space; a word of Latin letters goes straight to the
+    merges, any other word through the whole tokenizer.  The memory is two
+    generations of `known_words` words."""
 
     def __init__(self, path: str, known_words: int = 1 << 19):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.known_words = known_words
+        self.characters = _byte_characters()
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word without ASCII white space."""
+        text = word.decode()
+        plain = text.isalpha() and text == text.lower()
+        if plain and not text.isascii():
+            plain = max(text) < "\u0250"
+            text = word.decode("latin-1").translate(self.characters) if plain else text
+        if plain:
+            return b"".join([self.as_bytes[t.id] for t in self.merges.tokenize(text)])
+        return b"".join([self.as_bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    @staticmethod
+    def _plain(c: str) -> bool:
+        """A letter or digit that stays one when it is lower-cased."""
+        return c.isalnum() and c < "\u0250" and len(c.lower()) == 1
+
+    def _learn(self, word: bytes) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+        if ids is None:
+            stem = word.rstrip(_PUNCTUATION)
+            # Punctuation behind a letter or digit is a run of its own.
+            if len(stem) < len(word) and stem and self._plain(stem.decode()[-1]):
+                ids = self._learn(stem) + self._learn(word[len(stem):])
+            else:
+                ids = self._ids(word)
+        self.known[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.encode().split() if t else [] for t in texts]  # bytes.split: ASCII white space
-        if len(self.known) > self.known_words:
-            self.known.clear()
-        known = self.known
-        unknown = list({w for ws in words for w in ws if w not in known})
-        for i in range(0, len(unknown), 4096):
-            part = unknown[i: i + 4096]
-            encoded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, encoded):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        out = []
+        for text in texts:
+            data = (text or "").encode()
+            if b"\xcc" not in data and b"\xcd" not in data:  # no combining marks: case doesn't matter
+                data = data.lower()
+            words = data.split()  # at ASCII white space
+            parts = list(map(self.known.get, words))
+            if None in parts:
+                if len(self.known) > self.known_words:
+                    self.known, self.older = {}, self.known
+                parts = [self._learn(w) if ids is None else ids for w, ids in zip(words, parts)]
+            out.append(b"".join(parts))
+        return out
+
+
+@functools.lru_cache(2)
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker process."""
+    return WordEncoder(path)
 
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long"
@@ -72,7 +129,7 @@ def _tokenise(p: Packing, with_ids: bool):
     end = np.array([p.end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(p.tokenizer)
+        encoder = _encoder(p.tokenizer)
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)

@@ -1,9 +1,9 @@
 """Compression classifier: zstandard dictionaries of good and bad text.
 
 A text is cut into chunks, every chunk is compressed once with the dictionary
-built from good text and once with that built from bad text.  The difference
-of the two total sizes, divided by their sum, is calibrated by a logistic
-curve fitted on labelled texts that the dictionaries have not seen.
+built from bad text and once with that built from good text.  The difference of
+the two total sizes, divided by the text's own size, is calibrated by a
+monotone curve fitted on labelled texts that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -36,51 +36,65 @@ def _chunks(text: str | None, size: int) -> list[bytes]:
     return [data[i: i + size] for i in range(0, len(data), size)]
 
 
+def _dictionary(chunks: list[bytes], size: int) -> bytes:
+    """A trained dictionary; of too few samples for training, the samples themselves."""
+    import zstandard as z
+
+    try:
+        return z.train_dictionary(size, chunks).as_bytes()
+    except z.ZstdError:
+        return b"".join(chunks)[-size:]
+
+
 class Scorer:
-    """The two dictionaries and the curve; pickled by its bytes."""
+    """The two dictionaries and the curve, knots of (difference, score)."""
 
-    def __init__(self, good: bytes, bad: bytes, p: Compression, slope: float = 0.0, base: float = 0.0):
-        self.good, self.bad, self.p, self.slope, self.base = good, bad, p, slope, base
+    def __init__(self, good: bytes, bad: bytes, p: Compression, score: float = 0.5):
+        self.good, self.bad, self.p = good, bad, p
+        self.knots = np.array([0.0]), np.array([score])
 
     def _compressors(self):
         import zstandard as z
 
         made = []
         for raw in (self.good, self.bad):
-            d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
+            d = z.ZstdCompressionDict(raw)
             d.precompute_compress(level=self.p.level)
             made.append(z.ZstdCompressor(level=self.p.level, dict_data=d, write_content_size=False,
                                          write_checksum=False, write_dict_id=False))
         return made
 
     def differences(self, texts: list[str | None]) -> np.ndarray:
-        """(good size - bad size) / (good size + bad size); 0 for an empty text."""
-        good, bad = self._compressors()
+        """(size by the bad dictionary - size by the good one) / own size; 0 for an empty text."""
         out = np.zeros(len(texts))
+        if not self.good or not self.bad:
+            return out
+        good, bad = self._compressors()
         for i, text in enumerate(texts):
             parts = _chunks(text, self.p.chunk)
             if parts:
                 g, b = sum(len(good.compress(x)) for x in parts), sum(len(bad.compress(x)) for x in parts)
-                out[i] = (g - b) / (g + b)
+                out[i] = (b - g) / sum(map(len, parts))
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.base + self.slope * self.differences(texts), -500, 500)))
+        return np.interp(self.differences(texts), *self.knots)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve, by Newton steps."""
-    scale = x.std() or 1.0
-    design = np.column_stack([x / scale, np.ones(len(x))])
-    w = np.zeros(2)
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        step = np.linalg.solve((design.T * (q * (1 - q))) @ design + ridge * np.eye(2),
-                               design.T @ (y - q) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-9:
-            break
-    return w[0] / scale, w[1]
+def _monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Knots of a rising curve from x to the weighted share of y = 1: pooled
+    adjacent violators, each pool's share drawn half a row towards the whole's;
+    between the pools' centres the curve is linear."""
+    prior = float((y * weight).sum() / weight.sum())
+    pools: list[list[float]] = []  # weight, weight of y, weight * x, rows
+    for i in np.argsort(x, kind="stable"):
+        pools.append([weight[i], weight[i] * y[i], weight[i] * x[i], 1])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    w, wy, wx, rows = np.array(pools).T
+    half = 0.5 * w / rows
+    return wx / w, (wy + half * prior) / (w + half)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compression = Compression(),
@@ -95,7 +109,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compr
     found = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(found) < 2:
         share = float(next(iter(found))) if found else 0.5
-        return Scorer(b"", b"", p, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
+        return Scorer(b"", b"", p, share)
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     share = F.create_map(*[x for k, n in found.items() for x in (F.lit(k), F.lit(p.rows_per_class / n))])
     sample = (known.filter(unit < share[F.col("label")] * (1 << 30))
@@ -117,8 +131,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compr
     chunks = sample.filter("not curve").select("label", "text").mapInArrow(
         spaced, "label int, chunk binary").orderBy(F.xxhash64("chunk")).toArrow()
     label, chunk = chunks["label"].to_numpy(), chunks["chunk"].to_pylist()
-    raw = [b"".join(c for c, x in zip(chunk, label) if x == k)[-p.dictionary_bytes:] for k in (1, 0)]
-    scorer = Scorer(raw[0], raw[1], p)
+    scorer = Scorer(*[_dictionary([c for c, x in zip(chunk, label) if x == k], p.dictionary_bytes)
+                      for k in (1, 0)], p)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +143,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compr
 
     points = sample.filter("curve").select("label", "text").mapInArrow(measured, "label int, x double").toArrow()
     y = points["label"].to_numpy().astype(float)
-    if len(np.unique(y)) == 2:
-        # The sample is balanced by class; weights would undo it, a shift of the intercept does.
-        scorer.slope, scorer.base = _logistic(points["x"].to_numpy(), y)
-        shares = [min(1.0, p.rows_per_class / found[k]) for k in (0, 1)]
-        scorer.base += float(np.log(shares[0] / shares[1]))
+    if len(y):
+        # Every row stands for the labelled rows of its class that were not sampled.
+        scale = np.array([max(1.0, found[k] / p.rows_per_class) for k in (0, 1)])
+        scorer.knots = _monotone(points["x"].to_numpy(), y, scale[y.astype(int)])
     return scorer
 
 

@@ -168,3 +168,59 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return judged(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.secrets import scan_secrets
+
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    from churnlens.llm.licenses import TEMPLATES
+
+    quoted = lambda x: x.replace("'", "''")
+    values = ", ".join(f"('{quoted(k)}', '{quoted(v)}')" for k, v in sorted(TEMPLATES.items()))
+    words = ("string_split(trim(regexp_replace(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' '), ' ')")
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+WITH templates(license, t) AS (VALUES {values}),
+tw AS (SELECT license, {words.format(t='t')} AS w FROM templates),
+tg AS (SELECT license, len(w) - 1 AS tn, {grams} AS tb FROM tw),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT r, doc_id, 'line' AS unit, unnest(x) AS t, generate_subscripts(x, 1) - 1 AS unit_no
+  FROM (SELECT r, doc_id, string_split(t, chr(10)) AS x FROM docs)
+  UNION ALL
+  SELECT * FROM (SELECT r, doc_id, 'paragraph' AS unit, unnest(x) AS t, generate_subscripts(x, 1) - 1 AS unit_no
+    FROM (SELECT r, doc_id, regexp_split_to_array(t, '\\n[ \\t\\r]*\\n') AS x FROM docs)) WHERE contains(t, chr(10))),
+uw AS (SELECT r, doc_id, unit, unit_no, {words.format(t='t')} AS w FROM parts),
+ug AS (SELECT r, doc_id, unit, unit_no, len(w) - 1 AS n, {grams} AS b FROM uw
+       WHERE len(w) - 1 BETWEEN (SELECT min(ceil(tn / 1.5)) FROM tg) AND (SELECT max(floor(tn * 1.5)) FROM tg)),
+pairs AS (SELECT r, doc_id, unit, unit_no, license, len(list_intersect(b, tb)) AS n_shared,
+            2.0::DOUBLE * len(list_intersect(b, tb)) / (len(b) + len(tb)) AS dice
+          FROM ug JOIN tg ON n BETWEEN ceil(tn / 1.5) AND floor(tn * 1.5)),
+best AS (SELECT *, row_number() OVER (PARTITION BY r, unit, unit_no ORDER BY dice DESC, license) AS k FROM pairs)
+SELECT doc_id, unit, unit_no, license, n_shared, dice FROM best WHERE k = 1 AND dice >= 0.8
+"""
+
+
+@query("op4_license_scan", _license_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.licenses import license_matches
+
+    return license_matches(read(spark, sf_dir, "documents"))
+
+
+#: A demonstration key; a real run passes its own.
+PII_KEY = b"churnlens demonstration key"
+
+
+@query("op6_pii_pseudonyms")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.pii import pseudonymised
+
+    return (pseudonymised(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+            .withColumn("n_found", F.size("pii").cast("long")))

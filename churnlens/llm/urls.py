@@ -46,7 +46,7 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
                 lang = ("en", "de", "fr", "es")[(i + j) % 4]
                 tail = ("", ".html", "/", "")[(i + 2 * j) % 4]
                 rows.append((f"https://{prefix}{host}/{lang}/{(37 * i + 11 * j) % 1000}{tail}", label))
-    return spark.createDataFrame(rows, "url string, label double")
+    return spark.createDataFrame(rows, "url string, label double").coalesce(1)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -67,7 +67,7 @@ def rule_for(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
-def fit_urls(labelled: DataFrame, orders: tuple[int, ...] = (3, 4, 5), features: int = 1 << 15,
+def fit_urls(labelled: DataFrame, orders: tuple[int, ...] = (3, 4), features: int = 1 << 12,
              reg: float = 0.01) -> PipelineModel:
     """Logistic regression on character n-grams of host and path of (url, label)
     rows.  The table is hand-labelled: it is small whatever the corpus."""
@@ -76,7 +76,7 @@ def fit_urls(labelled: DataFrame, orders: tuple[int, ...] = (3, 4, 5), features:
         stages += [NGram(n=n, inputCol="_chars", outputCol=f"_grams{n}"),
                    HashingTF(numFeatures=features, binary=True, inputCol=f"_grams{n}", outputCol=f"_tf{n}")]
     stages += [VectorAssembler(inputCols=[f"_tf{n}" for n in orders], outputCol="_features"),
-               LogisticRegression(featuresCol="_features", labelCol="label", regParam=reg, maxIter=50,
+               LogisticRegression(featuresCol="_features", labelCol="label", regParam=reg, maxIter=30,
                                   rawPredictionCol="_raw", probabilityCol="_probability",
                                   predictionCol="_prediction")]
     host, path = host_and_path(F.col("url"))
