@@ -115,7 +115,8 @@ class WordEncoder:
 
 @functools.lru_cache(2)
 def _encoder(path: str) -> WordEncoder:
-    """One for all tasks of a worker process."""
+    """One for all tasks of a worker process: its vocabulary is loaded once, its
+    known words serve the next task, and its memory is not taken anew."""
     return WordEncoder(path)
 
 
