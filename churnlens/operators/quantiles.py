@@ -2,20 +2,19 @@
 
 ``percentile`` / ``percentile_disc`` keep every distinct value of a group in
 one aggregation buffer, which for a near-unique column is the whole group in
-one task.  This module finds the same exact values by histogram refinement:
-
-* each round is one scan that buckets the still-possible values of every
-  target into at most ``bins`` buckets and aggregates ``(target, bucket) ->
-  count, min, max`` (partial aggregation, so a hot value costs nothing);
-* the driver receives at most ``targets x bins`` small rows, walks the
-  cumulative counts and narrows each target to one bucket ``[min, max]``;
-* a target is resolved when its bucket holds a single distinct value, or when
-  it holds at most ``final_rows`` rows, whose values are then fetched.
-
-Integer-valued columns resolve in one round (the range fits the bins);
-60-bit hashes and continuous doubles take two or three.  Targets are
-``(group, rank)`` pairs, so medians of many columns and cut-offs of many
-classes share every scan.
+one task.  Here the same exact values come from narrowing by pivots:
+
+* a mergeable quantile sketch of the values still possible (bounded memory
+  whatever their distribution) gives two pivots around each wanted rank;
+* one aggregate counts what lies below, at, between and above the pivots, so
+  the rank's zone is known exactly, however far the sketch was off;
+* a pivot that is the answer ends the search; otherwise the zone, without its
+  pivots, is the next range, or is fetched once it is a few thousand rows.
+
+Every round leaves out at least the pivots, so the search ends, and it goes on
+until every rank is found.  All series (columns, or one column per class)
+share every scan, and each is tested against its own pivots only.  NaN and
+infinite values count as missing, like NULL.
 """
 
 from __future__ import annotations
@@ -25,122 +24,158 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Relative error of the sketch is 1 / ACCURACY.
+ACCURACY = 10_000
+#: A zone of at most so many rows is fetched (it saves rounds, nothing else).
+FETCH_ROWS = 4096
+#: Groups become columns of one aggregate; more are refused.
+MAX_GROUPS = 1_000
+
 
 @dataclass
 class _Target:
-    group: tuple
-    rank: int            # 1-based rank inside the group
-    lo: object = None    # inclusive value range still possible
-    hi: object = None
-    below: int = 0       # rows of the group with value < lo
+    series: int
+    rank: int            # 1-based rank inside the series
+    lo: object           # inclusive range still possible
+    hi: object
+    below: int           # rows of the series below lo
+    rows: int            # rows in the range
     value: object = None
     done: bool = False
 
 
+def finite(c: Column, dtype: str) -> Column:
+    """``c`` with NaN and infinities as NULL."""
+    if dtype not in ("double", "float"):
+        return c
+    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+
+
+def _select(df: DataFrame, series: list[Column], ranks_for: Callable[[int], list[int]]
+            ) -> tuple[list[dict[int, object]], list[int]]:
+    """For every series its {rank: value} and its number of values."""
+    # Ranges are literals of the column's own type, so comparisons are exact.
+    frame = df.select(*[c.alias(f"s{i}") for i, c in enumerate(series)])
+    types = [t for _, t in frame.dtypes]
+
+    def lit(x, i):
+        return F.lit(x).cast(types[i])
+
+    first = frame.agg(*[f(F.col(f"s{i}")).alias(f"{n}{i}") for i in range(len(series))
+                        for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    counts = [first[f"n{i}"] for i in range(len(series))]
+    targets = [_Target(i, k, first[f"lo{i}"], first[f"hi{i}"], 0, n)
+               for i, n in enumerate(counts) if n for k in sorted(set(ranks_for(n)))]
+    for t in targets:
+        if not 1 <= t.rank <= t.rows:
+            raise ValueError(f"rank {t.rank} of {t.rows} values")
+        if t.lo == t.hi:
+            t.value, t.done = t.lo, True
+
+    while live := [t for t in targets if not t.done]:
+        fetch = [t for t in live if t.rows <= FETCH_ROWS]
+        if fetch:
+            _fetch(frame, fetch, lit)
+        live = [t for t in live if not t.done]
+        if not live:
+            break
+        sketched = frame.agg(*[
+            F.percentile_approx(F.when(F.col(f"s{t.series}").between(lit(t.lo, t.series), lit(t.hi, t.series)),
+                                       F.col(f"s{t.series}")),
+                                [max(0.0, min(1.0, (t.rank - t.below - 0.5) / t.rows + d)) for d in (-2 / ACCURACY, 2 / ACCURACY)],
+                                ACCURACY).alias(f"p{j}") for j, t in enumerate(live)]).first()
+        pivots, aggs = [], []
+        for j, t in enumerate(live):
+            v = F.col(f"s{t.series}")
+            # A sketch of wide integers rounds: keep its pivots inside the range.
+            a, b = (min(max(x, t.lo), t.hi) for x in sketched[f"p{j}"])
+            pivots.append((a, b))
+            la, lb = lit(a, t.series), lit(b, t.series)
+            inside = v.between(lit(t.lo, t.series), lit(t.hi, t.series))
+            zones = {"l": inside & (v < la), "a": inside & (v == la), "m": inside & (v > la) & (v < lb),
+                     "b": inside & (v == lb) & (v > la), "h": inside & (v > lb)}
+            for z, c in zones.items():
+                aggs += [F.count_if(c).alias(f"n{z}{j}"), F.min(F.when(c, v)).alias(f"lo{z}{j}"),
+                         F.max(F.when(c, v)).alias(f"hi{z}{j}")]
+        row = frame.agg(*aggs).first()
+        for j, t in enumerate(live):
+            for z in "lambh":
+                n = row[f"n{z}{j}"]
+                if t.rank <= t.below + n:
+                    t.lo, t.hi, t.rows = row[f"lo{z}{j}"], row[f"hi{z}{j}"], n
+                    if t.lo == t.hi:
+                        t.value, t.done = t.lo, True
+                    break
+                t.below += n
+            else:
+                raise RuntimeError("the rows changed between two passes of a quantile search")
+
+    found: list[dict[int, object]] = [{} for _ in series]
+    for t in targets:
+        found[t.series][t.rank] = t.value
+    return found, counts
+
+
+def _fetch(frame: DataFrame, targets: list[_Target], lit) -> None:
+    """The values of small ranges, counted in Spark, for several targets in one job."""
+    tags = [F.when(F.col(f"s{t.series}").between(lit(t.lo, t.series), lit(t.hi, t.series)),
+                   F.struct(F.lit(i).alias("t"), F.col(f"s{t.series}").cast("string").alias("v")))
+            for i, t in enumerate(targets)]
+    rows = (frame.select(F.explode(F.array_compact(F.array(*tags))).alias("x"))
+            .groupBy("x.t", "x.v").agg(F.count(F.lit(1)).alias("n")).collect())
+    per: dict[int, list] = {}
+    for r in rows:
+        kind = type(targets[r["t"]].lo)
+        per.setdefault(r["t"], []).append((kind(r["v"]), r["n"]))
+    for i, t in enumerate(targets):
+        at = t.below
+        for v, n in sorted(per.get(i, [])):
+            at += n
+            if at >= t.rank:
+                t.value = v
+                break
+        t.done = True
+
+
 def kth_values(df: DataFrame, value_col: str, ranks_for: Callable[[int], list[int]],
-               group_cols: list[str] = (), bins: int = 2048, final_rows: int = 4096,
-               max_rounds: int = 12, persist: bool = True
+               group_cols: list[str] = (), persist: bool = True
                ) -> tuple[dict[tuple, dict[int, object]], dict[tuple, int]]:
-    """Exact k-th smallest non-NULL value per group.
+    """Exact k-th smallest value per group.
 
     ``ranks_for(n)`` gives the 1-based ranks wanted in a group of ``n``
-    non-NULL values.  Returns ``({group: {rank: value}}, {group: n})``.
-    With ``persist`` the narrow (group, value) projection is kept for the
-    few passes and released at the end; callers whose input is already
-    persisted pass ``persist=False``.
+    values.  Returns ``({group: {rank: value}}, {group: n})`` for the groups
+    that have values; a NULL group is a group.  With ``persist`` the narrow
+    projection is kept for the few passes and released at the end.
     """
     group_cols = list(group_cols)
-    vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    if not persist:
-        return _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds)
-    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
+    dtype = dict(df.dtypes)[value_col]
+    vals = df.select(*group_cols, finite(F.col(value_col), dtype).alias("_v"))
+    if persist:
+        vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds)
+        groups = [()]
+        if group_cols:
+            rows = vals.filter("_v is not null").select(*group_cols).distinct().limit(MAX_GROUPS + 1).collect()
+            if len(rows) > MAX_GROUPS:
+                raise ValueError(f"more than {MAX_GROUPS} groups")
+            groups = [tuple(r) for r in rows]
+        series = []
+        for g in groups:
+            own = F.lit(True)
+            for c, x in zip(group_cols, g):
+                own = own & F.col(c).eqNullSafe(F.lit(x))
+            series.append(F.when(own, F.col("_v")))
+        if not series:
+            return {}, {}
+        found, counts = _select(vals, series, ranks_for)
     finally:
-        vals.unpersist()
-
-
-def _refine(vals, ranks_for, group_cols, bins, final_rows, max_rounds):
-    # Pass 1: size and range per group (one small aggregate).
-    stats = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                          F.max("_v").alias("hi")).collect()
-    counts = {tuple(r[c] for c in group_cols): r["n"] for r in stats}
-    tlist = []
-    for r in stats:
-        g = tuple(r[c] for c in group_cols)
-        for k in sorted(set(ranks_for(r["n"]))):
-            t = _Target(g, k, r["lo"], r["hi"])
-            if t.lo == t.hi:
-                t.value, t.done = t.lo, True
-            tlist.append(t)
-
-    for _ in range(max_rounds):
-        live = [t for t in tlist if not t.done]
-        if not live:
-            break
-        # One bucket expression per live target, folded into one scan: each
-        # row is tagged with the targets whose range contains it.
-        spans = []
-        for i, t in enumerate(live):
-            cond = F.col("_v").between(F.lit(t.lo), F.lit(t.hi))
-            for c, g in zip(group_cols, t.group):
-                cond = cond & (F.col(c) == F.lit(g))
-            width = (float(t.hi) - float(t.lo)) / bins
-            bucket = F.least(F.floor((F.col("_v").cast("double") - float(t.lo)) / width),
-                             F.lit(bins - 1)).cast("int")
-            spans.append(F.when(cond, F.struct(F.lit(i).alias("t"), bucket.alias("b"))))
-        tagged = vals.select(F.col("_v"), F.explode(F.array_compact(F.array(*spans))).alias("tb"))
-        hist = (tagged.groupBy("tb.t", "tb.b")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
-                .collect())
-        per_target: dict[int, list] = {}
-        for r in hist:
-            per_target.setdefault(r["t"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
-        fetch = []
-        for i, t in enumerate(live):
-            cum = t.below
-            for b, n, mn, mx in sorted(per_target.get(i, [])):
-                if cum + n >= t.rank:
-                    t.lo, t.hi, t.below = mn, mx, cum
-                    if mn == mx:
-                        t.value, t.done = mn, True
-                    elif n <= final_rows:
-                        fetch.append((i, t))
-                    break
-                cum += n
-            else:  # rank beyond the group size
-                t.done = True
-        if fetch:
-            # All fetches in one job: each row is tagged with the targets
-            # whose (small) final range contains it; at most final_rows
-            # distinct values per target come back.
-            tags = []
-            for i, t in fetch:
-                cond = F.col("_v").between(F.lit(t.lo), F.lit(t.hi))
-                for c, g in zip(group_cols, t.group):
-                    cond = cond & (F.col(c) == F.lit(g))
-                tags.append(F.when(cond, F.lit(i)))
-            rows = (vals.select("_v", F.explode(F.array_compact(F.array(*tags))).alias("t"))
-                    .groupBy("t", "_v").agg(F.count(F.lit(1)).alias("n")).collect())
-            per_fetch: dict[int, list] = {}
-            for r in rows:
-                per_fetch.setdefault(r["t"], []).append((r["_v"], r["n"]))
-            for i, t in fetch:
-                cum = t.below
-                for v, n in sorted(per_fetch.get(i, [])):
-                    cum += n
-                    if cum >= t.rank:
-                        t.value = v
-                        break
-                t.done = True
-
-    out: dict[tuple, dict[int, object]] = {}
-    for t in tlist:
-        out.setdefault(t.group, {})[t.rank] = t.value
-    return out, counts
+        if persist:
+            vals.unpersist()
+    return ({g: f for g, f, n in zip(groups, found, counts) if n},
+            {g: n for g, n in zip(groups, counts) if n})
 
 
 def percentile_disc(df: DataFrame, value_col: str, q: float,
@@ -155,21 +190,16 @@ def percentile_disc(df: DataFrame, value_col: str, q: float,
 
 def percentile_cont_many(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float]:
     """Interpolated percentile (SQL PERCENTILE_CONT, numpy's median for 0.5)
-    of several columns, all sharing the same scans (long format).  When
-    ``df`` is persisted, the long format is re-derived from it on each pass
-    (a map-only explode) instead of persisting ``len(columns)`` times the rows."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns
-    ])).alias("kv")).select("kv.feature", "kv.v")
-
+    of several columns, all sharing the same scans; None for a column without
+    values."""
     def ranks(n: int) -> list[int]:
         p = (n - 1) * q
         return [math.floor(p) + 1, math.ceil(p) + 1]
 
-    found, counts = kth_values(long, "v", ranks, ["feature"], persist=not df.is_cached)
-    out: dict[str, float] = {c: None for c in columns}
-    for g, n in counts.items():
+    found, counts = _select(df, [finite(F.col(c).cast("double"), "double") for c in columns], ranks)
+    out: dict[str, float] = {}
+    for c, f, n in zip(columns, found, counts):
         p = (n - 1) * q
-        lo_v, hi_v = found[g][math.floor(p) + 1], found[g][math.ceil(p) + 1]
-        out[g[0]] = lo_v + (p - math.floor(p)) * (hi_v - lo_v)
+        out[c] = None if not n else (
+            f[math.floor(p) + 1] + (p - math.floor(p)) * (f[math.ceil(p) + 1] - f[math.floor(p) + 1]))
     return out

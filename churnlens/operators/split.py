@@ -67,14 +67,15 @@ def stratified_split_exact(df: DataFrame, test_fraction: float = C.TEST_FRACTION
     at most the class's PERCENTILE_DISC(1 - test_fraction) go to train.
 
     The cut-offs (one per class) become literals of a CASE expression, so the
-    final pass is a plain projection: no join and no shuffle.
+    final pass is a plain projection: no join and no shuffle.  Rows without a
+    class are a class of their own and are split alike.
     """
     hashed = with_hash(df, seed, key_columns=key_columns)
     cuts = percentile_disc(hashed, "_h", 1 - test_fraction, [label])
     lab = F.col(label)
     cut_col = F.lit(None).cast("bigint")
     for (cls,), cut in cuts.items():
-        cut_col = F.when(lab == F.lit(cls), F.lit(cut)).otherwise(cut_col)
+        cut_col = F.when(lab.eqNullSafe(F.lit(cls)), F.lit(cut)).otherwise(cut_col)
     return (hashed.withColumn("split", F.when(F.col("_h") <= cut_col, F.lit("train"))
                               .otherwise(F.lit("test")))
             .drop("_h"))

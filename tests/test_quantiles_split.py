@@ -47,11 +47,48 @@ def test_percentile_disc_grouped_bigint_hashes(spark):
         assert got[(g,)] == _disc([h for gg, h in rows if gg == g], 0.8)
 
 
+def test_percentile_disc_over_300_powers_of_ten(spark):
+    rng = random.Random(3)
+    values = [10.0 ** rng.uniform(-150, 150) * rng.choice((-1, 1)) for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for q in (0.001, 0.4, 0.5, 0.999):
+        assert QT.percentile_disc(df, "v", q)[()] == _disc(values, q)
+
+
+def test_percentile_disc_of_close_bigints(spark):
+    values = [(1 << 59) + i % 3 for i in range(12_000)] + [-(1 << 62), 1 << 62]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    for q in (0.1, 0.34, 0.5, 0.9, 1.0):
+        assert QT.percentile_disc(df, "v", q)[()] == _disc(values, q)
+
+
+def test_ties_at_both_pivots(spark):
+    """Two heavy values with thousands of light ones between them."""
+    values = [0] * 30_000 + list(range(1, 9_000)) + [9_000] * 30_000
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(4)
+    for q in (0.2, 0.44, 0.5, 0.55, 0.9):
+        assert QT.percentile_disc(df, "v", q)[()] == _disc(values, q)
+
+
+def test_nan_and_infinity_count_as_missing(spark):
+    df = spark.createDataFrame([(v,) for v in (float("nan"), 1.0, 2.0, 3.0, 4.0, float("inf"), None)], "v double")
+    assert QT.percentile_cont_many(df, ["v"]) == {"v": 2.5}
+    assert QT.percentile_cont_many(df.filter("isnan(v)"), ["v"]) == {"v": None}
+
+
+def test_exact_split_of_rows_without_a_class(spark):
+    rows = [(i, None if i % 3 == 0 else i % 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "Age int, Churn int")
+    got = SP.stratified_split_exact(df, key_columns=["Age"])
+    n = {(r["Churn"], r["split"]): r["count"] for r in got.groupBy("Churn", "split").count().collect()}
+    assert {c: n[(c, "train")] for c in (None, 0, 1)} == {None: 240, 0: 240, 1: 240}
+
+
 def test_kth_values_refines_continuous_doubles(spark):
     rng = np.random.default_rng(5)
     values = np.concatenate([rng.lognormal(3, 2, 20000), np.full(3000, 7.25)]).tolist()
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    found, counts = QT.kth_values(df, "v", lambda n: [1, n // 2, n], bins=64, final_rows=16)
+    found, counts = QT.kth_values(df, "v", lambda n: [1, n // 2, n])
     s = sorted(values)
     n = counts[()]
     assert n == len(values)
