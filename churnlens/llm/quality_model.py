@@ -112,10 +112,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compr
         return Scorer(b"", b"", p, share)
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     share = F.create_map(*[x for k, n in found.items() for x in (F.lit(k), F.lit(p.rows_per_class / n))])
-    sample = (known.filter(unit < share[F.col("label")] * (1 << 30))
-              .withColumn("curve", F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(3)) == 0)
-              .join(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna(), "id")
-              .select("label", "curve", "text"))
+    picked = (known.filter(unit < share[F.col("label")] * (1 << 30))
+              .withColumn("curve", F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(3)) == 0))
+    # The picked labels are as many as the parameter says, whatever the corpus:
+    # they go to the texts, which stay where they are.
+    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna()
+              .join(F.broadcast(picked), "id").select("label", "curve", "text"))
     schema = pa.schema([("label", pa.int32()), ("chunk", pa.binary())])
 
     def spaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
