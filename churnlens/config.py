@@ -121,7 +121,7 @@ RANDOM_SPACE = {
 RANDOM_SEARCH_DRAWS = 20
 
 MODEL_TAG_GRID = "spark_mllib_gbt"
-MODEL_TAG_RANDOM = "xgboost"
+MODEL_TAG_RANDOM = "spark_gbt_random_search"
 
 # ---------------------------------------------------------------------------
 # Our own settings.
@@ -134,19 +134,27 @@ DEFAULT_FORMAT = "parquet"
 
 @dataclass(frozen=True)
 class Tables:
-    """Names of the stored layers, inside one database."""
+    """Names of the stored layers, inside one database (of ``catalog`` if given)."""
 
     database: str = "churnlens"
+    catalog: str | None = None
     bronze: str = "bronze_churn"
     silver: str = "silver_churn"
     gold: str = "gold_churn_features"
     scores_grid: str = "gold_churn_scores_mllib"
     scores_random: str = "gold_churn_scores_xgboost"
     run_log: str = "run_log"
+    quality: str = "quality_metrics"
+    quarantine: str = "silver_quarantine"
+    evaluation: str = "run_evaluation"
     fmt: str = DEFAULT_FORMAT
 
+    @property
+    def qualified_database(self) -> str:
+        return f"{self.catalog}.{self.database}" if self.catalog else self.database
+
     def qualified(self, name: str) -> str:
-        return f"{self.database}.{name}"
+        return f"{self.qualified_database}.{name}"
 
 
 @dataclass(frozen=True)

@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,22 +134,22 @@ def classification_report(df: DataFrame, label: str = LABEL, prediction: str = P
 # ---------------------------------------------------------------- ROC / AUC
 
 def score_counts(df: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
-    """Positives and negatives per distinct non-NULL score."""
-    return (df.filter(F.col(score).isNotNull())
+    """Positives and negatives per distinct score; NULL and NaN are left out."""
+    return (df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
             .groupBy(F.col(score).alias("threshold"))
             .agg(F.count_if(F.col(label) == 1).alias("pos"),
                  F.count_if(F.col(label) != 1).alias("neg")))
 
 
-def roc_points(df: DataFrame, label: str = LABEL, score: str = SCORE, blocks: int = 1024
+def roc_points(df: DataFrame, label: str = LABEL, score: str = SCORE, block_scores: int = 100_000
                ) -> DataFrame:
     """Cumulative tp / fp per distinct threshold (score >= threshold is positive),
-    with tpr and fpr; one row per distinct score.
+    with tpr and fpr; one row per distinct score, none for an empty frame.
 
-    Blocks are cut at approximate quantiles of the DISTINCT scores, so each
-    block holds about ``D / blocks`` of them however the scores concentrate;
-    the distinct-score table is checkpointed (shared folder) because it is
-    read twice.
+    The distinct scores are cut at approximate quantiles into blocks of about
+    ``block_scores``, however the scores concentrate, so the number of blocks
+    follows the number of distinct scores; their table is checkpointed (shared
+    folder) because it is read more than once.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -155,15 +157,20 @@ def roc_points(df: DataFrame, label: str = LABEL, score: str = SCORE, blocks: in
 
     checkpoint_root(df.sparkSession)
     sc = score_counts(df, label, score).checkpoint(eager=True)
-    probs = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(v for v in sc.approxQuantile("threshold", probs, 1.0 / (4 * blocks))
-                      if v is not None))
-    splits = [float("-inf")] + cuts + [float("inf")]
-    # Bucketizer: ascending block index in score (JVM binary search, no UDF).
-    sc = Bucketizer(splits=splits, inputCol="threshold", outputCol="_b").transform(sc)
-    sc = sc.withColumn("block", F.col("_b").cast("int")).drop("_b")
+    blocks = max(1, math.ceil(sc.count() / block_scores))
+    cuts: list[float] = []
+    if blocks > 1:
+        probs = [i / blocks for i in range(1, blocks)]
+        cuts = sorted({float(v) for v in sc.approxQuantile("threshold", probs, 1.0 / (4 * blocks))})
+    if cuts := [c for c in cuts if math.isfinite(c)]:
+        # Bucketizer: ascending block index in score (JVM binary search, no UDF).
+        splits = [float("-inf"), *cuts, float("inf")]
+        sc = Bucketizer(splits=splits, inputCol="threshold", outputCol="_b").transform(sc)
+        sc = sc.withColumn("block", F.col("_b").cast("int")).drop("_b")
+    else:
+        sc = sc.withColumn("block", F.lit(0))
     totals = sc.groupBy("block").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    # At most `blocks` rows: a single-partition window here is bounded.
+    # One row per block: a single-partition window over scores / block_scores rows.
     # Blocks of HIGHER scores come first in the cumulative order.
     w_all = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

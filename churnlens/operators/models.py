@@ -1,30 +1,36 @@
 """Boosted-tree models with Spark ML: stages, fits, searches, importances.
 
 Training is Spark ML's distributed ``GBTClassifier`` (per-level histogram
-aggregation across executors); hyper-parameter searches are
-``CrossValidator`` runs over deterministic hash folds (``split.stratified_folds``)
-whose fits can run concurrently (``parallelism``).  Only model-sized data
+aggregation across executors) on a layout fixed by the rows' hash;
+hyper-parameter searches go over deterministic hash folds
+(``split.stratified_folds``) and fit the feature stages once per fold.  Only model-sized data
 (parameters, importances, one metric per fit) reaches the driver.
 """
 
 from __future__ import annotations
 
+import math
 import random
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens import config as C
 from churnlens.functions.expressions import positive_probability
-from churnlens.operators.prep import PREPARED_PREFIX, with_prepared
+from churnlens.operators.prep import PREPARED_PREFIX, ColumnPrep, MedianFill
 
 IMP, IDX, OHE = "__imp", "__idx", "__ohe"
+#: Column of ``split.with_hash`` that training rows carry.
+ROW_HASH = "_h"
 
 
 def gbt(params: C.GBTParams = C.GBTParams(), label: str = C.TARGET,
@@ -43,34 +49,26 @@ def gbt(params: C.GBTParams = C.GBTParams(), label: str = C.TARGET,
 
 def native_stages(num: list[str] = C.NUM_FEATURES, cat: list[str] = C.CAT_FEATURES) -> list:
     """Indexer (all categoricals in one pass; unknown / NULL -> extra index),
-    one-hot (last slot dropped), median imputation of numerics (NaN would
+    one-hot (last slot dropped), exact median imputation of numerics (NaN would
     stop the tree fit), assembler."""
     indexer = StringIndexer(inputCols=cat, outputCols=[c + IDX for c in cat], handleInvalid="keep")
     encoder = OneHotEncoder(inputCols=[c + IDX for c in cat], outputCols=[c + OHE for c in cat])
-    imputer = Imputer(inputCols=num, outputCols=[c + IMP for c in num], strategy="median")
+    imputer = MedianFill(numCols=num, suffix=IMP)
     assembler = VectorAssembler(inputCols=[c + IMP for c in num] + [c + OHE for c in cat],
                                 outputCol="features", handleInvalid="keep")
     return [indexer, encoder, imputer, assembler]
 
 
-def native_pipeline(params: C.GBTParams = C.GBTParams()) -> tuple[Pipeline, GBTClassifier]:
-    est = gbt(params)
-    return Pipeline(stages=native_stages() + [est]), est
-
-
-def prepared_pipeline(params: C.GBTParams = C.GBTParams()) -> tuple[Pipeline, GBTClassifier]:
-    """The column transform (``prep.ColumnPrep``: imputation, standardisation,
-    drop-first one-hot, assembly) + GBT.  As a pipeline stage the transform
-    is refitted inside every cross-validation fold."""
-    from churnlens.operators.prep import ColumnPrep
-
-    est = gbt(params)
-    return Pipeline(stages=[ColumnPrep(), est]), est
+def prepared_stages() -> list:
+    """The column transform of ``prep`` as one stage: imputation,
+    standardisation, drop-first one-hot, assembly."""
+    return [ColumnPrep()]
 
 
 def auc_evaluator(label: str = C.TARGET) -> BinaryClassificationEvaluator:
+    """Area under the exact ROC curve (no binning of the scores)."""
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                         metricName="areaUnderROC")
+                                         metricName="areaUnderROC", numBins=0)
 
 
 def grid_maps(est: GBTClassifier, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MAX_ITER,
@@ -79,15 +77,17 @@ def grid_maps(est: GBTClassifier, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MA
             .addGrid(est.maxIter, list(max_iter)).addGrid(est.stepSize, list(step_size)).build())
 
 
+#: Search parameters without a counterpart in GBTClassifier: not drawn, not logged.
+NOT_MAPPED = ("reg_alpha", "reg_lambda")
+
+
 def random_draws(space: dict = C.RANDOM_SPACE, n: int = C.RANDOM_SEARCH_DRAWS,
                  seed: int = C.RANDOM_STATE) -> list[dict]:
-    """``n`` distinct seeded draws from the discrete space (parameter order
-    fixed by the space's keys)."""
+    """``n`` distinct seeded draws of the parameters that take effect
+    (parameter order fixed by the space's keys)."""
     rng = random.Random(seed)
-    names = list(space)
-    total = 1
-    for v in space.values():
-        total *= len(v)
+    names = [k for k in space if k not in NOT_MAPPED]
+    total = math.prod(len(space[k]) for k in names)
     seen, draws = set(), []
     while len(draws) < min(n, total):
         pick = tuple(rng.randrange(len(space[k])) for k in names)
@@ -97,17 +97,18 @@ def random_draws(space: dict = C.RANDOM_SPACE, n: int = C.RANDOM_SEARCH_DRAWS,
     return draws
 
 
-#: How each original boosted-tree parameter maps onto GBTClassifier.
-#: reg_alpha / reg_lambda have no counterpart and are recorded only.
-def draw_to_params(est: GBTClassifier, draw: dict, iteration_scale: float = 1.0) -> dict:
+def draw_to_params(est: GBTClassifier, draw: dict, rows: int) -> dict:
+    """How each boosted-tree parameter maps onto GBTClassifier.  ``gamma`` is a
+    loss reduction summed over the rows of a node, ``minInfoGain`` an average
+    per row: it is divided by the number of training rows."""
     return {
-        est.maxIter: max(1, int(round(draw["n_estimators"] * iteration_scale))),
+        est.maxIter: draw["n_estimators"],
         est.maxDepth: draw["max_depth"],
         est.stepSize: draw["learning_rate"],
         est.subsamplingRate: draw["subsample"],
         est.featureSubsetStrategy: str(draw["colsample_bytree"]),
         est.minInstancesPerNode: draw["min_child_weight"],
-        est.minInfoGain: draw["gamma"],
+        est.minInfoGain: draw["gamma"] / max(rows, 1),
     }
 
 
@@ -122,56 +123,91 @@ class SearchResult:
         return self.results[self.best_index]
 
 
-def cross_validate(pipeline: Pipeline, maps: list, train: DataFrame, labels: list[dict],
-                   fold_col: str = "fold", folds: int = C.CV_FOLDS,
-                   parallelism: int | None = None) -> SearchResult:
+def laid_out(rows: DataFrame, partitions: int | None = None, key: str = ROW_HASH) -> DataFrame:
+    """``rows`` dealt to a fixed number of partitions (default: the cluster's
+    parallelism) by their hash and ordered by it within.  Trees sample rows by
+    partition and place, so a fit depends on the rows and this number alone,
+    not on the layout of the input."""
+    n = partitions or rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(n, key).sortWithinPartitions(key)
+
+
+def _features_of(stages: PipelineModel, rows: DataFrame, keep: list[str], partitions: int | None) -> DataFrame:
+    return laid_out(stages.transform(rows).select("features", *keep, ROW_HASH), partitions).drop(ROW_HASH)
+
+
+def fit_stages(stages: list, est: GBTClassifier, train: DataFrame, partitions: int | None = None) -> PipelineModel:
+    """The feature stages fitted on ``train``, then the trees on the features
+    alone; one model that scores raw rows."""
+    prep = Pipeline(stages=stages).fit(train)
+    keep = [est.getLabelCol()] + ([est.getWeightCol()] if est.isSet("weightCol") else [])
+    rows = _features_of(prep, train, keep, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(prep.stages + [est.fit(rows)])
+    finally:
+        rows.unpersist()
+
+
+def cross_validate(stages: Callable[[], list], est: GBTClassifier, maps: list, train: DataFrame,
+                   labels: list[dict], fold_col: str = "fold", folds: int = C.CV_FOLDS,
+                   parallelism: int = 2, partitions: int | None = None) -> SearchResult:
     """k-fold search over ``maps`` using the row's hash fold; refits the best.
 
-    The fold column comes from ``split.stratified_folds`` (k distinct values
-    0..k-1), so folds are reproducible and need no random split.
-    ``parallelism`` (concurrent fits) defaults to min(fits, cluster cores).
+    The feature stages are fitted once per fold, on its training part; its
+    features are persisted once and shared by all parameter sets, of which
+    ``parallelism`` are fitted at a time.  Without rows of both classes in a
+    held-out fold its AUC is left out of the mean.
     """
-    if parallelism is None:
-        cores = train.sparkSession.sparkContext.defaultParallelism
-        parallelism = max(1, min(len(maps) * folds, cores))
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=auc_evaluator(),
-                        foldCol=fold_col, numFolds=folds,
-                        parallelism=parallelism, seed=C.RANDOM_STATE)
-    cv_model = cv.fit(train)
-    metrics = list(cv_model.avgMetrics)
-    best = max(range(len(metrics)), key=lambda i: metrics[i])
-    results = [dict(lab, avg_auc=float(m)) for lab, m in zip(labels, metrics)]
-    return SearchResult(cv_model.bestModel, results, best)
+    keep = [est.getLabelCol(), est.getWeightCol()]
+    evaluator = auc_evaluator(est.getLabelCol())
+    scores: list[list[float]] = [[] for _ in maps]
+    for f in range(folds):
+        own, held = train.filter(F.col(fold_col) != f), train.filter(F.col(fold_col) == f)
+        prep = Pipeline(stages=stages()).fit(own)
+        fit_rows = _features_of(prep, own, keep, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+        test_rows = prep.transform(held).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
+
+        @inheritable_thread_target(train.sparkSession)
+        def measure(i: int) -> float:
+            return evaluator.evaluate(est.fit(fit_rows, maps[i]).transform(test_rows))
+
+        try:
+            if test_rows.select(keep[0]).distinct().count() < 2:
+                continue
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                for i, auc in enumerate(pool.map(measure, range(len(maps)))):
+                    scores[i].append(float(auc))
+        finally:
+            fit_rows.unpersist()
+            test_rows.unpersist()
+    metrics = [sum(s) / len(s) if s else float("nan") for s in scores]
+    best = max(range(len(maps)), key=lambda i: (metrics[i] if metrics[i] == metrics[i] else -1.0, -i))
+    results = [dict(lab, avg_auc=m) for lab, m in zip(labels, metrics)]
+    return SearchResult(fit_stages(stages(), est.copy(maps[best]), train, partitions), results, best)
 
 
 @dataclass
 class Scorer:
-    """A fitted model plus, for the prepared variant, its fitted feature
-    preparation.  ``score`` keeps the input columns and adds ``prediction``
-    and ``prob_churn``; everything is a map-only projection."""
+    """A fitted pipeline.  ``score`` keeps the input columns and adds
+    ``prediction`` and ``prob_churn``; everything is a map-only projection."""
 
     model: PipelineModel
-    prep: object = None          # prep.PrepStats or None
 
     def score(self, df: DataFrame, threshold: float | None = None) -> DataFrame:
         """``threshold`` (e.g. the Youden cut-off of ``evaluate.youden_threshold``)
         replaces the model's own decision: prediction = prob_churn >= threshold."""
         keep = df.columns
-        x = with_prepared(df, self.prep) if self.prep is not None else df
-        out = self.model.transform(x).withColumn(
+        out = self.model.transform(df).withColumn(
             "prob_churn", positive_probability("probability"))
         pred = (F.col("prediction") if threshold is None
                 else (F.col("prob_churn") >= F.lit(float(threshold))))
         return out.select(*keep, pred.cast("int").alias("prediction"), "prob_churn")
 
-    def assembled(self, df: DataFrame) -> DataFrame:
-        return with_prepared(df, self.prep) if self.prep is not None else df
-
 
 def slot_names(scorer: Scorer, sample: DataFrame) -> list[str]:
     """Names of the assembled vector's slots, from the column metadata
     (schema only: no job runs)."""
-    schema = scorer.model.transform(scorer.assembled(sample.limit(0))).schema
+    schema = scorer.model.transform(sample.limit(0)).schema
     attrs = schema["features"].metadata["ml_attr"]["attrs"]
     slots = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
     return [name for _, name in slots]

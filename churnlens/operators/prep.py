@@ -18,11 +18,11 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens import config as C
-from churnlens.operators.quantiles import percentile_cont_many
+from churnlens.operators.quantiles import finite, percentile_cont_many
 
 
 @dataclass
@@ -44,76 +44,63 @@ class PrepStats:
         return [f"{c}_{v}" for c, values in self.categories.items() for v in values[1:]]
 
 
-#: One-hot and mode imputation only make sense for low-cardinality columns;
-#: beyond this many distinct values per column the fit stops with an error
-#: instead of collecting an unbounded list to the driver.
-MAX_CATEGORIES = 10_000
-
-
-def _bounded_collect(df: DataFrame, n_columns: int) -> list:
-    limit = MAX_CATEGORIES * max(1, n_columns)
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories per column: not a categorical feature")
-    return rows
-
-
 def numeric_medians(df: DataFrame, columns: list[str] = C.NUM_FEATURES) -> dict[str, float]:
     return percentile_cont_many(df, columns, 0.5)
 
 
-def category_stats(df: DataFrame, columns: list[str] = C.CAT_FEATURES
-                   ) -> tuple[dict[str, str], dict[str, list[str]]]:
-    """Mode (most frequent non-NULL value, smallest on ties) and sorted
-    distinct values of each column, from ONE grouped count over (column,
-    value) pairs whose size is the number of distinct categories."""
+def _category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value, n) of every non-NULL value of the columns."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
-    counts = _bounded_collect(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")),
-                              len(columns))
-    best: dict[str, str] = {}
-    values: dict[str, list[str]] = {c: [] for c in columns}
-    for r in sorted(counts, key=lambda r: (r["feature"], -r["n"], r["value"])):
-        best.setdefault(r["feature"], r["value"])
-        values[r["feature"]].append(r["value"])
-    return {c: best.get(c) for c in columns}, {c: sorted(v) for c, v in values.items()}
+    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_mode_rows(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> DataFrame:
+    """(feature, mode), one row per column with a value: the most frequent
+    value, the smallest on ties.  No list of categories is gathered."""
+    return (_category_counts(df, columns).groupBy("feature")
+            .agg(F.min(F.struct((-F.col("n")).alias("minus"), "value"))["value"].alias("mode")))
 
 
 def category_modes(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> dict[str, str]:
     """Most frequent non-NULL value per column, smallest value on ties."""
-    return category_stats(df, columns)[0]
+    found = {r["feature"]: r["mode"] for r in category_mode_rows(df, columns).collect()}
+    return {c: found.get(c) for c in columns}
+
+
+def category_values(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> dict[str, list[str]]:
+    """Sorted distinct values per column: as many as the one-hot columns that
+    are made of them."""
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for r in _category_counts(df, columns).select("feature", "value").collect():
+        out[r["feature"]].append(r["value"])
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def number(c: str) -> Column:
+    """The column as a finite double, else NULL."""
+    return finite(F.col(c).cast("double"), "double")
 
 
 def impute(df: DataFrame, medians: dict[str, float], modes: dict[str, str]) -> DataFrame:
-    """NULL numerics -> median (as double); NULL categories -> mode."""
-    cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()
-            if m is not None}
+    """NULL, NaN or infinite numerics -> median (as double); NULL categories -> mode."""
+    cols = {c: F.coalesce(number(c), F.lit(m)) for c, m in medians.items() if m is not None}
     cols.update({c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items() if m is not None})
     return df.withColumns(cols)
 
 
 def numeric_moments(df: DataFrame, columns: list[str]) -> tuple[dict[str, float], dict[str, float]]:
-    """Mean and population standard deviation of each column (one aggregate)."""
+    """Mean and population standard deviation of each column's finite values
+    (one aggregate)."""
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
+        aggs += [F.avg(number(c)).alias(f"m{i}"), F.stddev_pop(number(c)).alias(f"s{i}")]
     row = df.agg(*aggs).first()
     return ({c: row[f"m{i}"] for i, c in enumerate(columns)},
             {c: row[f"s{i}"] for i, c in enumerate(columns)})
 
 
-def sorted_categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Distinct values per column, sorted (output size = distinct categories)."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
-    ])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull()).distinct()
-    out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in _bounded_collect(long, len(columns)):
-        out[r["feature"]].append(r["value"])
-    return {c: sorted(v) for c, v in out.items()}
-
-
 def fit_prep(train: DataFrame, num: list[str] = C.NUM_FEATURES,
              cat: list[str] = C.CAT_FEATURES) -> PrepStats:
     """Fit every statistic on ``train``.  The 13 feature columns are persisted
@@ -124,7 +111,7 @@ def fit_prep(train: DataFrame, num: list[str] = C.NUM_FEATURES,
         medians = numeric_medians(cols, num)
         # Imputing with the mode adds no new value, so the categories of the
         # imputed column are the distinct non-NULL values counted here.
-        modes, categories = category_stats(cols, cat)
+        modes, categories = category_modes(cols, cat), category_values(cols, cat)
         means, stds = numeric_moments(impute(cols, medians, modes), num)
         return PrepStats(medians, modes, means, stds, categories)
     finally:
@@ -154,8 +141,11 @@ def apply_prep(df: DataFrame, stats: PrepStats, digits: int | None = None,
                keep: tuple[str, ...] = ()) -> DataFrame:
     """The full column transform: imputed + standardised numerics and the
     drop-first dummies; other columns are dropped unless listed in ``keep``."""
-    out = onehot_drop_first(standardize(impute(df, stats.medians, stats.modes), stats, digits), stats)
-    return out.select(*stats.means, *stats.dummy_columns(), *keep)
+    out = with_prepared(df, stats)
+    names = {PREPARED_PREFIX + c: c for c in [*stats.means, *stats.dummy_columns()]}
+    rounded = {p: F.round(p, digits) if digits is not None and c in stats.means else F.col(p)
+               for p, c in names.items()}
+    return out.select(*[rounded[p].alias(c) for p, c in names.items()], *keep)
 
 
 PREPARED_PREFIX = "__p_"
@@ -172,7 +162,7 @@ def with_prepared(df: DataFrame, stats: PrepStats, prefix: str = PREPARED_PREFIX
     for c, m in stats.means.items():
         s = stats.stds[c]
         scale = 1.0 if (s is None or s == 0.0) else s
-        filled = F.coalesce(F.col(c).cast("double"), F.lit(stats.medians[c]))
+        filled = F.coalesce(number(c), F.lit(stats.medians[c]))
         cols[prefix + c] = (filled - F.lit(m)) / F.lit(scale)
     for c, values in stats.categories.items():
         filled = F.coalesce(F.col(c), F.lit(stats.modes[c]))
@@ -237,3 +227,40 @@ class ColumnPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         asm = VectorAssembler(inputCols=prepared_columns(stats),
                               outputCol=self.getOrDefault(self.outputCol), handleInvalid="keep")
         return asm.transform(prepared).drop(*prepared_columns(stats))
+
+
+class MedianFill(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Exact medians of numeric columns as a pipeline stage (``ml.feature.Imputer``
+    takes approximate ones that depend on the partitions)."""
+
+    suffix = Param(Params._dummy(), "suffix", "suffix of the filled columns",
+                   typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, numCols=None, suffix="__imp"):
+        super().__init__()
+        self._setDefault(numCols=list(C.NUM_FEATURES), suffix="__imp")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> MedianFillModel:
+        medians = numeric_medians(dataset, self.getOrDefault(self.numCols))
+        return MedianFillModel(statsJson=json.dumps(medians), suffix=self.getOrDefault(self.suffix))
+
+
+class MedianFillModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    statsJson = Param(Params._dummy(), "statsJson", "medians (JSON)",
+                      typeConverter=TypeConverters.toString)
+    suffix = Param(Params._dummy(), "suffix", "suffix of the filled columns",
+                   typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, statsJson=None, suffix="__imp"):
+        super().__init__()
+        self._setDefault(suffix="__imp")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        suffix = self.getOrDefault(self.suffix)
+        return dataset.withColumns({
+            c + suffix: F.coalesce(number(c), F.lit(m).cast("double"))
+            for c, m in json.loads(self.getOrDefault(self.statsJson)).items()})

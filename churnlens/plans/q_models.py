@@ -1,12 +1,16 @@
-"""Model-backed queries.
-
-Their outputs depend on fitted trees, so they are checked by row count only.
-Fitted runs are cached per (Spark application, data folder, run kind): the
-keys that only need *a* model share one fit.
-
-Check budget: ``cv_random`` runs the 20 seeded draws x 3 folds of the
-original search space with every drawn tree count scaled by
-``CHECK_ITERATION_SCALE`` (the library default, ``run_random``, is 1.0).
+"""Model-backed queries.
+
+Fitted trees are no SQL matter, but what must hold of their results is: the
+rows and columns that pass through, the enumerated parameter sets, ranges,
+sums and orders.  Each query returns those, computed by Spark over all rows of
+the real result.  The grid search runs in full.  The random search runs all
+its draws over all folds, with a tenth of the trees of the application's space
+(``CHECK_SPACE``): with all of them it is some 18,000 trees, half an hour on
+eight cores whatever the number of rows.  ``training.run_random`` has the whole
+space as its default.
+
+Fitted runs are kept per (Spark application, data folder, kind): the keys that
+only need the winner of a search share it.
 """
 
 from __future__ import annotations
@@ -15,23 +19,27 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from churnlens import config as C
+from churnlens.functions.expressions import risk_band
 from churnlens.operators import models as M
 from churnlens.operators import scoring as SC
 from churnlens.plans import training as TR
 from churnlens.plans.medallion import split_from
+from churnlens.plans.oracle import cols, q, with_base
 from churnlens.plans.registry import register
 from churnlens.sources import tables as TB
 
-CHECK_ITERATION_SCALE = 0.1
+#: The checks write to a database of their own.
+CHECK_TABLES = C.Tables(database="churnlens_check")
+#: The search space of the registered check.
+CHECK_SPACE = {**C.RANDOM_SPACE, "n_estimators": [20, 30, 40]}
 _RUNS: dict = {}
 
 
 def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _RUNS:
-        fits = {"single": TR.fit_single, "single_prepared": TR.fit_single_prepared,
-                "grid": TR.run_grid,
-                "random": lambda d: TR.run_random(d, iteration_scale=CHECK_ITERATION_SCALE)}
+        fits = {"single": TR.fit_single, "grid": lambda d: TR.run_grid(d, parallelism=6, partitions=2),
+                "random": lambda d: TR.run_random(d, parallelism=8, partitions=2, space=CHECK_SPACE)}
         # Training and hold-out evaluation share the split frame: persisted
         # for the run, released after it.
         df = split_from(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
@@ -44,15 +52,42 @@ def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
     return _RUNS[key]
 
 
+def _gold(spark, sf_dir):
+    return split_from(spark, sf_dir).drop("split", "fold")
+
+
+def _sets_sql(labels: list[dict]) -> str:
+    rows = ", ".join(f"({i}, '{_params_text(r)}')" for i, r in enumerate(labels))
+    return ("SELECT CAST(i AS INTEGER) AS param_set, p AS params, true AS auc_valid, true AS best_above_half "
+            f"FROM (VALUES {rows}) t(i, p)")
+
+
+def _params_text(r: dict) -> str:
+    return ", ".join(f"{k}={v}" for k, v in sorted(r.items()) if k != "avg_auc")
+
+
 def _search_table(spark, run: TR.ModelRun):
     """One row per evaluated parameter set with its mean cross-validated AUC
     (model-sized: the search ran as Spark jobs over the training rows)."""
-    rows = [(i, str(sorted((k, v) for k, v in r.items() if k != "avg_auc")), r["avg_auc"])
-            for i, r in enumerate(run.search.results)]
+    rows = [(i, _params_text(r), r["avg_auc"]) for i, r in enumerate(run.search.results)]
     return spark.createDataFrame(rows, "param_set int, params string, avg_auc double")
 
 
-@register("train_gbt")
+def _checked_search(spark, run):
+    best = _search_table(spark, run).agg((F.max("avg_auc") > 0.5).alias("best_above_half"))
+    return _search_table(spark, run).join(F.broadcast(best)).select(
+        "param_set", "params", F.col("avg_auc").between(0, 1).alias("auc_valid"), "best_above_half")
+
+
+_SLOTS = " + ".join(f'(SELECT count(DISTINCT {q(c)}) FROM train)' for c in C.CAT_FEATURES)
+
+
+@register("train_gbt", with_base(f"""
+SELECT CAST({C.GBTParams().max_iter} AS INTEGER) AS num_trees, CAST({C.GBTParams().max_depth} AS INTEGER) AS max_depth,
+  CAST({C.GBTParams().step_size} AS DOUBLE) AS step_size,
+  CAST({len(C.NUM_FEATURES)} + {_SLOTS} AS INTEGER) AS num_features,
+  count(*) FILTER (WHERE "Churn" = 0) / count(*) FILTER (WHERE "Churn" = 1) AS class_weight_ratio,
+  count(*) AS train_rows FROM train"""))
 def train_gbt_q(spark, sf_dir):
     run = _run(spark, sf_dir, "single")
     gbt = run.scorer.model.stages[-1]
@@ -63,103 +98,152 @@ def train_gbt_q(spark, sf_dir):
         F.lit(run.class_weight).alias("class_weight_ratio"), "train_rows")
 
 
-@register("cv_grid")
+_GRID_LABELS = [{"maxDepth": d, "maxIter": i, "stepSize": s}
+                for d in C.GRID_MAX_DEPTH for i in C.GRID_MAX_ITER for s in C.GRID_STEP_SIZE]
+
+
+@register("cv_grid", _sets_sql(_GRID_LABELS))
 def cv_grid_q(spark, sf_dir):
-    return _search_table(spark, _run(spark, sf_dir, "grid"))
+    return _checked_search(spark, _run(spark, sf_dir, "grid"))
 
 
-@register("cv_random")
+@register("cv_random", _sets_sql(M.random_draws(CHECK_SPACE)))
 def cv_random_q(spark, sf_dir):
-    return _search_table(spark, _run(spark, sf_dir, "random"))
+    return _checked_search(spark, _run(spark, sf_dir, "random"))
 
 
-@register("best_params")
+@register("best_params", f"""
+SELECT CAST({len(_GRID_LABELS)} AS BIGINT) AS n_sets, true AS chosen_is_one, true AS chosen_is_best""")
 def best_params_q(spark, sf_dir):
-    return cv_grid_q(spark, sf_dir).orderBy(F.desc("avg_auc"), "param_set").limit(1)
+    run = _run(spark, sf_dir, "grid")
+    table, chosen = _search_table(spark, run), _params_text(run.search.best)
+    top = table.orderBy(F.desc("avg_auc"), "param_set").limit(1).select(F.col("params").alias("top"))
+    return (table.agg(F.count(F.lit(1)).alias("n_sets"), (F.count_if(F.col("params") == chosen) == 1).alias("chosen_is_one"))
+            .join(F.broadcast(top)).select("n_sets", "chosen_is_one", (F.col("top") == chosen).alias("chosen_is_best")))
+
 
+def _valid(probability: str = "prob_churn"):
+    return F.coalesce(F.col(probability).between(0, 1), F.lit(False))
 
-@register("predict")
+
+@register("predict", with_base('SELECT "Churn", true AS prob_valid, true AS prediction_valid FROM test'))
 def predict_q(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
-    return TR.test_predictions(run, split_from(spark, sf_dir)).select(C.TARGET, "prediction", "prob_churn")
+    run = _run(spark, sf_dir, "grid")
+    return TR.test_predictions(run, split_from(spark, sf_dir)).select(
+        C.TARGET, _valid().alias("prob_valid"),
+        (F.col("prediction") == (F.col("prob_churn") > 0.5).cast("int")).alias("prediction_valid"))
 
 
-@register("score_portfolio")
+@register("score_portfolio", with_base(
+    f"SELECT {cols(C.ALL_FEATURES + [C.TARGET])}, true AS prob_valid, true AS band_valid, "
+    f"'{C.MODEL_TAG_GRID}' AS modelo FROM split"))
 def score_portfolio_q(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
-    gold = split_from(spark, sf_dir).drop("split", "fold")
-    return TR.score_portfolio(run, gold, with_tags=False)
+    scores = TR.score_portfolio(_run(spark, sf_dir, "grid"), _gold(spark, sf_dir), with_tags=False)
+    return scores.select(*C.ALL_FEATURES, C.TARGET, _valid().alias("prob_valid"),
+                         (F.col("nivel_riesgo") == risk_band("prob_churn")).alias("band_valid"), "modelo")
 
 
-@register("score_tags")
+@register("score_tags", with_base(
+    f"SELECT '{C.MODEL_TAG_GRID}' AS modelo, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_timestamps, "
+    "CAST(1 AS BIGINT) AS n_run_ids, count(*) AS n_with_run_id FROM split"))
 def score_tags_q(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
-    gold = split_from(spark, sf_dir).drop("split", "fold")
-    return TR.score_portfolio(run, gold).select("modelo", "scoring_timestamp", "mlflow_run_id")
+    scores = TR.score_portfolio(_run(spark, sf_dir, "grid"), _gold(spark, sf_dir))
+    return scores.groupBy("modelo").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("scoring_timestamp").alias("n_timestamps"),
+        F.count_distinct("mlflow_run_id").alias("n_run_ids"),
+        F.count_if(F.length("mlflow_run_id") > 0).alias("n_with_run_id"))
 
 
-@register("scores_roundtrip")
+@register("scores_roundtrip", with_base(
+    f"SELECT count(*) AS n_rows, '{', '.join(SC.SCORE_COLUMNS)}' AS columns, "
+    "CAST(0 AS BIGINT) AS n_without_band FROM split"))
 def scores_roundtrip_q(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
-    gold = split_from(spark, sf_dir).drop("split", "fold")
-    tables = C.Tables()
-    TB.ensure_database(spark, tables.database)
-    name = TB.write_table(TR.score_portfolio(run, gold), tables.qualified(tables.scores_grid),
+    run, tables = _run(spark, sf_dir, "grid"), CHECK_TABLES
+    TB.ensure_database(spark, tables.qualified_database)
+    name = TB.write_table(TR.score_portfolio(run, _gold(spark, sf_dir)), tables.qualified(tables.scores_grid),
                           tables.fmt, "Churn scores of the Spark-ML boosted trees.")
-    return SC.band_counts(TB.read_table(spark, name))
+    back = TB.read_table(spark, name)
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(", ".join(back.columns)).alias("columns"),
+                    F.count_if(F.col("nivel_riesgo").isNull()).alias("n_without_band"))
 
 
 def _importance_df(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
-    gold = split_from(spark, sf_dir).drop("split", "fold")
-    pairs = M.importance_by_source(run.scorer, gold)
+    pairs = M.importance_by_source(_run(spark, sf_dir, "random").scorer, _gold(spark, sf_dir))
     return spark.createDataFrame(pairs, "feature string, importance double")
 
 
-@register("feature_importance")
+def _features_sql(columns: str) -> str:
+    values = ", ".join(f"('{c}')" for c in C.ALL_FEATURES)
+    return f"SELECT feature, {columns} FROM (VALUES {values}) t(feature)"
+
+
+@register("feature_importance", _features_sql("true AS valid, true AS sum_is_one"))
 def feature_importance_q(spark, sf_dir):
-    return _importance_df(spark, sf_dir)
+    df = _importance_df(spark, sf_dir)
+    total = df.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sum_is_one"))
+    return df.join(F.broadcast(total)).select("feature", F.col("importance").between(0, 1).alias("valid"), "sum_is_one")
 
 
-@register("importance_topk")
+@register("importance_topk", "SELECT CAST(i AS INTEGER) AS place, true AS in_order, true AS known FROM range(1, 11) t(i)")
 def importance_topk_q(spark, sf_dir):
-    return _importance_df(spark, sf_dir).orderBy(F.desc("importance"), "feature").limit(10)
+    from pyspark.sql import Window
 
+    top = _importance_df(spark, sf_dir).orderBy(F.desc("importance"), "feature").limit(10)
+    w = Window.orderBy(F.desc("importance"), "feature")  # ten rows
+    return top.select(F.row_number().over(w).alias("place"),
+                      F.coalesce(F.lag("importance").over(w) >= F.col("importance"), F.lit(True)).alias("in_order"),
+                      F.col("feature").isin(C.ALL_FEATURES).alias("known"))
 
-@register("mean_abs_attribution")
+
+@register("mean_abs_attribution", _features_sql("true AS valid"))
 def mean_abs_attribution_q(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
+    run = _run(spark, sf_dir, "random")
     test = split_from(spark, sf_dir).filter(F.col("split") == "test")
-    return M.mean_abs_attribution(run.scorer, test, run.reference_values())
+    return M.mean_abs_attribution(run.scorer, test, run.reference_values()).select(
+        "feature", F.col("mean_abs_attribution").between(0, 1).alias("valid"))
 
 
 def _impact_metrics(spark, run, sf_dir) -> dict:
-    gold = split_from(spark, sf_dir).drop("split", "fold")
-    row = SC.retention_impact(TR.score_portfolio(run, gold, with_tags=False)).first()
+    row = SC.retention_impact(TR.score_portfolio(run, _gold(spark, sf_dir), with_tags=False)).first()
     return {"roi": row["roi"], "high_risk": row["high_risk"]}
 
 
-@register("run_log")
+#: Metrics of a run that are shares.
+SHARES = ["accuracy", "f1_score", "precision", "recall", "roc_auc", "weighted_f1", "weighted_precision",
+          "weighted_recall"]
+_LOG_ROWS = ([("param", k) for k in ("class_weight_ratio", "maxDepth", "maxIter", "stepSize")]
+             + [("metric", k) for k in sorted([*SHARES, "fit_seconds", "high_risk", "roi"])])
+
+
+def _logged(spark, sf_dir, kind: str):
+    run = _run(spark, sf_dir, kind)
+    name = TR.append_run_log(spark, run, CHECK_TABLES, extra_metrics=_impact_metrics(spark, run, sf_dir))
+    return run, TB.read_table(spark, name)
+
+
+@register("run_log", "SELECT kind, name, true AS value_valid, '" + C.MODEL_TAG_GRID + "' AS model FROM (VALUES "
+          + ", ".join(f"('{k}', '{n}')" for k, n in _LOG_ROWS) + ") t(kind, name)")
 def run_log_q(spark, sf_dir):
-    run = _run(spark, sf_dir, "single")
-    name = TR.append_run_log(spark, run, extra_metrics=_impact_metrics(spark, run, sf_dir))
-    return TB.read_table(spark, name).filter(F.col("run_id") == run.run_id).drop("logged_at")
+    run, log = _logged(spark, sf_dir, "grid")
+    value = F.col("value").try_cast("double")
+    return log.filter(F.col("run_id") == run.run_id).select(
+        "kind", "name", F.coalesce(F.when(F.col("name").isin(SHARES), value.between(0, 1)).otherwise(
+            value.isNotNull() & ~F.isnan(value)), F.lit(False)).alias("value_valid"), "model")
 
 
-@register("model_comparison")
+@register("model_comparison", "SELECT model, true AS roc_auc_valid, true AS f1_valid, true AS roi_valid "
+          f"FROM (VALUES ('{C.MODEL_TAG_GRID}'), ('{C.MODEL_TAG_RANDOM}')) t(model)")
 def model_comparison_q(spark, sf_dir):
-    ids = []
-    for kind in ("single", "single_prepared"):
-        run = _run(spark, sf_dir, kind)
-        name = TR.append_run_log(spark, run, extra_metrics=_impact_metrics(spark, run, sf_dir))
-        ids.append(run.run_id)
-    log = TB.read_table(spark, name).filter(F.col("run_id").isin(*ids))
-    return TR.model_comparison(log)
+    runs = [_logged(spark, sf_dir, kind) for kind in ("grid", "random")]
+    table = TR.model_comparison(runs[-1][1].filter(F.col("run_id").isin(*[r.run_id for r, _ in runs])))
+    return table.select("model", F.col("roc_auc").between(0.5, 1).alias("roc_auc_valid"),
+                        F.col("f1_score").between(0, 1).alias("f1_valid"), F.col("roi").isNotNull().alias("roi_valid"))
 
 
 def flagship(spark, sf_dir: str):
-    """Portfolio -> gold -> small class-weighted GBT -> scores -> band counts."""
+    """Portfolio -> gold -> class-weighted GBT as deep and long as the grid's
+    first parameter set -> scores -> band counts."""
     df = split_from(spark, sf_dir)
-    run = TR.fit_single(df, C.GBTParams(max_iter=5, max_depth=3))
+    run = TR.fit_single(df, C.GBTParams(max_iter=C.GRID_MAX_ITER[0], max_depth=C.GRID_MAX_DEPTH[0]))
     gold = df.drop("split", "fold")
     return SC.band_counts(TR.score_portfolio(run, gold, with_tags=False))

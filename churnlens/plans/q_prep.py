@@ -26,6 +26,10 @@ def _split(spark, sf_dir):
     return split_from(spark, sf_dir)
 
 
+def _train(spark, sf_dir):
+    return _split(spark, sf_dir).filter(F.col("split") == "train")
+
+
 def _fitted(spark, sf_dir):
     df = _split(spark, sf_dir)
     stats = PR.fit_prep(df.filter(F.col("split") == "train"))
@@ -71,30 +75,21 @@ def _dummies_sql() -> str:
 @register("numeric_median", with_base(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, {q('med_' + c)} AS median FROM med" for c in NUM), _MED))
 def numeric_median_q(spark, sf_dir):
-    train = _split(spark, sf_dir).filter(F.col("split") == "train")
-    med = PR.numeric_medians(train, NUM)
-    # The medians come from the distributed refinement (one number per
-    # column); the long-form result is projected from a one-row aggregate.
-    return train.agg(*[F.lit(med[c]).cast("double").alias(c) for c in NUM]).select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("median"))
-                            for c in NUM])).alias("kv")).select("kv.*")
+    med = PR.numeric_medians(_train(spark, sf_dir), NUM)
+    return spark.createDataFrame(list(med.items()), "feature string, median double")
 
 
 @register("category_mode", with_base(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, v AS mode FROM mode_{i}" for i, c in enumerate(CAT)), _MODE))
 def category_mode_q(spark, sf_dir):
-    train = _split(spark, sf_dir).filter(F.col("split") == "train")
-    modes = PR.category_modes(train, CAT)
-    return train.agg(*[F.lit(modes[c]).cast("string").alias(c) for c in CAT]).select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mode"))
-                            for c in CAT])).alias("kv")).select("kv.*")
+    return PR.category_mode_rows(_train(spark, sf_dir), CAT)
 
 
 @register("numeric_moments", with_base(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, {q('med_' + c)} AS median, round({q('m_' + c)}, 6) AS mean, "
     f"round({q('s_' + c)}, 6) AS std FROM med, mom" for c in NUM), _PREP_CTES))
 def numeric_moments_q(spark, sf_dir):
-    train = _split(spark, sf_dir).filter(F.col("split") == "train")
+    train = _train(spark, sf_dir)
     med = PR.numeric_medians(train, NUM)
     imputed = PR.impute(train.select(*NUM), med, {})
     aggs = []
@@ -117,15 +112,15 @@ _CAT_IMP = ", ".join(f"coalesce(split.{q(c)}, (SELECT v FROM mode_{i})) AS {q(c)
 @register("impute_numeric", with_base(
     f'SELECT {_NUM_IMP}, {_CAT_RAW}, split."Churn" FROM split, med', _PREP_CTES))
 def impute_numeric_q(spark, sf_dir):
-    df, stats = _fitted(spark, sf_dir)
-    return PR.impute(df, stats.medians, {})
+    return PR.impute(_split(spark, sf_dir).drop("split", "fold"),
+                     PR.numeric_medians(_train(spark, sf_dir), NUM), {})
 
 
 @register("impute_category", with_base(
     f'SELECT {_NUM_RAW}, {_CAT_IMP}, split."Churn" FROM split', _PREP_CTES))
 def impute_category_q(spark, sf_dir):
-    df, stats = _fitted(spark, sf_dir)
-    return PR.impute(df, {}, stats.modes)
+    return PR.impute(_split(spark, sf_dir).drop("split", "fold"), {},
+                     PR.category_modes(_train(spark, sf_dir), CAT))
 
 
 @register("standardize", with_base(
@@ -141,8 +136,9 @@ def standardize_q(spark, sf_dir):
     "SELECT " + ", ".join(q(c) for c in CAT) + ", " + _dummies_sql() + ', "Churn" FROM imp_all',
     _PREP_CTES))
 def onehot_drop_first_q(spark, sf_dir):
-    df, stats = _fitted(spark, sf_dir)
-    out = PR.onehot_drop_first(PR.impute(df, {}, stats.modes), stats)
+    train = _train(spark, sf_dir)
+    stats = PR.PrepStats({}, PR.category_modes(train, CAT), {}, {}, PR.category_values(train, CAT))
+    out = PR.onehot_drop_first(PR.impute(_split(spark, sf_dir).drop("split", "fold"), {}, stats.modes), stats)
     return out.select(*CAT, *stats.dummy_columns(), C.TARGET)
 
 
@@ -201,9 +197,23 @@ def onehot_keep_q(spark, sf_dir):
     return out.select(*GOLD_ALL, *[flat[c + "__ohe"].alias(c + "__ohe") for c in CAT])
 
 
-@register("assemble")
+_SLOTS = " || ',' || ".join(
+    f"array_to_string([CASE WHEN coalesce(r{i}.idx, -1) = k THEN 1 ELSE 0 END "
+    f"FOR k IN range((SELECT count(*) FROM rank_{i}))], ',')" for i in range(len(CAT)))
+_FILLED = ", ".join(
+    f"coalesce(CAST(split.{q(c)} AS DOUBLE), med.{q('med_' + c)}) AS {q('f_' + c)}" for c in NUM)
+
+
+@register("assemble", with_base(
+    f"SELECT {', '.join('split.' + q(c) for c in GOLD_ALL)}, {_FILLED}, {_SLOTS} AS onehot "
+    f"FROM split {_JOINS}, med", f"{_MED},\n{_RANKS}"))
 def assemble_q(spark, sf_dir):
+    """The assembled vector, its numeric slots as columns and the rest as text."""
     from pyspark.ml.functions import vector_to_array
 
-    out = _indexed(spark, sf_dir)
-    return out.select(*GOLD_ALL, vector_to_array("features").alias("features"))
+    out = _indexed(spark, sf_dir).withColumn("_v", vector_to_array("features"))
+    n = len(NUM)
+    return out.select(
+        *GOLD_ALL, *[F.get("_v", F.lit(i)).alias(f"f_{c}") for i, c in enumerate(NUM)],
+        F.array_join(F.transform(F.slice("_v", F.lit(n + 1), F.size("_v") - n), lambda x: x.cast("int")),
+                     ",").alias("onehot"))

@@ -5,9 +5,9 @@ Two runs mirror the two model notebooks of the application:
 * ``grid``: Spark-native stages (indexers, one-hot, imputer, assembler) and
   class-weighted GBT, grid search over maxDepth x maxIter x stepSize;
 * ``random``: the column transform of ``operators.prep`` (median / mode
-  imputation, standardisation, drop-first one-hot) as a pipeline stage,
-  refitted in every fold, then class-weighted GBT with a seeded random
-  search over the boosted-tree space mapped onto GBTClassifier.
+  imputation, standardisation, drop-first one-hot), refitted in every fold,
+  then class-weighted GBT with a seeded random search over the boosted-tree
+  space mapped onto GBTClassifier.
 
 Everything runs as Spark jobs; the driver only sees parameters, one metric
 per fit and the few-row statistics of the preparation.
@@ -15,8 +15,8 @@ per fit and the few-row statistics of the preparation.
 
 from __future__ import annotations
 
+import time
 import uuid
-from pathlib import Path
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -34,11 +34,6 @@ from churnlens.operators import split as SP
 from churnlens.session import checkpoint_root
 
 
-#: Rows per partition of a model's training input.  Tree fits run a few
-#: Spark jobs per tree level, so tiny partitions only add task overhead.
-ROWS_PER_PARTITION = 500_000
-
-
 @dataclass
 class ModelRun:
     name: str                      # model tag written into the scores
@@ -50,6 +45,7 @@ class ModelRun:
     params: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
     train_rows: DataFrame | None = None
+    fit_seconds: float | None = None
 
     def reference_values(self) -> dict:
         """Training medians / modes (fitted on first use)."""
@@ -58,15 +54,14 @@ class ModelRun:
         return {**self.prep.medians, **self.prep.modes}
 
 
-def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, DataFrame]:
-    """Training rows with ``classWeight``, sized for the fits.
+def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, int, DataFrame]:
+    """Training rows with ``classWeight`` and the row hash that lays them out.
 
-    Returns (weighted rows, n_negative / n_positive, the persisted base to
-    release after the fits).  The base is persisted (MEMORY_AND_DISK: lost
-    blocks are recomputed from lineage) before the class counts, so the
-    upstream plan runs once (unless the caller already persisted
-    ``split_df``); the counts (one row per class) also give the row count
-    that sizes the partitions."""
+    Returns (weighted rows, n_negative / n_positive, number of rows, the
+    persisted base to release after the fits).  The base is persisted
+    (MEMORY_AND_DISK: lost blocks are recomputed from lineage) before the
+    class counts, so the upstream plan runs once (unless the caller already
+    persisted ``split_df``)."""
     base = split_df.filter(F.col("split") == "train").drop("split")
     if not split_df.is_cached:   # a cached input is already cheap to filter
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
@@ -76,80 +71,75 @@ def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, DataFrame]:
         base.unpersist()
         raise ValueError("no positive rows: the class-weight ratio is undefined")
     ratio = n_neg / n_pos
-    target = max(1, -(-sum(counts.values()) // ROWS_PER_PARTITION))
-    weighted = SP.with_class_weight(base, ratio)
-    if weighted.rdd.getNumPartitions() > target:
-        weighted = weighted.coalesce(target)
-    return weighted, ratio, base
+    weighted = SP.with_hash(SP.with_class_weight(base, ratio), name=M.ROW_HASH)
+    return weighted, ratio, n_pos + n_neg, base
 
 
-def run_grid(split_df: DataFrame, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MAX_ITER,
-             step_size=C.GRID_STEP_SIZE, parallelism: int | None = None) -> ModelRun:
+def _searched(split_df: DataFrame, tag: str, ratio_name: str, stages, draws, parallelism: int,
+              partitions: int | None) -> ModelRun:
+    """One search; ``draws(est, rows)`` gives the parameter maps and their labels."""
     checkpoint_root(split_df.sparkSession)   # GBT checkpoints its state there
-    train, ratio, base = training_frame(split_df)
+    began = time.perf_counter()
+    train, ratio, rows, base = training_frame(split_df)
     try:
-        pipeline, est = M.native_pipeline()
-        maps = M.grid_maps(est, max_depth, max_iter, step_size)
-        labels = [{"maxDepth": m[est.maxDepth], "maxIter": m[est.maxIter],
-                   "stepSize": m[est.stepSize]} for m in maps]
-        search = M.cross_validate(pipeline, maps, train, labels, parallelism=parallelism)
+        est = M.gbt()
+        maps, labels = draws(est, rows)
+        search = M.cross_validate(stages, est, maps, train, labels, parallelism=parallelism,
+                                  partitions=partitions)
     finally:
         base.unpersist()
-    params = dict(search.best, class_weight_ratio=ratio)
+    params = {**search.best, ratio_name: ratio}
     params.pop("avg_auc", None)
-    return ModelRun(C.MODEL_TAG_GRID, uuid.uuid4().hex, M.Scorer(search.model), search, ratio,
-                    None, params, train_rows=_train_rows(split_df))
+    return ModelRun(tag, uuid.uuid4().hex, M.Scorer(search.model), search, ratio, None, params,
+                    train_rows=_train_rows(split_df), fit_seconds=time.perf_counter() - began)
 
 
-def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS,
-               iteration_scale: float = 1.0, parallelism: int | None = None,
-               space: dict = C.RANDOM_SPACE) -> ModelRun:
-    """``iteration_scale`` multiplies every drawn tree count (1.0 = as drawn)."""
-    checkpoint_root(split_df.sparkSession)
-    train, ratio, base = training_frame(split_df)
-    try:
-        cols = train.select(*C.ALL_FEATURES, C.TARGET, "classWeight", "fold")
-        pipeline, est = M.prepared_pipeline()
-        picked = M.random_draws(space, draws)
-        maps = [M.draw_to_params(est, d, iteration_scale) for d in picked]
-        labels = [dict(d, max_iter_used=m[est.maxIter]) for d, m in zip(picked, maps)]
-        search = M.cross_validate(pipeline, maps, cols, labels, parallelism=parallelism)
-    finally:
-        base.unpersist()
-    params = dict(search.best, scale_pos_weight=ratio)
-    params.pop("avg_auc", None)
-    return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(search.model), search,
-                    ratio, None, params, train_rows=_train_rows(split_df))
+def run_grid(split_df: DataFrame, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MAX_ITER,
+             step_size=C.GRID_STEP_SIZE, parallelism: int = 2, partitions: int | None = None,
+             tag: str = C.MODEL_TAG_GRID) -> ModelRun:
+    def draws(est, rows):
+        maps = M.grid_maps(est, max_depth, max_iter, step_size)
+        return maps, [{"maxDepth": m[est.maxDepth], "maxIter": m[est.maxIter],
+                       "stepSize": m[est.stepSize]} for m in maps]
+
+    return _searched(split_df, tag, "class_weight_ratio", M.native_stages, draws, parallelism, partitions)
 
 
-def fit_single(split_df: DataFrame, params: C.GBTParams = C.GBTParams()) -> ModelRun:
-    """One class-weighted fit of the native pipeline (no search)."""
+def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS, parallelism: int = 2,
+               space: dict = C.RANDOM_SPACE, partitions: int | None = None,
+               tag: str = C.MODEL_TAG_RANDOM) -> ModelRun:
+    def picked(est, rows):
+        labels = M.random_draws(space, draws)
+        return [M.draw_to_params(est, d, rows) for d in labels], labels
+
+    return _searched(split_df, tag, "scale_pos_weight", M.prepared_stages, picked, parallelism, partitions)
+
+
+def _single(split_df: DataFrame, params: C.GBTParams, tag: str, ratio_name: str, stages,
+            partitions: int | None) -> ModelRun:
     checkpoint_root(split_df.sparkSession)
-    train, ratio, base = training_frame(split_df)
+    began = time.perf_counter()
+    train, ratio, _, base = training_frame(split_df)
     try:
-        pipeline, _ = M.native_pipeline(params)
-        model = pipeline.fit(train)
+        model = M.fit_stages(stages, M.gbt(params), train, partitions)
     finally:
         base.unpersist()
     labels = {"maxDepth": params.max_depth, "maxIter": params.max_iter, "stepSize": params.step_size}
     search = M.SearchResult(model, [dict(labels, avg_auc=None)], 0)
-    return ModelRun(C.MODEL_TAG_GRID, uuid.uuid4().hex, M.Scorer(model), search, ratio, None,
-                    dict(labels, class_weight_ratio=ratio), train_rows=_train_rows(split_df))
+    return ModelRun(tag, uuid.uuid4().hex, M.Scorer(model), search, ratio, None, {**labels, ratio_name: ratio},
+                    train_rows=_train_rows(split_df), fit_seconds=time.perf_counter() - began)
 
 
-def fit_single_prepared(split_df: DataFrame, params: C.GBTParams = C.GBTParams()) -> ModelRun:
+def fit_single(split_df: DataFrame, params: C.GBTParams = C.GBTParams(),
+               partitions: int | None = None) -> ModelRun:
+    """One class-weighted fit on the native stages (no search)."""
+    return _single(split_df, params, C.MODEL_TAG_GRID, "class_weight_ratio", M.native_stages(), partitions)
+
+
+def fit_single_prepared(split_df: DataFrame, params: C.GBTParams = C.GBTParams(),
+                        partitions: int | None = None) -> ModelRun:
     """One class-weighted fit on the prepared columns (no search)."""
-    checkpoint_root(split_df.sparkSession)
-    train, ratio, base = training_frame(split_df)
-    try:
-        pipeline, _ = M.prepared_pipeline(params)
-        model = pipeline.fit(train.select(*C.ALL_FEATURES, C.TARGET, "classWeight"))
-    finally:
-        base.unpersist()
-    labels = {"maxDepth": params.max_depth, "maxIter": params.max_iter, "stepSize": params.step_size}
-    search = M.SearchResult(model, [dict(labels, avg_auc=None)], 0)
-    return ModelRun(C.MODEL_TAG_RANDOM, uuid.uuid4().hex, M.Scorer(model), search, ratio,
-                    None, dict(labels, scale_pos_weight=ratio), train_rows=_train_rows(split_df))
+    return _single(split_df, params, C.MODEL_TAG_RANDOM, "scale_pos_weight", M.prepared_stages(), partitions)
 
 
 def _train_rows(split_df: DataFrame) -> DataFrame:
@@ -205,6 +195,8 @@ def run_log_rows(spark: SparkSession, run: ModelRun, extra_metrics: dict | None
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     rows = [(run.run_id, run.name, "param", k, str(v), now) for k, v in sorted(run.params.items())]
     metrics = dict(run.metrics, **(extra_metrics or {}))
+    if run.fit_seconds is not None:
+        metrics["fit_seconds"] = run.fit_seconds
     rows += [(run.run_id, run.name, "metric", k, repr(float(v)) if v is not None else None, now)
              for k, v in sorted(metrics.items())]
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
@@ -212,10 +204,15 @@ def run_log_rows(spark: SparkSession, run: ModelRun, extra_metrics: dict | None
 
 def append_run_log(spark: SparkSession, run: ModelRun, tables: C.Tables = C.Tables(),
                    extra_metrics: dict | None = None) -> str:
+    """The run's rows in the log, once: a run id that is there already stays as
+    it is, so a repeated call changes nothing."""
     from churnlens.sources import tables as TB
 
-    TB.ensure_database(spark, tables.database)
+    TB.ensure_database(spark, tables.qualified_database)
     name = tables.qualified(tables.run_log)
+    if TB.table_exists(spark, name) and not TB.read_table(spark, name).filter(
+            F.col("run_id") == run.run_id).isEmpty():
+        return name
     return TB.write_table(run_log_rows(spark, run, extra_metrics), name, tables.fmt, mode="append")
 
 
@@ -224,27 +221,21 @@ def model_comparison(run_log: DataFrame, metrics=("roc_auc", "f1_score", "roi"))
     return (run_log.filter((F.col("kind") == "metric") & F.col("name").isin(*metrics))
             .groupBy("run_id", "model")
             .pivot("name", list(metrics))
-            .agg(F.first(F.col("value").cast("double"))))
+            .agg(F.max(F.col("value").cast("double"))))
 
 
 def save_run(run: ModelRun, path: str | None = None) -> str:
-    """Persist the fitted model (and its preparation statistics) under the
-    shared checkpoint folder unless a path is given."""
+    """Persist the fitted pipeline under the shared checkpoint folder unless a
+    path is given; the path becomes a parameter of the run."""
     from churnlens.sources.tables import save_model
 
     spark = SparkSession.getActiveSession()
     path = path or f"{checkpoint_root(spark)}/models/{run.name}-{run.run_id}"
-    save_model(run.scorer.model, f"{path}/model")
-    if run.scorer.prep is not None:
-        spark.createDataFrame([(run.scorer.prep.to_json(),)], "prep string").write.mode(
-            "overwrite").json(f"{path}/prep")
+    run.params["model_path"] = save_model(run.scorer.model, f"{path}/model")
     return path
 
 
-def load_run_scorer(spark: SparkSession, path: str, prepared: bool) -> M.Scorer:
+def load_run_scorer(path: str) -> M.Scorer:
     from churnlens.sources.tables import load_model
 
-    prep = None
-    if prepared and Path(path.replace("file:", ""), "prep").exists():
-        prep = PR.PrepStats.from_json(spark.read.json(f"{path}/prep").first()["prep"])
-    return M.Scorer(load_model(f"{path}/model"), prep)
+    return M.Scorer(load_model(f"{path}/model"))

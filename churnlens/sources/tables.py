@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
 def ensure_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    """``database`` or ``catalog.database``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
 
 
-def table_location(spark: SparkSession, name: str) -> str:
-    """Folder of ``database.table`` inside its database's location."""
-    database, table = name.split(".", 1)
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a table of the session catalog inside its database's location;
+    None for another catalog, which places its tables itself.  ``table``,
+    ``database.table`` and ``catalog.database.table`` are taken; without a
+    database it is the current one."""
+    *prefix, table = name.split(".")
+    database = prefix[-1] if prefix else spark.catalog.currentDatabase()
+    if len(prefix) == 2 and prefix[0] != "spark_catalog":
+        return None
     info = {r["info_name"]: r["info_value"]
-            for r in spark.sql(f"DESCRIBE DATABASE `{database}`").collect()}
+            for r in spark.sql(f"DESCRIBE DATABASE {_quoted(database)}").collect()}
     return f"{info['Location'].rstrip('/')}/{table}"
 
 
@@ -25,11 +40,11 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", comment: str | N
     catalog entry (a new session on a session-scoped catalog) is written
     and re-registered instead of failing on the existing folder."""
     spark = df.sparkSession
-    df.write.format(fmt).mode(mode).option("path", table_location(spark, name)).saveAsTable(name)
+    writer, place = df.write.format(fmt).mode(mode), table_location(spark, name)
+    (writer.option("path", place) if place else writer).saveAsTable(name)
     if comment:
         escaped = comment.replace("'", "\\'")
-        spark.sql(
-            f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{escaped}')")
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('comment' = '{escaped}')")
     return name
 
 

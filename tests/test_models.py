@@ -71,9 +71,10 @@ def test_attribution_one_row_per_feature(native_run, split_df):
 
 def test_save_and_reload_give_identical_scores(spark, native_run, prepared_run, split_df, tmp_path):
     gold = split_df.drop("split", "fold")
-    for run, prepared in ((native_run, False), (prepared_run, True)):
+    for run in (native_run, prepared_run):
         path = TR.save_run(run, str(tmp_path / run.name))
-        again = TR.load_run_scorer(spark, path, prepared)
+        assert run.params["model_path"] == f"{path}/model"
+        again = TR.load_run_scorer(path)
         a = run.scorer.score(gold).select("prob_churn").collect()
         b = again.score(gold).select("prob_churn").collect()
         assert a == b
@@ -101,6 +102,40 @@ def test_run_log_and_comparison(spark, native_run, prepared_run):
         F.col("run_id").isin(native_run.run_id, prepared_run.run_id))
     cmp = TR.model_comparison(log).collect()
     assert len(cmp) == 2 and all(r["roi"] == 1.0 for r in cmp)
+    n = log.count()
+    for run in (native_run, prepared_run):  # a second call changes nothing
+        TR.append_run_log(spark, run, tables, extra_metrics={"roi": 2.0})
+    again = TB.read_table(spark, tables.qualified(tables.run_log)).filter(
+        F.col("run_id").isin(native_run.run_id, prepared_run.run_id))
+    assert again.count() == n and TR.model_comparison(again).collect() == cmp
+
+
+def test_fit_does_not_depend_on_the_input_layout(split_df):
+    params = C.GBTParams(max_iter=5, max_depth=3, subsampling_rate=0.8)
+    one = TR.fit_single(split_df.repartition(1), params, partitions=4)
+    many = TR.fit_single(split_df.repartition(7, "Age"), params, partitions=4)
+    assert one.scorer.model.stages[-1].toDebugString == many.scorer.model.stages[-1].toDebugString.replace(
+        many.scorer.model.stages[-1].uid, one.scorer.model.stages[-1].uid)
+
+
+def test_trees_of_a_gamma_draw_still_split(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        calls = rng.randrange(10)
+        rows.append((i, 20 + i % 40, 12, 5, calls, i % 30, 100.0 + i, 7, calls / 12, 8.0 + i, 1, "Male", "Basic", "Annual",
+                     int(calls >= 5), "train", i % 3))
+    names = ["id", "Age", "Tenure", "usage_frequency", "support_calls", "payment_delay", "total_spend",
+             "last_interaction", "support_calls_per_tenure", "spend_per_tenure", "risk_score_flags", "Gender",
+             "subscription_type", "contract_length", "Churn", "split", "fold"]
+    df = spark.createDataFrame(rows, names).drop("id")
+    space = {k: [v[-1]] for k, v in C.RANDOM_SPACE.items()} | {"gamma": [0.5], "n_estimators": [4]}
+    run = TR.run_random(df, draws=1, space=space)
+    trees = run.scorer.model.stages[-1].trees
+    assert len(trees) == 4 and all(t.numNodes > 1 for t in trees)
+    assert "reg_alpha" not in run.params and run.search.best["avg_auc"] > 0.95
 
 
 def test_search_draws_are_seeded_and_distinct():
@@ -136,7 +171,7 @@ def test_whole_job_small_budget(spark):
     tables = C.Tables(database="churnlens_job_test")
     out = run_job(spark, bronze_from(spark, "/root/testdata/sf0.001"), tables,
                   grid={"max_depth": [2], "max_iter": [3]},
-                  random={"draws": 2, "iteration_scale": 0.01}, concurrent=True)
+                  random={"draws": 2, "space": {**C.RANDOM_SPACE, "n_estimators": [2, 4]}}, concurrent=True)
     assert set(out["models"]) == {"grid", "random"}
     for res in out["models"].values():
         assert TB.read_table(spark, res["scores_table"]).count() == 130

@@ -94,7 +94,7 @@ def test_auc_matches_spark_evaluator_without_binning(spark):
 
 def test_roc_points_cumulative_and_youden(spark):
     df = _frame(spark, [1, 1, 0, 1, 0, 0], [0.9, 0.8, 0.8, 0.4, 0.3, 0.1])
-    pts = {r["threshold"]: r for r in EV.roc_points(df, blocks=2).collect()}
+    pts = {r["threshold"]: r for r in EV.roc_points(df, block_scores=2).collect()}
     assert (pts[0.9]["tp"], pts[0.9]["fp"]) == (1, 0)
     assert (pts[0.8]["tp"], pts[0.8]["fp"]) == (2, 1)
     assert (pts[0.1]["tp"], pts[0.1]["fp"]) == (3, 3)
@@ -141,10 +141,24 @@ def test_roc_blocks_with_concentrated_distinct_scores(spark):
     rng = random.Random(13)
     scores = [0.5 + rng.random() / 100 for _ in range(500)] + [0.9] * 40
     labels = [rng.randint(0, 1) for _ in scores]
-    pts = EV.roc_points(_frame(spark, labels, scores), blocks=8).collect()
+    pts = EV.roc_points(_frame(spark, labels, scores), block_scores=8).collect()
     by_t = {r["threshold"]: (r["tp"], r["fp"]) for r in pts}
     for t, (tp, fp) in by_t.items():
         assert tp == sum(1 for y, s in zip(labels, scores) if s >= t and y == 1)
         assert fp == sum(1 for y, s in zip(labels, scores) if s >= t and y != 1)
-    auc = EV.roc_auc(EV.roc_points(_frame(spark, labels, scores), blocks=8)).first()["auc"]
+    auc = EV.roc_auc(EV.roc_points(_frame(spark, labels, scores), block_scores=8)).first()["auc"]
     assert math.isclose(auc, _pairwise_auc(labels, scores), abs_tol=1e-12)
+
+
+def test_roc_of_any_input(spark):
+    schema = "label int, score double"
+    empty = EV.roc_points(spark.createDataFrame([], schema))
+    assert empty.collect() == [] and EV.roc_auc(empty).first()["auc"] is None
+    assert EV.youden_threshold(empty).collect() == []
+    one_class = EV.roc_points(spark.createDataFrame([(1, 0.2), (1, 0.9)], schema))
+    assert EV.roc_auc(one_class).first()["auc"] is None
+    rows = [(1, 0.9), (0, 0.1), (1, float("nan")), (0, None), (1, float("inf")), (0, float("-inf")), (0, 0.9)]
+    for size in (2, 100_000):
+        points = EV.roc_points(spark.createDataFrame(rows, schema), block_scores=size)
+        assert points.count() == 4
+        assert abs(EV.roc_auc(points).first()["auc"] - 5.5 / 6) < 1e-12
