@@ -92,3 +92,18 @@ def positive_probability(vector_col: str | Column) -> Column:
     from pyspark.ml.functions import vector_to_array
 
     return vector_to_array(col(vector_col)).getItem(1)
+
+
+def tolerant_cast(c: Column, source: str, target: str) -> Column:
+    """``c`` of type ``source`` as ``target``, NULL where it doesn't parse: text
+    like `30.0` is the whole number 30 (decimals are cut off), NaN and
+    infinities are NULL."""
+    if source in ("double", "float"):
+        c = F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+    if source == "string":
+        if target in ("int", "bigint", "smallint", "tinyint"):
+            return F.trim(c).try_cast("decimal(38,10)").try_cast(target)
+        if target in ("double", "float"):
+            number = F.trim(c).try_cast("double")
+            return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number).cast(target)
+    return c.try_cast(target)

@@ -31,7 +31,8 @@ def align_types(parts: list[DataFrame]) -> list[DataFrame]:
     union's numeric widening (int + double -> double).  Any other
     disagreement (e.g. one file's column inferred as text because of a
     malformed value) becomes text in every part, so the union never tries
-    to parse text as a number; the silver ``try_cast`` does that per value.
+    to parse text as a number; the tolerant casts of silver do that per value
+    (`30.0` of a double that became text is still 30).
     """
     types: dict[str, set[str]] = {}
     for df in parts:

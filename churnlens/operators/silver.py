@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens import config as C
+from churnlens.functions.expressions import tolerant_cast
 from churnlens.functions.expressions import flag, guarded_ratio
 from churnlens.operators.quality import expect_drop
 
@@ -27,8 +28,10 @@ def drop_meta(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def cast_columns(df: DataFrame, casts: dict[str, str] = C.CASTS) -> DataFrame:
-    """Typed columns; text that does not parse becomes NULL (``try_cast``)."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items() if c in df.columns})
+    """Typed columns; text that does not parse, NaN and infinities become NULL,
+    `30.0` is the whole number 30."""
+    types = dict(df.dtypes)
+    return df.withColumns({c: tolerant_cast(F.col(c), types[c], t) for c, t in casts.items() if c in types})
 
 
 def dedup(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

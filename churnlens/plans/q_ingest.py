@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from churnlens import config as C
 from churnlens.operators import bronze as B
 from churnlens.plans.medallion import bronze_from
 from churnlens.plans.oracle import with_base
 from churnlens.plans.registry import register
 from churnlens.session import scratch_path
-from churnlens.sources.landing import landing_inventory, read_landing, write_landing
-from churnlens.sources.portfolio import portfolio
+from churnlens.sources.landing import landing_inventory, read_landing, typed, write_landing
+from churnlens.sources.portfolio import portfolio, portfolio_tagged
 
 RENAMED_UNION = """
 SELECT * FROM renamed_train UNION ALL SELECT * FROM renamed_test"""
@@ -23,21 +24,22 @@ def _staged_landing(spark, sf_dir):
     return landing
 
 
-@register("landing_inventory")
+@register("landing_inventory", "SELECT name, true AS has_bytes, true AS has_files FROM "
+          f"(VALUES ('{C.TRAIN_FILE}'), ('{C.TEST_FILE}')) t(name)")
 def landing_inventory_q(spark, sf_dir):
-    landing = _staged_landing(spark, sf_dir)
-    return landing_inventory(spark, landing, "*.csv")
+    found = landing_inventory(spark, _staged_landing(spark, sf_dir), "*.csv")
+    return found.select("name", (F.col("size") > 0).alias("has_bytes"), (F.col("files") > 0).alias("has_files"))
 
 
 @register("csv_ingest", with_base(RENAMED_UNION))
 def csv_ingest_q(spark, sf_dir):
     parts = read_landing(spark, _staged_landing(spark, sf_dir))
-    return B.union_parts([B.rename_headers(df) for df in parts.values()])
+    return B.union_parts([B.rename_headers(typed(df)) for df in parts.values()])
 
 
 @register("bronze_rename", with_base(RENAMED_UNION))
 def bronze_rename_q(spark, sf_dir):
-    return B.union_parts([B.rename_headers(df) for df in portfolio(spark, sf_dir).values()])
+    return B.rename_headers(portfolio_tagged(spark, sf_dir)).drop("_source_file")
 
 
 @register("bronze_provenance", with_base(
@@ -50,8 +52,8 @@ def bronze_provenance_q(spark, sf_dir):
 
 @register("bronze_union", with_base("SELECT * FROM bronze_rows"))
 def bronze_union_q(spark, sf_dir):
-    return B.union_parts([B.tag_source(B.rename_headers(df), name)
-                          for name, df in portfolio(spark, sf_dir).items()])
+    """Both parts by name, as one pass over the source tables emits them."""
+    return B.rename_headers(portfolio_tagged(spark, sf_dir))
 
 
 @register("bronze_ingest_time", with_base("""
@@ -82,5 +84,6 @@ def bronze_stream_q(spark, sf_dir):
     landing = _staged_landing(spark, sf_dir)
     out = scratch_path(spark, "bronze-stream")
     run_bronze_ingest(spark, landing, f"{out}/data", f"{out}/checkpoint")
-    df = spark.read.parquet(f"{out}/data")
+    raw = C.RENAMES
+    df = B.rename_headers(typed(spark.read.parquet(f"{out}/data").withColumnsRenamed({v: k for k, v in raw.items()})))
     return df.withColumn("stamped", F.col("_ingestion_time").isNotNull()).drop("_ingestion_time")

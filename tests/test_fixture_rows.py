@@ -12,7 +12,7 @@ from churnlens.operators import quality as Q
 from churnlens.operators.bronze import bronze
 from churnlens.operators.gold import gold_features
 from churnlens.operators.silver import silver, silver_unfiltered
-from churnlens.sources.landing import TEXT_SCHEMA, landing_inventory, read_landing
+from churnlens.sources.landing import landing_inventory, read_csv, read_landing, typed
 
 HEADER = ("CustomerID,Age,Gender,Tenure,Usage Frequency,Support Calls,Payment Delay,"
           "Subscription Type,Contract Length,Total Spend,Last Interaction,Churn")
@@ -44,9 +44,8 @@ def _write_landing(folder: str) -> str:
 @pytest.fixture(params=["typed", "text"])
 def landed(request, spark, tmp_landing):
     folder = _write_landing(tmp_landing)
-    schema = None if request.param == "typed" else TEXT_SCHEMA
-    parts = read_landing(spark, folder) if schema is None else read_landing(spark, folder, schema=schema)
-    return bronze(parts)
+    parts = read_landing(spark, folder)
+    return bronze({n: typed(df) if request.param == "typed" else df for n, df in parts.items()})
 
 
 def test_bronze_rows_and_provenance(landed):
@@ -133,7 +132,7 @@ def test_inferred_schemas_widen_in_the_union(spark, tmp_landing):
     """With inference the testing file's Age is text ('x'), the training
     file's is numeric; the union widens and silver's try_cast drops 'x'."""
     folder = _write_landing(tmp_landing)
-    parts = read_landing(spark, folder, schema=None, infer_schema=True)
+    parts = read_landing(spark, folder, infer_schema=True)
     types = {name: dict(df.dtypes)["Age"] for name, df in parts.items()}
     assert types[C.TEST_FILE] == "string" and types[C.TRAIN_FILE] != "string"
     b = bronze(parts)
@@ -150,11 +149,11 @@ def test_keep_customer_id_through_dedup(spark, tmp_landing):
     b = bronze(read_landing(spark, folder))
     assert silver(b).count() == 3
     with_ids = silver(b, keep=("CustomerID",))
-    assert sorted(r["CustomerID"] for r in with_ids.collect()) == [1, 2, 3, 4]
+    assert sorted(int(r["CustomerID"]) for r in with_ids.collect()) == [1, 2, 3, 4]
     g = gold_features(with_ids, extra=("CustomerID",))
     assert g.columns[-1] == "CustomerID" and g.count() == 4
     by_id = silver(b, keep=("CustomerID",), dedup_keys=["CustomerID"])
-    assert sorted(r["CustomerID"] for r in by_id.collect()) == [1, 2, 3, 4]
+    assert sorted(int(r["CustomerID"]) for r in by_id.collect()) == [1, 2, 3, 4]
 
 
 def test_check_landing_warns_on_empty(spark, tmp_path):
@@ -166,3 +165,62 @@ def test_check_landing_warns_on_empty(spark, tmp_path):
         assert check_landing(spark, str(empty)) == []
     folder = _write_landing(str(tmp_path))
     assert {n for n, _ in check_landing(spark, folder, "*.csv")} == {C.TRAIN_FILE, C.TEST_FILE}
+
+
+PERMUTED = ("Churn,Age,CustomerID,Gender,Tenure,Usage Frequency,Support Calls,Payment Delay,"
+            "Subscription Type,Contract Length,Last Interaction,Total Spend,Note")
+AWKWARD = {
+    "a.csv": [HEADER, "1,30.0,Female,39.0,14,5,18.0,Standard,Annual,932,17,1.0", "2,NaN,Female,1,1,1,1,Basic,Annual,5,1,0"],
+    "b.csv": [PERMUTED, "0,41,7,Male,6,2,3,4,Basic,Monthly,9,55.5,x", "1,x,8,Male,6,2,3,4,Basic,Monthly,9,55.5,y",
+              "1,42,9,Male,6,2,3,4,Basic,Monthly,9,NaN,z", "0,43,10,Male,6,2,3,4,Basic,Monthly,9,Infinity,z"],
+    "C.CSV": [HEADER, "11,50,Male,12,1,1,1,Premium,Annual,77,3,0"],
+    "d.csv.gz": [PERMUTED, '0,51,12,Male,13,1,1,1,"Pre,mium",Annual,4,88,w'],
+    "e.csv": [],
+}
+
+
+def _awkward(folder) -> str:
+    import gzip
+
+    for name, lines in AWKWARD.items():
+        data = "".join(x + "\n" for x in lines).encode()
+        (folder / name).write_bytes(gzip.compress(data) if name.endswith(".gz") else data)
+    return str(folder)
+
+
+def test_columns_go_by_header_and_whole_numbers_may_have_decimals(spark, tmp_path):
+    from churnlens.streaming.ingest import run_bronze_ingest
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    folder = _awkward(landing)
+    batch = read_csv(spark, folder)
+    by = {r["CustomerID"]: r for r in batch.collect()}
+    assert sorted(map(int, by)) == [1, 2, 7, 8, 9, 10, 11, 12]
+    assert by["7"]["Age"] == "41" and by["8"]["Age"] == "x"  # raw text stays
+    assert by["12"]["Subscription Type"] == "Pre,mium"
+    kept = silver(bronze({"f": batch}), keep=("CustomerID",))
+    assert sorted(int(r["CustomerID"]) for r in kept.collect()) == [1, 7, 11, 12]
+    assert kept.filter("CustomerID = '1'").select("Age", "Tenure", "Churn").first() == (30, 39, 1)
+
+    out = tmp_path / "bronze"
+    assert run_bronze_ingest(spark, folder, str(out / "data"), str(out / "ckpt")) == 1
+    stream = spark.read.parquet(str(out / "data"))
+    want = bronze({"f": batch}).drop("_source_file", "_ingestion_time")
+    got = stream.drop("_source_file", "_ingestion_time").select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {r[0] for r in stream.select("_source_file").distinct().collect()} == set(AWKWARD) - {"e.csv"}
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("CustomerID,Age\n1,2\n")
+    with pytest.raises(ValueError, match="Tenure"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_inferred_types_that_disagree_lose_no_row(spark, tmp_path):
+    for name, age in (("a.csv", "30.0"), ("b.csv", "x")):
+        (tmp_path / name).write_text("\n".join([HEADER, f"1,{age},Male,39.0,14,5,18,Standard,Annual,932,17,1",
+                                                f"2,31.0,Male,39.0,14,5,18,Standard,Annual,{len(name) if age == 'x' else 8},17,1"]) + "\n")
+    parts = {n: read_csv(spark, str(tmp_path / n), infer_schema=True) for n in ("a.csv", "b.csv")}
+    assert silver(bronze(parts)).count() == 3
