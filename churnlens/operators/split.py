@@ -11,8 +11,6 @@ per-class proportions exact with per-class cut-offs found by
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +47,11 @@ def stratified_folds(df: DataFrame, k: int = C.CV_FOLDS, seed: int = C.RANDOM_ST
 def split_by_class(df: DataFrame, label: str = C.TARGET, classes: tuple = (1, 0),
                    test_fraction: float = C.TEST_FRACTION, seed: int = C.RANDOM_STATE
                    ) -> tuple[DataFrame, DataFrame]:
-    """Per-class filter, split and union of the parts (train, test)."""
-    parts = [stratified_split(class_filter(df, v, label), test_fraction, seed) for v in classes]
-    train = reduce(lambda a, b: a.unionByName(b), [p.filter(F.col("split") == "train") for p in parts])
-    test = reduce(lambda a, b: a.unionByName(b), [p.filter(F.col("split") == "test") for p in parts])
-    return train, test
+    """(train, test) of the rows of ``classes``.  The hash splits every class
+    alike, so the union of the per-class splits is one split of their rows:
+    one pass, where a filter and a union per class would each read the input."""
+    rows = stratified_split(df.filter(F.col(label).isin(*classes)), test_fraction, seed)
+    return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "test")
 
 
 def class_filter(df: DataFrame, value, label: str = C.TARGET) -> DataFrame:
@@ -100,3 +98,12 @@ def with_class_weight(df: DataFrame, ratio: float, label: str = C.TARGET,
                       name: str = "classWeight") -> DataFrame:
     """Weight ``ratio`` for class 1 rows, 1.0 for the rest."""
     return df.withColumn(name, F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
+
+
+def with_own_class_weight(df: DataFrame, label: str = C.TARGET, name: str = "classWeight") -> DataFrame:
+    """``with_class_weight`` with the ratio of these very rows, in one plan: the
+    counts are a scalar subquery, nothing is computed ahead on the driver.
+    Without positive rows no row needs the ratio."""
+    y = F.col(label)
+    ratio = df.agg((F.count_if(y == 0) / F.nullif(F.count_if(y == 1), F.lit(0))).alias("r")).scalar()
+    return df.withColumn(name, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))

@@ -28,25 +28,29 @@ from churnlens.sources import tables as TB
 
 def model_stage(spark: SparkSession, gold: DataFrame, kind: str, tables: C.Tables,
                 search: dict | None = None, log: bool = True) -> dict:
-    """One model task: search, evaluate, score table, impact, run log.
+    """One model task: search, evaluate, scores table, impact, stored model,
+    evaluation tables, run log.
 
     With ``log=False`` the run-log entry is returned (``_log``) instead of
-    appended, so concurrent stages never write the same table at once."""
+    appended, so that concurrent stages log one after the other."""
     split_df = stratified_folds(stratified_split(gold)).persist(StorageLevel.MEMORY_AND_DISK)
     opts = dict(search or {})
     try:
         run = TR.run_grid(split_df, **opts) if kind == "grid" else TR.run_random(split_df, **opts)
         metrics = TR.evaluate(run, split_df)
+        table = tables.scores_grid if kind == "grid" else tables.scores_random
+        name = TB.write_table(TR.score_portfolio(run, gold), tables.qualified(table), tables.fmt,
+                              f"Churn scores ({run.name}).")
+        scores = TB.read_table(spark, name)
+        impact = SC.retention_impact(scores).first().asDict()
+        model_path = TR.save_run(run)
+        evaluation = TR.write_evaluation(run, TR.evaluation_frames(run, split_df, scores), tables)
     finally:
         split_df.unpersist()
-    table = tables.scores_grid if kind == "grid" else tables.scores_random
-    name = TB.write_table(TR.score_portfolio(run, gold), tables.qualified(table), tables.fmt,
-                          f"Churn scores ({run.name}).")
-    impact = SC.retention_impact(TB.read_table(spark, name)).first().asDict()
     extra = {"roi": impact["roi"], "high_risk": impact["high_risk"],
              "best_cv_auc": run.search.best["avg_auc"]}
-    result = {"run_id": run.run_id, "model": run.name, "scores_table": name,
-              "metrics": metrics, "impact": impact, "best": run.search.best}
+    result = {"run_id": run.run_id, "model": run.name, "scores_table": name, "metrics": metrics,
+              "impact": impact, "best": run.search.best, "model_path": model_path, "evaluation": evaluation}
     if log:
         TR.append_run_log(spark, run, tables, extra_metrics=extra)
     else:

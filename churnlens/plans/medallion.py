@@ -45,33 +45,35 @@ def run_medallion(spark: SparkSession, bronze_df: DataFrame, tables: C.Tables =
     read back from storage by the next one, as a batch update does.
 
     The rule metrics of the update (failed rows per rule, kept, dropped) are
-    appended to a ``quality_metrics`` table and the dropped rows, with the
-    rules they fail, overwrite ``silver_quarantine``.  The distinct, derived
-    rows are persisted once and feed the silver write, the metrics aggregate
-    and the quarantine."""
-    from pyspark import StorageLevel
+    appended to the quality table and the dropped rows, with the rules they
+    fail, overwrite the quarantine.  The distinct, derived rows are written
+    once to the shared scratch folder; the silver write, the metrics and the
+    quarantine are narrow passes over it, and it is deleted at the end."""
     from pyspark.sql import functions as F
 
     from churnlens.operators.quality import expect_drop, expect_metrics, expect_violations
+    from churnlens.session import drop_folder, scratch_path
     from churnlens.sources import tables as T
 
-    T.ensure_database(spark, tables.database)
+    T.ensure_database(spark, tables.qualified_database)
     out = {}
     out["bronze"] = T.write_table(bronze_df, tables.qualified(tables.bronze), tables.fmt,
                                   "Raw churn rows (train+test) with standardised column names.")
-    unfiltered = silver_unfiltered(spark.table(out["bronze"])).persist(StorageLevel.MEMORY_AND_DISK)
+    scratch = scratch_path(spark, "silver-unfiltered")
+    silver_unfiltered(spark.table(out["bronze"])).write.parquet(scratch)
     try:
+        unfiltered = spark.read.parquet(scratch)
         out["silver"] = T.write_table(expect_drop(unfiltered), tables.qualified(tables.silver),
                                       tables.fmt,
                                       "Clean, typed, distinct rows with derived business features.")
         metrics = expect_metrics(unfiltered).withColumn("updated_at", F.current_timestamp())
-        out["quality"] = T.write_table(metrics, tables.qualified("quality_metrics"), tables.fmt,
+        out["quality"] = T.write_table(metrics, tables.qualified(tables.quality), tables.fmt,
                                        mode="append")
         out["quarantine"] = T.write_table(
-            expect_violations(unfiltered), tables.qualified("silver_quarantine"), tables.fmt,
+            expect_violations(unfiltered), tables.qualified(tables.quarantine), tables.fmt,
             "Rows dropped by the quality rules, with the rules they fail.")
     finally:
-        unfiltered.unpersist()
+        drop_folder(spark, scratch)
     gold_df = gold_features(spark.table(out["silver"]))
     out["gold"] = T.write_table(gold_df, tables.qualified(tables.gold), tables.fmt,
                                 "Model-ready feature table.")

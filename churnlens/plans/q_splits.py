@@ -55,8 +55,7 @@ SELECT * EXCLUDE (fold, split),
        ELSE 1.0 END AS "classWeight"
 FROM train"""))
 def class_weight_column_q(spark, sf_dir):
-    train = _train(spark, sf_dir).drop("split", "fold")
-    return SP.with_class_weight(train, SP.class_weight_ratio(train))
+    return SP.with_own_class_weight(_train(spark, sf_dir).drop("split", "fold"))
 
 
 @register("row_count", with_base("""

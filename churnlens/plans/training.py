@@ -168,6 +168,37 @@ def evaluate(run: ModelRun, split_df: DataFrame) -> dict:
     return run.metrics
 
 
+def evaluation_frames(run: ModelRun, split_df: DataFrame, scores: DataFrame) -> dict[str, DataFrame]:
+    """What a run's report shows, by name: confusion counts and ROC points of
+    the hold-out rows, importances, attribution, band counts of the stored
+    scores, and the search."""
+    spark = split_df.sparkSession
+    pred = test_predictions(run, split_df)
+    held = pred.select(F.col(C.TARGET).alias("label"), "prediction", F.col("prob_churn").alias("score"))
+    return {
+        "confusion": held.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")),
+        "roc": EV.roc_points(held).select("threshold", "tpr", "fpr"),
+        "importance": spark.createDataFrame(M.importance_by_source(run.scorer, split_df),
+                                            "feature string, importance double"),
+        "attribution": M.mean_abs_attribution(
+            run.scorer, split_df.filter(F.col("split") == "test"), run.reference_values()),
+        "bands": SC.band_counts(scores),
+        "search": spark.createDataFrame(
+            [(i, str(sorted((k, v) for k, v in r.items() if k != "avg_auc")), r["avg_auc"])
+             for i, r in enumerate(run.search.results)], "param_set int, params string, avg_auc double"),
+    }
+
+
+def write_evaluation(run: ModelRun, frames: dict[str, DataFrame], tables: C.Tables = C.Tables()) -> dict[str, str]:
+    """Append each frame, tagged with the run, to its own table."""
+    from churnlens.sources import tables as TB
+
+    return {kind: TB.write_table(
+        df.withColumns({"run_id": F.lit(run.run_id), "model": F.lit(run.name)}),
+        tables.qualified(f"{tables.evaluation}_{kind}"), tables.fmt, mode="append")
+        for kind, df in frames.items()}
+
+
 def score_portfolio(run: ModelRun, gold: DataFrame, with_tags: bool = True,
                     extra: tuple[str, ...] = ()) -> DataFrame:
     """Every gold row scored, banded, tagged and laid out like the scores table.
@@ -229,8 +260,7 @@ def save_run(run: ModelRun, path: str | None = None) -> str:
     path is given; the path becomes a parameter of the run."""
     from churnlens.sources.tables import save_model
 
-    spark = SparkSession.getActiveSession()
-    path = path or f"{checkpoint_root(spark)}/models/{run.name}-{run.run_id}"
+    path = path or f"{checkpoint_root(run.train_rows.sparkSession)}/models/{run.name}-{run.run_id}"
     run.params["model_path"] = save_model(run.scorer.model, f"{path}/model")
     return path
 

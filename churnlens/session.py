@@ -57,3 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder name under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this process wrote, in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import threading
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: One append at a time: two writers of one process share a table's folder.
+_APPENDS = threading.Lock()
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
@@ -41,7 +48,8 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", comment: str | N
     and re-registered instead of failing on the existing folder."""
     spark = df.sparkSession
     writer, place = df.write.format(fmt).mode(mode), table_location(spark, name)
-    (writer.option("path", place) if place else writer).saveAsTable(name)
+    with _APPENDS if mode == "append" else nullcontext():
+        (writer.option("path", place) if place else writer).saveAsTable(name)
     if comment:
         escaped = comment.replace("'", "\\'")
         spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('comment' = '{escaped}')")

@@ -179,6 +179,17 @@ def test_whole_job_small_budget(spark):
         assert res["metrics"]["roc_auc"] is not None
     log = TB.read_table(spark, tables.qualified(tables.run_log))
     ids = [r["run_id"] for r in out["models"].values()]
+    gold = TB.read_table(spark, out["tables"]["gold"])
+    for res in out["models"].values():
+        logged = log.filter((F.col("run_id") == res["run_id"]) & (F.col("name") == "model_path")).first()["value"]
+        again = TR.load_run_scorer(logged.removesuffix("/model")).score(gold).select(*C.ALL_FEATURES, "prob_churn")
+        stored = TB.read_table(spark, res["scores_table"]).select(*C.ALL_FEATURES, "prob_churn")
+        assert again.exceptAll(stored).isEmpty() and stored.exceptAll(again).isEmpty()
+        own = {k: TB.read_table(spark, t).filter(F.col("run_id") == res["run_id"]) for k, t in res["evaluation"].items()}
+        assert own["bands"].agg(F.sum("n")).first()[0] == 130
+        assert own["importance"].count() == own["attribution"].count() == len(C.ALL_FEATURES)
+        assert own["confusion"].agg(F.sum("n")).first()[0] == own["roc"].count() or own["roc"].count() > 1
+        assert own["search"].count() == len({r["params"] for r in own["search"].collect()})
     assert log.filter(F.col("run_id").isin(*ids)).select("run_id").distinct().count() == 2
 
 
@@ -193,3 +204,14 @@ def test_youden_cut_off_as_decision_threshold(native_run, split_df):
     assert at_cut.filter((F.col("prob_churn") >= cut) != (F.col("prediction") == 1)).count() == 0
     default = scored.filter((F.col("prob_churn") > 0.5) & (F.col("prediction") == 0)).count()
     assert default == 0
+
+
+def test_table_names_of_one_two_and_three_parts(spark):
+    df = spark.range(3)
+    TB.ensure_database(spark, "spark_catalog.churnlens_names")
+    for name in ("churnlens_names.t2", "spark_catalog.churnlens_names.t3"):
+        TB.write_table(df, name, comment="it's here")
+        assert TB.read_table(spark, name).count() == 3 and TB.table_comment(spark, name) == "it's here"
+    TB.write_table(df, "churnlens_one_part_name")
+    assert TB.read_table(spark, "churnlens_one_part_name").count() == 3
+    assert C.Tables(catalog="spark_catalog", database="d").qualified("t") == "spark_catalog.d.t"
