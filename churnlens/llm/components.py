@@ -8,21 +8,31 @@ from pyspark.sql import functions as F
 from churnlens.llm.tables import release, stored
 
 
+def _lows(edges: DataFrame) -> DataFrame:
+    """The smallest vertex around every `src`, itself included; a written table,
+    so that joins with it shuffle plain rows on both sides, which Spark splits
+    where a vertex has very many edges."""
+    return stored(edges.groupBy("src").agg(F.least("src", F.min("dst")).alias("low")), "lows")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a vertex moves to the smallest vertex around it."""
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    low = both.groupBy("src").agg(F.least("src", F.min("dst")).alias("low"))
-    return (both.join(low, "src").filter(F.col("dst") > F.col("src"))
-            .select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct())
+    low = _lows(both)
+    moved = stored(both.join(low, "src").filter(F.col("dst") > F.col("src"))
+                   .select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct(), "edges")
+    release(low)
+    return moved
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every vertex (src > dst) and its smaller neighbours move to the smallest."""
-    low = edges.groupBy("src").agg(F.min("dst").alias("low"))
-    moved = edges.join(low, "src")
-    return (moved.select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-            .unionByName(low.select("src", F.col("low").alias("dst")))
-            .filter(F.col("src") != F.col("dst")).distinct())
+    low = _lows(edges)
+    moved = stored(edges.join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+                   .unionByName(low.select("src", F.col("low").alias("dst")))
+                   .filter(F.col("src") != F.col("dst")).distinct(), "edges")
+    release(low)
+    return moved
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -41,7 +51,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct(), "edges")
     state = None
     while True:
-        following = stored(_small_star(_large_star(current)), "edges")
+        large = _large_star(current)
+        following = _small_star(large)
+        release(large)
         seen = following.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         release(current)
         current = following

@@ -226,18 +226,20 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup(), id_col: str =
         "classes")
 
     keys = classes.select("id", F.explode("band_keys").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    candidates = keys.join(hubs.select("key", "hub"), "key").filter("id != hub")
+    # Written, so that a key with very many members is a skewed join of plain rows, which Spark splits.
+    hubs = stored(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
+                  .filter("n > 1").select("key", "hub"), "hubs")
+    candidates = keys.join(hubs, "key").filter("id != hub")
     groups = stored(connected_components(
         candidates.select(F.col("id").alias("src"), F.col("hub").alias("dst")))
         .select(F.col("vertex").alias("id"), F.col("component").alias("group")), "groups")
 
-    members = groups.join(classes.select("id", "digest", "n_shingles", "signature"), "id")
+    members = stored(groups.join(classes.select("id", "digest", "n_shingles", "signature"), "id"), "members")
     sets = (members.select("id", "digest").join(base, "id").select("id", "text", "digest")
             .mapInArrow(_sets(p), "id long, shingles binary"))
-    size = members.groupBy("group").agg(
+    size = stored(members.groupBy("group").agg(
         F.ceil(F.greatest(F.count("*") / p.block_docs,
-                          F.sum("n_shingles") / p.block_shingles)).cast("long").alias("blocks"))
+                          F.sum("n_shingles") / p.block_shingles)).cast("long").alias("blocks")), "sizes")
     dealt = (members.select("id", "group", "signature").join(size, "group")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
              .join(sets, "id")
