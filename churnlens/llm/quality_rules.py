@@ -160,6 +160,9 @@ def judged(docs: DataFrame, params: QualityRules = QualityRules(), text_col: str
                   F.when(F.col("s_rows") >= p.min_rows, F.col(f"s_{c}"))
                   .when(F.col("l_rows") >= p.min_rows, F.col(f"l_{c}"))
                   .otherwise(F.col(f"a_{c}")).alias(c) for c in cuts]))
+    # Written, so that its size is known when the join is planned: the rows are
+    # shuffled to their cut-offs only if there are too many groups to send.
+    groups = stored(groups, "limits")
     within = ((F.col("_symbols") <= F.col("symbols_max")) & (F.col("_lines") <= F.col("lines_max"))
               & (F.col("_repeats") <= F.col("repeats_max")) & (F.col("_length") <= F.col("length_max"))
               & (F.col("_length") >= F.col("length_min")))
