@@ -3,11 +3,8 @@
 Fitted trees are no SQL matter, but what must hold of their results is: the
 rows and columns that pass through, the enumerated parameter sets, ranges,
 sums and orders.  Each query returns those, computed by Spark over all rows of
-the real result.  The grid search runs in full.  The random search runs all
-its draws over all folds, with a tenth of the trees of the application's space
-(``CHECK_SPACE``): with all of them it is some 18,000 trees, half an hour on
-eight cores whatever the number of rows.  ``training.run_random`` has the whole
-space as its default.
+the real result.  Both searches run in full, the random one with all its draws
+of the application's space (some 18,000 trees) over all folds.
 
 Fitted runs are kept per (Spark application, data folder, kind): the keys that
 only need the winner of a search share it.
@@ -30,8 +27,6 @@ from churnlens.sources import tables as TB
 
 #: The checks write to a database of their own.
 CHECK_TABLES = C.Tables(database="churnlens_check")
-#: The search space of the registered check.
-CHECK_SPACE = {**C.RANDOM_SPACE, "n_estimators": [20, 30, 40]}
 _RUNS: dict = {}
 
 
@@ -39,7 +34,7 @@ def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _RUNS:
         fits = {"single": TR.fit_single, "grid": lambda d: TR.run_grid(d, parallelism=6, partitions=2),
-                "random": lambda d: TR.run_random(d, parallelism=8, partitions=2, space=CHECK_SPACE)}
+                "random": lambda d: TR.run_random(d, parallelism=8, partitions=2)}
         # Training and hold-out evaluation share the split frame: persisted
         # for the run, released after it.
         df = split_from(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
@@ -107,7 +102,7 @@ def cv_grid_q(spark, sf_dir):
     return _checked_search(spark, _run(spark, sf_dir, "grid"))
 
 
-@register("cv_random", _sets_sql(M.random_draws(CHECK_SPACE)))
+@register("cv_random", _sets_sql(M.random_draws()))
 def cv_random_q(spark, sf_dir):
     return _checked_search(spark, _run(spark, sf_dir, "random"))
 

@@ -144,6 +144,30 @@ def test_search_draws_are_seeded_and_distinct():
     assert len({tuple(sorted(d.items())) for d in a}) == len(a)
 
 
+def test_registered_random_search_has_the_whole_space(spark, monkeypatch):
+    from churnlens.plans import q_models as Q
+    from churnlens.plans.registry import ORACLES
+
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    def searched(rows, draws=C.RANDOM_SEARCH_DRAWS, parallelism=2, space=C.RANDOM_SPACE, partitions=None, tag=""):
+        seen.update(draws=draws, space=space)
+        raise Stop
+
+    monkeypatch.setattr(TR, "run_random", searched)
+    for name in ("cv_random_q", "feature_importance_q", "importance_topk_q", "mean_abs_attribution_q"):
+        monkeypatch.setattr(Q, "_RUNS", {})
+        seen.clear()
+        with pytest.raises(Stop):
+            getattr(Q, name)(spark, "/root/testdata/sf0.001")
+        assert seen == {"draws": 20, "space": C.RANDOM_SPACE}
+    for draw in M.random_draws(C.RANDOM_SPACE, 20):
+        assert draw["n_estimators"] >= 200 and Q._params_text(draw) in ORACLES["cv_random"]
+
+
 from churnlens.operators.scoring import SCORE_COLUMNS as M_SCORE_COLUMNS  # noqa: E402
 
 
