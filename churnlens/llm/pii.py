@@ -129,7 +129,7 @@ def ipv4(text: str, permute) -> str | None:
 
 def phone(text: str, permute) -> str | None:
     """The country code stays."""
-    code = re.match(r"\+\d{1,3}(?=\D)|", text).group()
+    code = re.match(r"\+\d{1,3}(?=\D)|1(?=[ .-])|", text).group()
     d = _digits(text[len(code):])
     if not 7 <= len(d) <= 14:
         return None
@@ -212,16 +212,19 @@ def email(text: str, permute) -> str | None:
 FORMATS = {"email": email, "card": card, "ip": ipv4, "phone": phone, "ssn": us_number, "iban": iban, "date": date}
 
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
-#: Candidates start at a digit, `+digit` or `(digits`; the first alternative whose value is valid holds.
-_NUMBER = re.compile(
-    r"(?<![\w.+-])(?:"
-    r"(?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-    r"|(?P<date>(?:" + "|".join(rf"\d{{4}}{c}\d\d{c}\d\d|\d\d{c}\d\d{c}\d{{4}}" for c in ("-", "/", r"\."))
-    + r")(?=T\d|\W|$)(?![-/.]\d))"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>\d(?:[ -]?\d){12,18}(?![\w]|-\d))"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?![\w]|-\d)"
-    r"|\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?![\w]|-\d)|\+\d{8,14}(?!\w)))")
+#: Numbers start at a digit, `+digit` or `(digits`; each has four digits at least.
+_START = re.compile(r"(?<![\w.+-])(?=(?:[ ()./+-]*\d){4})[\d+(]")
+_SHAPES = [(kind, re.compile(x)) for kind, x in (
+    ("ip", r"\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"),
+    ("date", "(?:" + "|".join(rf"\d{{4}}{c}\d\d{c}\d\d|\d\d{c}\d\d{c}\d{{4}}" for c in ("-", "/", r"\."))
+     + r")(?=T\d|\W|$)(?![-/.]\d)"),
+    ("ssn", r"\d{3}-\d{2}-\d{4}(?![\w-])"))]
+_GROUPS = re.compile(r"\d+(?:[ -]\d+)*")
+_GROUP = re.compile(r"\d+(?!\w)")
+_PHONE_ENDS = [re.compile(x) for x in (
+    r"(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w]|-\d)",
+    *(rf"\+\d{{1,3}}(?:[ .-]?\(\d{{1,4}}\)\d{{0,4}})?(?:[ .-]\d{{2,12}}){{{n}}}(?![\w]|-\d)" for n in range(6, 0, -1)),
+    r"\+\d{8,14}(?!\w)")]
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _DIGIT = re.compile(r"\d")
 
@@ -239,19 +242,76 @@ class Pseudonyms:
     def _value(self, kind: str, text: str) -> str | None:
         return FORMATS[kind](text, lambda tweak, n, x: self.permutation(tweak, n)(x, self.back))
 
-    def spans(self, text: str) -> Iterator[tuple[int, int, str, str]]:
-        """(start, end, kind, pseudonym) of all values, in order, apart."""
-        found = []
+    def _cards(self, text: str, start: int) -> Iterator[int]:
+        """Where a card number from ``start`` on can end: at the digit groups' ends, the nearest first."""
+        if not text[start].isdigit():
+            return
+        digits = 0
+        for group in _GROUP.finditer(text, start, _GROUPS.match(text, start).end()):
+            digits += group.end() - group.start()
+            if digits > 19:
+                return
+            if digits > 12:
+                yield group.end()
+
+    def _valid(self, kind: str, text: str) -> bool:
+        return self.value(kind, text) is not None
+
+    def _readings(self, text: str, start: int, judged: list) -> Iterator[tuple[str, int]]:
+        """(kind, end) of what can stand at ``start``.  A phone number doesn't reach into a valid card number;
+        the readings looked at for that go to ``judged``."""
+        for kind, shape in _SHAPES:
+            if m := shape.match(text, start):
+                yield kind, m.end()
+        for end in self._cards(text, start):
+            yield "card", end
+        for shape in _PHONE_ENDS:
+            if m := shape.match(text, start):
+                inner = [("card", g.start(), end) for g in _START.finditer(text, start + 1, m.end() + 64)
+                         if g.start() < m.end() for end in self._cards(text, g.start())]
+                judged += [(*x, self._valid(x[0], text[x[1]:x[2]])) for x in inner]
+                if not any(x[3] for x in judged[len(judged) - len(inner):]):
+                    yield "phone", m.end()
+
+    def _found(self, text: str) -> Iterator[tuple[int, int, str, list]]:
+        """(start, end, kind, other readings that reach into it, judged before it, with their verdicts)."""
+        found: list[tuple[int, int, str]] = []
         if "@" in text:
             found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(text)]
         if _DIGIT.search(text):
             found += [(m.start(), m.end(), "iban") for m in _IBAN.finditer(text)]
-            found += [(m.start(), m.end(), m.lastgroup) for m in _NUMBER.finditer(text)]
-        upto = 0
+            found += [(m.start(), len(text) + 1, "number") for m in _START.finditer(text)]
+        upto, judged = 0, []
         for start, end, kind in sorted(found):
-            if start >= upto and (new := self.value(kind, text[start:end])) is not None:
-                yield start, end, kind, new
-                upto = end
+            if start < upto:
+                continue
+            judged = [x for x in judged if x[2] > start]
+            for k, e in self._readings(text, start, judged) if kind == "number" else [(kind, end)]:
+                if self._valid(k, text[start:e]):
+                    yield start, e, k, [x for x in judged if x[1] < e]
+                    upto = e
+                    break
+                judged.append((k, start, e, False))
+
+    def spans(self, text: str) -> list[tuple[int, int, str, str]]:
+        """(start, end, kind, pseudonym) of all values, in order, apart.
+
+        At each start the first reading whose value is valid holds; without
+        one the search goes on right after the start.  A pseudonym that would
+        change the verdict on another reading that reaches into it is permuted
+        again, so the replaced text is read as the text was.  The way back
+        goes from the last value to the first, through the same texts.
+        """
+        found, out = list(self._found(text)), []
+        now = list(text) if any(others for *_, others in found) else []
+        for start, end, kind, others in reversed(found) if self.back else found:
+            new = self.value(kind, text[start:end])
+            if now:
+                now[start:end] = new
+                while any(self._valid(k, "".join(now[a:b])) != valid for k, a, b, valid in others):
+                    now[start:end] = new = self.value(kind, new)
+            out.append((start, end, kind, new))
+        return out[::-1] if self.back else out
 
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         out, at, spans = [], 0, []

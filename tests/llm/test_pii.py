@@ -62,6 +62,44 @@ def test_round_trip(parts):
     assert all(new[a:b] != text[a:b] for _, a, b in spans)
 
 
+NEIGHBOURS = {
+    "4111111111111111 12/25": [("card", 0, 16)],
+    "4111 1111 1111 1111 123": [("card", 0, 19)],
+    "4111-1111-1111-1111-123": [("card", 0, 19)],
+    "123 4111 1111 1111 1111 7": [("card", 4, 23)],
+    "4223 4111 1111 1111 1111": [("card", 5, 24)],
+    "call +44 7911 123456": [("phone", 5, 20)],
+    "+49 30 12345678": [("phone", 0, 15)],
+    "555 123 4567": [("phone", 0, 12)],
+    "1-212-555-0100": [("phone", 0, 14)],
+    "+44 7911 123456 4111 1111 1111 1111": [("phone", 0, 15), ("card", 16, 35)],
+}
+
+
+@pytest.mark.parametrize("text", NEIGHBOURS)
+def test_values_beside_other_numbers(text):
+    new, spans = Pseudonyms(KEY).replace(text)
+    assert spans == NEIGHBOURS[text] and all(new[a:b] != text[a:b] for _, a, b in spans)
+    assert Pseudonyms(KEY, back=True).replace(new)[0] == text
+
+
+def test_a_number_after_a_card_does_not_change_its_pseudonym():
+    plain = Pseudonyms(KEY).replace("4111 1111 1111 1111")[0]
+    for after in (" 123", " 12/25", " 12 25", "-9"):
+        assert Pseudonyms(KEY).replace("4111 1111 1111 1111" + after)[0] == plain + after
+
+
+def test_replaced_texts_are_read_as_the_texts_were():
+    """Numbers that aren't valid before and after valid ones; under every key the way back is the same."""
+    texts = ["4223 4111 1111 1111 1111", "4111 1111 1111 1110 007", "4222 2222 2222 2 411", "DE00 4111 1111 1111 1111",
+             "555 123 4222 1111 1111 1111"]
+    for i in range(300):
+        key = b"key %d" % i
+        for text in texts:
+            new, spans = Pseudonyms(key).replace(text)
+            assert (Pseudonyms(key, back=True).replace(new)) == (text, spans)
+
+
 def test_key_is_needed():
     with pytest.raises(ValueError):
         Pseudonyms(b"")
