@@ -1,6 +1,7 @@
 """Secret scans: candidate strings, told from false positives by a random forest.
 
-Candidates are long runs of token characters with a digit or mixed case.  Of
+Candidates are long runs of token characters with a digit or mixed case, and
+what is assigned to a secret's name, of any characters but spaces and quotes.  Of
 each the forest sees its length, its transitions between kinds of characters,
 how much of it ordinary words and pronounceable letters cover, whether it lies
 in a path, URL or address, and its neighbouring words.  It is trained from
@@ -45,8 +46,17 @@ WORD_PARTS = (
 _RUN = "A-Za-z0-9+/_-"
 
 def _candidate_pattern(least: int) -> str:
-    """A whole run of token characters that has a digit, or a capital after a small letter."""
-    return (rf"(?<![{_RUN}])(?=[{_RUN}]{{{least},}})"
+    """A value of six characters or more right after a secret's name and = or :, up to a space, a quote, the next
+    assignment or closing punctuation; or a whole run of token characters that has a digit, or a capital after a
+    small letter."""
+    names = "|".join(sorted(SECRET_WORDS.split(), key=len, reverse=True))
+    sign, space, inner = "\"'`", r"\s{0,3}", r"[.:)\]}>]"
+    plain = rf"[^\s{sign},;&.:)\]}}>]++"
+    # The short look-behinds come first: the long one is tried after an assignment only.
+    assigned = (rf"(?<=[=:>\s{sign}])(?<=[=:]>?{space}[{sign}]?)"
+                rf"(?<=(?i:{names})[{sign}]?{space}[=:]{{1,2}}>?{space}[{sign}]?)(?=[^\s{sign}=:>][^\s{sign}]{{5}})"
+                rf"{plain}(?:(?:[,;&](?![\w.-]{{1,64}}[=:])|{inner}){{1,8}}+{plain}){{0,64}}+")
+    return (rf"{assigned}|(?<![{_RUN}])(?=[{_RUN}]{{{least},}})"
             rf"(?:(?=[A-Za-z+/_-]*[0-9])|(?=[A-Z+/_-]*[a-z][a-z+/_-]*[A-Z]))[{_RUN}]++={{0,2}}")
 
 
@@ -120,9 +130,11 @@ def labelled_by_form(found: DataFrame) -> DataFrame:
     named = before.rlike(rf"(?:{names})[\"']?\s*[=:]\s*[\"']?$")
     random = s.rlike("[0-9].*[a-zA-Z].*[0-9]|[a-zA-Z].*[0-9].*[a-zA-Z]")
     issued = s.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^sk-[0-9A-Za-z]{20,}$|^xox[abp]-[0-9A-Za-z-]{10,}$")
-    plain = s.rlike("^[0-9+-]+$") | ~s.rlike("[0-9]") | s.rlike(r"^[a-z]+[0-9]{1,4}$") | \
+    code = s.rlike(r"://|[(\[]|\$\{")
+    plain = s.rlike("^[0-9+-]+$") | (~s.rlike("[0-9]") & ~(named & s.rlike("[^A-Za-z/_-]"))) | \
+        (s.rlike(r"^[a-z]+[0-9]{1,4}$") & ~named) | \
         s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-")
-    return found.withColumn("label", F.when(issued | (named & random), 1).when(plain, 0).cast("int"))
+    return found.withColumn("label", F.when(issued | (named & random & ~code), 1).when(plain, 0).cast("int"))
 
 
 def fit_secrets(labelled: DataFrame, params: SecretForest = SecretForest()) -> PipelineModel | None:

@@ -59,6 +59,38 @@ def test_forest_tells_secrets_from_the_rest(spark):
     assert {(r["id"], r["secret"]) for r in got if r["is_secret"]} == {x for x in truth if x[0] >= 80}
 
 
+def test_values_named_as_secrets_are_candidates(spark):
+    texts = {
+        "password=Tr0ub4dor3": "Tr0ub4dor3", 'api_key: "x9Kq2pLw"': "x9Kq2pLw", "PASSWORD = 'a!b@c$d.e#1'": "a!b@c$d.e#1",
+        "say pwd:p4ss.w0rd-x, then": "p4ss.w0rd-x", '{"secret":"q7;w8,e9"}': "q7;w8,e9", "passwd := h4nter22.": "h4nter22",
+        "token=abc.1234;host=b": "abc.1234", "key => 1a2b3c4d": "1a2b3c4d",
+    }
+    rows = list(enumerate([*texts, "password=abc", "a word: Tr0ub4dor3", "the password of Tr0ub4dor3"]))
+    got = candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["id"], r["start"], r["secret"]) for r in got} == {
+        (i, t.index(v), v) for i, (t, v) in enumerate(texts.items())}
+    long = "password=" + "ab1." * 50_000 + " token=" + "x1!" * 50_000
+    assert len(candidates(spark.createDataFrame([(1, long)], "doc_id long, text string")).collect()) >= 2
+
+
+def test_forest_tells_short_passwords(spark):
+    rng = random.Random(9)
+    pick = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    docs, truth = [], set()
+    for i in range(160):
+        prose, value = words(i, 40), None
+        if i % 2:
+            value = "k" + pick("23456789", 2) + pick("abcdefghkmnpQRSTUVWXYZ", 3) + pick("23456789!@$", 3 + i % 5) + "w7"
+            prose.insert(20, f'{rng.choice(["password", "api_key", "secret"])}={value}')
+            truth.add((i, value))
+        else:
+            prose.insert(20, f'{rng.choice(["key", "token", "password"])}: {rng.choice(["required", "internal", "whatever", "20240102"])}')
+        docs.append((i, " ".join(prose)))
+    found = candidates(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = judged_candidates(found.filter("id >= 80"), fit_secrets(labelled_by_form(found.filter("id < 80")))).collect()
+    assert {(r["id"], r["secret"]) for r in got if r["is_secret"]} == {x for x in truth if x[0] >= 80}
+
+
 def test_awkward_rows(spark):
     assert scan_secrets(none(spark)).collect() == []
     secret = "token = 'a1b2c3d4e5f6a7b8c9d0'"
