@@ -51,6 +51,52 @@ TEMPLATES = {
 }
 
 
+#: Whole notices, as they stand in one comment, and usual short wordings.
+_GNU = ("This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name}General "
+        "Public License as published by the Free Software Foundation, either version {n} of the License, or (at your "
+        "option) any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "{name}General Public License for more details.")
+_GNU_COPY = " You should have received a copy of the GNU {name}General Public License along with this {what}. {rest}"
+_SEE, _OLD_SEE = "If not, see <https://www.gnu.org/licenses/>.", (
+    "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")
+for _id, _what, _name, _n, _rest in (
+        ("GPL-2.0-or-later", "program", "", "2", _OLD_SEE), ("GPL-3.0-or-later", "program", "", "3", _SEE),
+        ("LGPL-2.1-or-later", "library", "Lesser ", "2.1", _OLD_SEE), ("LGPL-3.0-or-later", "library", "Lesser ", "3", _SEE),
+        ("AGPL-3.0-or-later", "program", "Affero ", "3", _SEE)):
+    _parts = {"what": _what, "name": _name, "n": _n, "rest": _rest}
+    TEMPLATES[f"{_id}-warranty"] = _GNU.format(**_parts)
+    TEMPLATES[f"{_id}-notice"] = (_GNU + _GNU_COPY).format(**_parts)
+_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+          "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+          "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+          "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+          "IN THE SOFTWARE.")
+_NOTICE = " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+TEMPLATES |= {
+    "MIT-permission-notice": TEMPLATES["MIT-permission"] + _NOTICE,
+    "MIT-text": TEMPLATES["MIT-permission"] + _NOTICE + " " + _AS_IS,
+    "Apache-2.0-notice": TEMPLATES["Apache-2.0-header"] + " Unless required by applicable law or agreed to in writing, "
+    "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY "
+    "KIND, either express or implied. See the License for the specific language governing permissions and limitations "
+    "under the License.",
+    "ISC-text": TEMPLATES["ISC"] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD "
+    "TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+    "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+    "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+}
+for _id, _words in {"MIT": "MIT License", "Apache-2.0": "Apache License, Version 2.0", "GPL-2.0": "GNU General Public License v2.0",
+                    "GPL-3.0": "GNU General Public License v3.0", "BSD-3-Clause": "BSD 3-Clause License",
+                    "MPL-2.0": "Mozilla Public License 2.0", "ISC": "ISC License"}.items():
+    TEMPLATES[f"{_id}-project"] = f"This project is licensed under the {_words}."
+    TEMPLATES[f"{_id}-distributed"] = f"Distributed under the terms of the {_words}."
+    TEMPLATES[f"{_id}-see"] = f"This project is licensed under the {_words} - see the LICENSE file for details."
+for _id in ("MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-or-later",
+            "LGPL-3.0-or-later", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC0-1.0", "Unlicense"):
+    TEMPLATES[f"{_id}-spdx"] = f"SPDX-License-Identifier: {_id}"
+
+
 def normalised_words(text: Column) -> Column:
     """Words of ASCII letters (lower-cased) and digits and of non-ASCII characters."""
     bare = F.regexp_replace(F.translate(text, _UPPER, _LOWER), r"[^0-9a-z\x{80}-\x{10FFFF}]+", " ")

@@ -47,6 +47,39 @@ def test_equals_brute_force(spark):
     assert len(want) > 60
 
 
+def test_usual_notices_in_comments(spark):
+    gpl = """#!/bin/sh
+# Copyright (C) 2020 Ann Lee
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+
+echo"""
+    mit = "/*\n * Copyright (c) 2021 B\n *\n" + "".join(f" * {x}\n" for x in (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated",
+        "documentation files (the 'Software'), to deal in the Software without restriction, including without limitation",
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and",
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions:", "",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions",
+        "of the Software.", "", "THE SOFTWARE IS PROVIDED 'AS IS', WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,",
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND",
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER",
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH",
+        "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")) + " */"
+    texts = [gpl, mit, "code\n// SPDX-License-Identifier: MIT\nmore", "This project is licensed under the MIT License."]
+    got = license_matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"]) for r in got} == {
+        (0, "GPL-3.0-or-later-warranty"), (1, "MIT-text"), (2, "MIT-spdx"), (3, "MIT-project")}
+    assert len({tuple(split(t)) for t in TEMPLATES.values()}) == len(TEMPLATES)
+
+
 def test_ties_go_to_the_first_name(spark):
     docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
     got = license_matches(docs, {"b": "one two three four", "a": "One, two. Three four!"}).collect()
