@@ -224,3 +224,51 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (pseudonymised(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
             .withColumn("n_found", F.size("pii").cast("long")))
+
+
+OP12_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
+words AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, sum(lang_n)::HUGEINT AS total, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM groups LEFT JOIN counts USING (lang, source)
+           GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (g.total + l.v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 1)) // (l.total + l.v) AS q
+  FROM totals g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.divergence import source_divergence
+
+    return source_divergence(read(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.llm.spelling import Spelling, spelling_variants
+
+    return spelling_variants(read(spark, sf_dir, "documents"), Spelling(misprint=97))
