@@ -272,3 +272,12 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlens.llm.spelling import Spelling, spelling_variants
 
     return spelling_variants(read(spark, sf_dir, "documents"), Spelling(misprint=97))
+
+
+@query("op11_pattern_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from churnlens.llm.cutting_stock import CuttingStock, pack_by_patterns
+
+    params = CuttingStock(tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_by_patterns(read(spark, sf_dir, "documents"), params)
