@@ -13,7 +13,7 @@ import math
 import random
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from churnlens import config as C
 from churnlens.functions.expressions import positive_probability
-from churnlens.operators.prep import PREPARED_PREFIX, ColumnPrep, MedianFill
+from churnlens.operators.boosting import BoostedScorer, BoostParams, Fit, Growth, grow, prepared_names
+from churnlens.operators.prep import PREPARED_PREFIX, ColumnPrep, MedianFill, fit_prep, prepared_columns, with_prepared
 
 IMP, IDX, OHE = "__imp", "__idx", "__ohe"
 #: Column of ``split.with_hash`` that training rows carry.
@@ -77,44 +78,24 @@ def grid_maps(est: GBTClassifier, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MA
             .addGrid(est.maxIter, list(max_iter)).addGrid(est.stepSize, list(step_size)).build())
 
 
-#: Search parameters without a counterpart in GBTClassifier: not drawn, not logged.
-NOT_MAPPED = ("reg_alpha", "reg_lambda")
-
-
 def random_draws(space: dict = C.RANDOM_SPACE, n: int = C.RANDOM_SEARCH_DRAWS,
                  seed: int = C.RANDOM_STATE) -> list[dict]:
-    """``n`` distinct seeded draws of the parameters that take effect
-    (parameter order fixed by the space's keys)."""
+    """``n`` distinct seeded draws of all parameters of the space (parameter
+    order fixed by the space's keys)."""
     rng = random.Random(seed)
-    names = [k for k in space if k not in NOT_MAPPED]
-    total = math.prod(len(space[k]) for k in names)
+    total = math.prod(len(v) for v in space.values())
     seen, draws = set(), []
     while len(draws) < min(n, total):
-        pick = tuple(rng.randrange(len(space[k])) for k in names)
+        pick = tuple(rng.randrange(len(v)) for v in space.values())
         if pick not in seen:
             seen.add(pick)
-            draws.append({k: space[k][i] for k, i in zip(names, pick)})
+            draws.append({k: v[i] for (k, v), i in zip(space.items(), pick)})
     return draws
 
 
-def draw_to_params(est: GBTClassifier, draw: dict, rows: int) -> dict:
-    """How each boosted-tree parameter maps onto GBTClassifier.  ``gamma`` is a
-    loss reduction summed over the rows of a node, ``minInfoGain`` an average
-    per row: it is divided by the number of training rows."""
-    return {
-        est.maxIter: draw["n_estimators"],
-        est.maxDepth: draw["max_depth"],
-        est.stepSize: draw["learning_rate"],
-        est.subsamplingRate: draw["subsample"],
-        est.featureSubsetStrategy: str(draw["colsample_bytree"]),
-        est.minInstancesPerNode: draw["min_child_weight"],
-        est.minInfoGain: draw["gamma"] / max(rows, 1),
-    }
-
-
 @dataclass
 class SearchResult:
-    model: PipelineModel
+    model: PipelineModel | BoostedScorer
     results: list[dict]      # one dict per parameter set: params + avg_auc
     best_index: int
 
@@ -186,6 +167,43 @@ def cross_validate(stages: Callable[[], list], est: GBTClassifier, maps: list, t
     return SearchResult(fit_stages(stages(), est.copy(maps[best]), train, partitions), results, best)
 
 
+def boosted_search(train: DataFrame, draws: list[dict], positive_weight: float, fold_col: str = "fold",
+                   folds: int = C.CV_FOLDS, growth: Growth = Growth()) -> SearchResult:
+    """k-fold search over ``draws`` (BoostParams by name), all models grown together.
+
+    Every draw is fitted once without each fold and once on all rows, so the best
+    draw's model is there when its AUC is known.  The column transform is fitted
+    per fold, with the categories of all rows.  A fold without rows of both
+    classes is left out of a draw's mean."""
+    whole = fit_prep(train)
+    preps = [replace(fit_prep(train.filter(F.col(fold_col) != f)), categories=whole.categories)
+             for f in range(folds)] + [whole]
+    wide, matrices = train, []
+    for i, stats in enumerate(preps):
+        # A fold without any value of a column takes that of all rows.
+        for own, full in ((stats.medians, whole.medians), (stats.modes, whole.modes), (stats.means, whole.means),
+                          (stats.stds, whole.stds)):
+            own.update({c: v for c, v in full.items() if own.get(c) is None})
+        wide = with_prepared(wide, stats, f"__m{i}_")
+        matrices.append(prepared_columns(stats, f"__m{i}_"))
+    params = [BoostParams(**d) for d in draws]
+    fits = [Fit(p, f if f < folds else None, f) for p in params for f in range(folds + 1)]
+    grown = grow(wide, matrices, fits, [positive_weight] * len(fits), growth, key=ROW_HASH, fold=fold_col,
+                 fitted_on=[*range(folds), None])
+    results = []
+    for i, d in enumerate(draws):
+        auc = [a for a in grown.auc[i * (folds + 1): i * (folds + 1) + folds] if a is not None]
+        results.append(dict(d, avg_auc=sum(auc) / len(auc) if auc else float("nan")))
+    best = max(range(len(draws)), key=lambda i: (results[i]["avg_auc"] if auc_known(results[i]) else -1.0, -i))
+    scorer = BoostedScorer(whole, params[best], grown.trees[best * (folds + 1) + folds], grown.edges[-1],
+                           prepared_names(whole))
+    return SearchResult(scorer, results, best)
+
+
+def auc_known(result: dict) -> bool:
+    return not math.isnan(result["avg_auc"])
+
+
 @dataclass
 class Scorer:
     """A fitted pipeline.  ``score`` keeps the input columns and adds
@@ -223,10 +241,12 @@ def source_column(slot: str, sources: list[str]) -> str:
     return best or slot
 
 
-def importance_by_source(scorer: Scorer, sample: DataFrame,
+def importance_by_source(scorer: Scorer | BoostedScorer, sample: DataFrame,
                          sources: list[str] = C.ALL_FEATURES) -> list[tuple[str, float]]:
     """GBT gain importance summed per source column: every one-hot slot is
     attributed to its own categorical column (slot names from metadata)."""
+    if isinstance(scorer, BoostedScorer):
+        return scorer.importance()
     values = scorer.model.stages[-1].featureImportances.toArray()
     totals = {s: 0.0 for s in sources}
     for name, v in zip(slot_names(scorer, sample), values):

@@ -6,8 +6,8 @@ Two runs mirror the two model notebooks of the application:
   class-weighted GBT, grid search over maxDepth x maxIter x stepSize;
 * ``random``: the column transform of ``operators.prep`` (median / mode
   imputation, standardisation, drop-first one-hot), refitted in every fold,
-  then class-weighted GBT with a seeded random search over the boosted-tree
-  space mapped onto GBTClassifier.
+  then second-order boosted trees (``operators.boosting``) with a seeded random
+  search over all parameters of the space.
 
 Everything runs as Spark jobs; the driver only sees parameters, one metric
 per fit and the few-row statistics of the preparation.
@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens import config as C
+from churnlens.operators import attribution as AT
 from churnlens.operators import evaluate as EV
 from churnlens.operators import models as M
 from churnlens.operators import prep as PR
 from churnlens.operators import scoring as SC
 from churnlens.operators import split as SP
+from churnlens.operators.boosting import BoostedScorer, Growth
 from churnlens.session import checkpoint_root
 
 
@@ -38,7 +40,7 @@ from churnlens.session import checkpoint_root
 class ModelRun:
     name: str                      # model tag written into the scores
     run_id: str
-    scorer: M.Scorer
+    scorer: M.Scorer | BoostedScorer
     search: M.SearchResult
     class_weight: float
     prep: PR.PrepStats | None      # training statistics (computed on demand)
@@ -75,6 +77,14 @@ def training_frame(split_df: DataFrame) -> tuple[DataFrame, float, int, DataFram
     return weighted, ratio, n_pos + n_neg, base
 
 
+#: Training rows of a Spark ML fit in one partition.
+ROWS_PER_PARTITION = 1_000_000
+
+
+def _partitions(rows: int, given: int | None) -> int:
+    return given or max(1, -(-rows // ROWS_PER_PARTITION))
+
+
 def _searched(split_df: DataFrame, tag: str, ratio_name: str, stages, draws, parallelism: int,
               partitions: int | None) -> ModelRun:
     """One search; ``draws(est, rows)`` gives the parameter maps and their labels."""
@@ -85,7 +95,7 @@ def _searched(split_df: DataFrame, tag: str, ratio_name: str, stages, draws, par
         est = M.gbt()
         maps, labels = draws(est, rows)
         search = M.cross_validate(stages, est, maps, train, labels, parallelism=parallelism,
-                                  partitions=partitions)
+                                  partitions=_partitions(rows, partitions))
     finally:
         base.unpersist()
     params = {**search.best, ratio_name: ratio}
@@ -105,23 +115,28 @@ def run_grid(split_df: DataFrame, max_depth=C.GRID_MAX_DEPTH, max_iter=C.GRID_MA
     return _searched(split_df, tag, "class_weight_ratio", M.native_stages, draws, parallelism, partitions)
 
 
-def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS, parallelism: int = 2,
-               space: dict = C.RANDOM_SPACE, partitions: int | None = None,
-               tag: str = C.MODEL_TAG_RANDOM) -> ModelRun:
-    def picked(est, rows):
-        labels = M.random_draws(space, draws)
-        return [M.draw_to_params(est, d, rows) for d in labels], labels
-
-    return _searched(split_df, tag, "scale_pos_weight", M.prepared_stages, picked, parallelism, partitions)
+def run_random(split_df: DataFrame, draws: int = C.RANDOM_SEARCH_DRAWS, space: dict = C.RANDOM_SPACE,
+               growth: Growth = Growth(), tag: str = C.MODEL_TAG_RANDOM) -> ModelRun:
+    """Random search over all parameters of the space, all models grown together."""
+    began = time.perf_counter()
+    train, ratio, _, base = training_frame(split_df)
+    try:
+        search = M.boosted_search(train, M.random_draws(space, draws), ratio, growth=growth)
+    finally:
+        base.unpersist()
+    params = {**search.best, "scale_pos_weight": ratio}
+    params.pop("avg_auc", None)
+    return ModelRun(tag, uuid.uuid4().hex, search.model, search, ratio, search.model.prep, params,
+                    train_rows=_train_rows(split_df), fit_seconds=time.perf_counter() - began)
 
 
 def _single(split_df: DataFrame, params: C.GBTParams, tag: str, ratio_name: str, stages,
             partitions: int | None) -> ModelRun:
     checkpoint_root(split_df.sparkSession)
     began = time.perf_counter()
-    train, ratio, _, base = training_frame(split_df)
+    train, ratio, rows, base = training_frame(split_df)
     try:
-        model = M.fit_stages(stages, M.gbt(params), train, partitions)
+        model = M.fit_stages(stages, M.gbt(params), train, _partitions(rows, partitions))
     finally:
         base.unpersist()
     labels = {"maxDepth": params.max_depth, "maxIter": params.max_iter, "stepSize": params.step_size}
@@ -168,6 +183,14 @@ def evaluate(run: ModelRun, split_df: DataFrame) -> dict:
     return run.metrics
 
 
+def attribution(run: ModelRun, rows: DataFrame) -> DataFrame:
+    """(feature, mean_abs_attribution): Shapley values of the boosted trees, the
+    effect of one replaced column for a Spark ML pipeline."""
+    if isinstance(run.scorer, BoostedScorer):
+        return AT.mean_abs_shapley(AT.shapley_values(run.scorer, rows)).drop("max_error")
+    return M.mean_abs_attribution(run.scorer, rows, run.reference_values())
+
+
 def evaluation_frames(run: ModelRun, split_df: DataFrame, scores: DataFrame) -> dict[str, DataFrame]:
     """What a run's report shows, by name: confusion counts and ROC points of
     the hold-out rows, importances, attribution, band counts of the stored
@@ -180,8 +203,7 @@ def evaluation_frames(run: ModelRun, split_df: DataFrame, scores: DataFrame) ->
         "roc": EV.roc_points(held).select("threshold", "tpr", "fpr"),
         "importance": spark.createDataFrame(M.importance_by_source(run.scorer, split_df),
                                             "feature string, importance double"),
-        "attribution": M.mean_abs_attribution(
-            run.scorer, split_df.filter(F.col("split") == "test"), run.reference_values()),
+        "attribution": attribution(run, split_df.filter(F.col("split") == "test")),
         "bands": SC.band_counts(scores),
         "search": spark.createDataFrame(
             [(i, str(sorted((k, v) for k, v in r.items() if k != "avg_auc")), r["avg_auc"])
@@ -256,16 +278,28 @@ def model_comparison(run_log: DataFrame, metrics=("roc_auc", "f1_score", "roi"))
 
 
 def save_run(run: ModelRun, path: str | None = None) -> str:
-    """Persist the fitted pipeline under the shared checkpoint folder unless a
+    """Persist the fitted model under the shared checkpoint folder unless a
     path is given; the path becomes a parameter of the run."""
     from churnlens.sources.tables import save_model
 
-    path = path or f"{checkpoint_root(run.train_rows.sparkSession)}/models/{run.name}-{run.run_id}"
-    run.params["model_path"] = save_model(run.scorer.model, f"{path}/model")
+    spark = run.train_rows.sparkSession
+    path = path or f"{checkpoint_root(spark)}/models/{run.name}-{run.run_id}"
+    if isinstance(run.scorer, BoostedScorer):
+        run.params["model_path"] = run.scorer.save(spark, f"{path}/{BOOSTED}")
+    else:
+        run.params["model_path"] = save_model(run.scorer.model, f"{path}/model")
     return path
 
 
-def load_run_scorer(path: str) -> M.Scorer:
+#: Folder of a saved boosted model within its run's folder.
+BOOSTED = "boosted"
+
+
+def load_run_scorer(path: str) -> M.Scorer | BoostedScorer:
     from churnlens.sources.tables import load_model
 
+    spark = SparkSession.getActiveSession()
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BOOSTED}")
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return BoostedScorer.load(spark, f"{path}/{BOOSTED}")
     return M.Scorer(load_model(f"{path}/model"))
