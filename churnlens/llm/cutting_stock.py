@@ -87,7 +87,16 @@ def _encoder(path: str) -> ByteEncoder:
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, part long, no long, rank long, ids binary"
 
 
-def _tokenise(p: CuttingStock):
+def _packed_ids(ids: np.ndarray, narrow: bool) -> bytes:
+    """The width of an id in bytes, then the ids."""
+    return b"\x02" + ids.astype("<u2").tobytes() if narrow else b"\x04" + ids.astype("<u4").tobytes()
+
+
+def _unpacked_ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype("<u4")
+
+
+def _tokenise(p: CuttingStock, batch_bytes: int = 1 << 21):
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "part", "no", "rank"]
     schema = pa.schema([(c, pa.int64()) for c in names] + [("ids", pa.binary())])
 
@@ -96,23 +105,30 @@ def _tokenise(p: CuttingStock):
 
         part = TaskContext.get().partitionId()
         encoder = _encoder(p.tokenizer)
-        narrow = "<u2" if max(encoder.size, p.end_id + 1) <= 1 << 16 else "<u4"
+        narrow = max(encoder.size, p.end_id + 1) <= 1 << 16
         seen = np.zeros(p.capacity + 1, dtype=np.int64)
-        no = 0
+        no = held = 0
+        rows: list[tuple] = []
+
+        def batch_of_rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                rows: list[tuple] = []
-                some = batch.slice(first, 512)
-                for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    ids = np.append(encoder.encode(text or ""), np.uint32(p.end_id)).astype("<u4")
-                    for at in range(0, len(ids), p.capacity):
-                        own = ids[at: at + p.capacity]
-                        n = len(own)
-                        rows.append((key, at, n, zlib.crc32(own), len(ids), part, no, int(seen[n]),
-                                     own.astype(narrow).tobytes() if n < p.capacity else None))
-                        seen[n] += 1
-                        no += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            for key, text in zip(batch.column(0), batch.column(1)):
+                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(p.end_id)).astype("<u4")
+                for at in range(0, len(ids), p.capacity):
+                    own = ids[at: at + p.capacity]
+                    n = len(own)
+                    rows.append((key.as_py(), at, n, zlib.crc32(own), len(ids), part, no, int(seen[n]),
+                                 _packed_ids(own, narrow) if n < p.capacity else None))
+                    seen[n] += 1
+                    no += 1
+                    held += 200 + 2 * n
+                    if held > batch_bytes:
+                        yield batch_of_rows()
+                        rows, held = [], 0
+        if rows:
+            yield batch_of_rows()
 
     return run
 
@@ -422,16 +438,12 @@ def _placed(shared, p: CuttingStock):
     return run
 
 
-def _cut(p: CuttingStock):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        narrow = "<u2" if max(_encoder(p.tokenizer).size, p.end_id + 1) <= 1 << 16 else "<u4"
-        for batch in batches:
-            found = [zlib.crc32(np.frombuffer(ids, narrow)[skip: skip + n].astype("<u4")) for ids, skip, n in zip(*(
-                batch.column(c).to_pylist() for c in ("ids", "skip", "length")))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()) if c == "ids_crc32" else batch.column(c) for c in OUT], names=OUT)
-
-    return run
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [zlib.crc32(_unpacked_ids(ids)[skip: skip + n]) for ids, skip, n in zip(*(
+            batch.column(c).to_pylist() for c in ("ids", "skip", "length")))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.int64()) if c == "ids_crc32" else batch.column(c) for c in OUT], names=OUT)
 
 
 OUT = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -456,6 +468,6 @@ def pack_by_patterns(docs: DataFrame, params: CuttingStock, id_col: str = "doc_i
               .withColumn("rank", F.col("rank") + F.col("before")).drop("before"))
     placed = stored(ranked.mapInArrow(_placed(plan, p), PLACED), "placed")
     cut = (placed.filter("ids_crc32 is null").join(pieces.select("part", "no", "ids"), ["part", "no"])
-           .mapInArrow(_cut(p), ", ".join(f"{c} long" for c in OUT)))
+           .mapInArrow(_cut, ", ".join(f"{c} long" for c in OUT)))
     return (placed.filter("ids_crc32 is not null").select(*OUT).unionByName(cut)
             .withColumnRenamed("id", id_col))
