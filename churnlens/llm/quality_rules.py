@@ -2,11 +2,16 @@
 
 Fixed base rules judge a text by itself.  For the rest every (language, source)
 has its own cut-offs, read from quantile sketches of four ratios.  A sketch is
-a table of counts over log-linear buckets (exact up to 31, then 16 buckets per
+a table of counts over log-linear buckets (exact up to 127, then 64 buckets per
 power of two): two sketches merge by adding counts, so partial sketches combine
-on the map side, a small group takes the merged sketch of its language, a small
-language that of all.  All of it is DataFrame expressions; the texts are not
-shuffled, only counts and the narrow measures are.
+on the map side.  A group's sketch always takes in its language's, with the
+weight of a fixed number of rows, and a language's that of all: a small group
+is judged mostly by its language, a large one by itself, and nothing switches.
+
+A cut-off is a rate.  A text has as many units (symbols, lines, words, letters)
+as chance allows at that rate: six standard errors more than expected are still
+fine.  All of it is DataFrame expressions; the texts are not shuffled, only
+counts and the narrow measures are.
 """
 
 from __future__ import annotations
@@ -23,18 +28,24 @@ SPACE = r"\x20\x09-\x0D"
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Ratios are in thousandths.  A text is rejected if a ratio is above
-    median + `spread` * (median - lower quartile) of its group and above the
-    slack around the median; mean word length also if it is as far below.
-    Median and lower quartile hold while less than half of a group is junk."""
+    """Rates are in thousandths.  The cut-off of symbols, repeated lines and
+    repeated words is the 90 % quantile q9 + `spread` * (q9 - median); those of
+    mean word length are median + `spread` * (median - lower quartile) and median -
+    `spread` * (upper quartile - median), which hold while less than half of a group
+    is junk.  A distance is at least the sketch's resolution there.  A text is
+    rejected `errors` standard errors of a count beyond a cut-off.  `prior_rows`:
+    the weight of the wider sketch."""
     min_words: int = 50
     max_repeat_percent: int = 50
     spread: int = 6
-    min_rows: int = 200
-    symbol_slack: int = 100
-    line_slack: int = 500
-    repeat_slack: int = 400
-    length_slack: int = 2000
+    errors: int = 6
+    prior_rows: int = 200
+
+
+#: Sketch buckets a power of two.
+FINE = 64
+#: A row's weight in whole-number sketches that take in a share of a wider one.
+SCALE = 1000
 
 
 METRICS = ("symbols", "lines", "repeats", "length")
@@ -78,47 +89,70 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def bucket(v: Column) -> Column:
-    """The sketch bucket of a whole number from 0: itself below 32, else 16 a power of two."""
+    """The sketch bucket of a whole number from 0: itself below 2 * FINE, else FINE a power of two."""
     e = F.length(F.bin(v)) - 1
-    return F.when(v < 32, v).otherwise(
-        e * 16 + F.pmod(F.floor(v / F.pow(F.lit(2.0), e - 4)), F.lit(16))).cast("long")
+    return F.when(v < 2 * FINE, v).otherwise(
+        e * FINE + F.pmod(F.floor(v / F.pow(F.lit(2.0), e - 6)), F.lit(FINE))).cast("long")
 
 
 def bucket_top(b: Column) -> Column:
     """The largest number in a bucket."""
-    e = F.floor(b / 16)
-    return F.when(b < 32, b).otherwise((17 + b % 16) * F.pow(F.lit(2.0), e - 4) - 1).cast("long")
-
-
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles of every group, by walking over its buckets: a sketch has a
-    bounded number of them, whatever the number of rows."""
-    own = Window.partitionBy(*keys, "metric")
-    walked = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n")).select(
-        *keys, "metric", bucket_top(F.col("bucket")).alias("top"),
-        F.sum("n").over(own).alias("rows"),
-        F.sum("n").over(own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    return walked.groupBy(*keys, "metric").agg(
-        F.max("rows").alias("rows"),
-        *[F.min(F.when(F.col("upto") * 4 >= F.col("rows") * k, F.col("top"))).alias(f"q{k}") for k in (1, 2, 3)])
+    e = F.floor(b / FINE)
+    return F.when(b < 2 * FINE, b).otherwise((FINE + 1 + b % FINE) * F.pow(F.lit(2.0), e - 6) - 1).cast("long")
+
+
+def _taking_in(own: DataFrame, wider: DataFrame, keys: list[str], shared: list[str], p: QualityRules) -> DataFrame:
+    """The sketches ``own`` (keys, metric, bucket, w), each with the sketch of ``wider`` of its
+    ``shared`` keys at the weight of `prior_rows` rows.  Weights stay whole numbers."""
+    total = Window.partitionBy(*shared, "metric")
+    whole = lambda c: F.col(c).cast("decimal(38,0)")
+    prior = wider.select(*[F.col(c).alias(f"p_{c}") for c in shared], F.col("metric").alias("p_metric"), "bucket",
+                         F.call_function("div", F.lit(p.prior_rows * SCALE).cast("decimal(18,0)") * F.col("w").cast("decimal(20,0)"),
+                                         F.sum(whole("w")).over(total).cast("decimal(20,0)")).alias("w"))
+    on = F.col("metric") == F.col("p_metric")
+    for c in shared:
+        on = on & F.col(c).eqNullSafe(F.col(f"p_{c}"))
+    added = own.select(*keys, "metric").distinct().join(prior, on).select(*keys, "metric", "bucket", "w")
+    return own.unionByName(added).groupBy(*keys, "metric", "bucket").agg(F.sum("w").alias("w"))
+
+
+def merged_sketches(sketch: DataFrame, p: QualityRules) -> DataFrame:
+    """(_lang, _source, metric, bucket, w) from counts ``sketch`` (_lang, _source, metric, bucket, n)."""
+    def summed(keys: list[str]) -> DataFrame:
+        return sketch.groupBy(*keys, "metric", "bucket").agg((F.sum("n") * SCALE).alias("w"))
+
+    langs = stored(_taking_in(summed(["_lang"]), summed([]), ["_lang"], [], p), "lang_sketches")
+    return _taking_in(summed(["_lang", "_source"]), langs, ["_lang", "_source"], ["_lang"], p)
+
+
+def cut_offs(sketches: DataFrame, p: QualityRules) -> DataFrame:
+    """One row per (g_lang, g_source): the cut-off rates.  A sketch has a bounded
+    number of buckets, whatever the number of rows, and is walked over."""
+    own = Window.partitionBy("_lang", "_source", "metric")
+    walked = sketches.select(
+        "_lang", "_source", "metric", bucket_top(F.col("bucket")).alias("top"), F.sum("w").over(own).alias("total"),
+        F.sum("w").over(own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
+    quantiles = walked.groupBy("_lang", "_source", "metric").agg(*[
+        F.min(F.when(F.col("upto") * 100 >= F.col("total") * k, F.col("top"))).alias(f"q{k}") for k in (25, 50, 75, 90)])
 
-
-def _limits(quartiles: DataFrame, keys: list[str], p: QualityRules) -> DataFrame:
-    """One row per group: rows and the cut-offs of all ratios."""
     def of(metric: str, value: Column) -> Column:
         return F.max(F.when(F.col("metric") == metric, value))
 
-    def above(slack: int) -> Column:
-        return F.col("q2") + F.greatest(p.spread * (F.col("q2") - F.col("q1")), F.lit(slack))
+    def distance(far: str, near: str) -> Column:
+        return p.spread * F.greatest(F.abs(F.col(far) - F.col(near)), F.floor(F.col(near) / FINE))
+
+    tail = F.col("q90") + distance("q50", "q90")
+    return quantiles.groupBy(F.col("_lang").alias("g_lang"), F.col("_source").alias("g_source")).agg(
+        *[of(m, tail).alias(f"{m}_max") for m in ("symbols", "lines", "repeats")],
+        of("length", F.col("q50") + distance("q25", "q50")).alias("length_max"),
+        of("length", F.greatest(F.col("q50") - distance("q75", "q50"), F.lit(0))).alias("length_min"))
+
 
-    return quartiles.groupBy(*keys).agg(
-        F.max("rows").alias("rows"),
-        of("symbols", above(p.symbol_slack)).alias("symbols_max"),
-        of("lines", above(p.line_slack)).alias("lines_max"),
-        of("repeats", above(p.repeat_slack)).alias("repeats_max"),
-        of("length", above(p.length_slack)).alias("length_max"),
-        of("length", F.col("q2") - F.greatest(p.spread * (F.col("q3") - F.col("q2")),
-                                              F.lit(p.length_slack))).alias("length_min"))
+def beyond(units: Column, size: Column, rate: Column, errors: int, sign: int = 1) -> Column:
+    """Whether ``units`` of ``size`` lie more than ``errors`` standard errors above
+    (``sign`` 1) or below (-1) the number that ``rate`` (thousandths) gives."""
+    expected = rate.cast("double") * size / 1000
+    return sign * (units - expected) > errors * F.sqrt(expected + 1)
 
 
 def judged(docs: DataFrame, params: QualityRules = QualityRules(), text_col: str = "text",
@@ -149,24 +183,16 @@ def judged(docs: DataFrame, params: QualityRules = QualityRules(), text_col: str
                   .alias("x")).select("_lang", "_source", "x.*")
               .groupBy("_lang", "_source", "metric", "bucket").agg(F.count("*").alias("n")))
     sketch = stored(sketch, "sketch")
-    cuts = ["symbols_max", "lines_max", "repeats_max", "length_max", "length_min"]
-    levels = {"s": ["_lang", "_source"], "l": ["_lang"], "a": []}
-    limits = {k: _limits(_quartiles(sketch, keys), keys, p).select(
-        *[F.col(c).alias(f"{k}{c}") for c in keys], *[F.col(c).alias(f"{k}_{c}") for c in ["rows", *cuts]])
-        for k, keys in levels.items()}
-    groups = (limits["s"].join(limits["l"], F.col("s_lang").eqNullSafe(F.col("l_lang")), "left")
-              .join(limits["a"], F.lit(True), "left")
-              .select(F.col("s_lang").alias("g_lang"), F.col("s_source").alias("g_source"), *[
-                  F.when(F.col("s_rows") >= p.min_rows, F.col(f"s_{c}"))
-                  .when(F.col("l_rows") >= p.min_rows, F.col(f"l_{c}"))
-                  .otherwise(F.col(f"a_{c}")).alias(c) for c in cuts]))
     # Written, so that its size is known when the join is planned: the rows are
     # shuffled to their cut-offs only if there are too many groups to send.
-    groups = stored(groups, "limits")
-    within = ((F.col("_symbols") <= F.col("symbols_max")) & (F.col("_lines") <= F.col("lines_max"))
-              & (F.col("_repeats") <= F.col("repeats_max")) & (F.col("_length") <= F.col("length_max"))
-              & (F.col("_length") >= F.col("length_min")))
+    groups = stored(cut_offs(merged_sketches(sketch, p), p), "limits")
+    words, lines = F.col("n_words"), F.col("n_lines")
+    rejected = (beyond(F.col("n_symbols"), words, F.col("symbols_max"), p.errors)
+                | beyond(F.col("n_dup_lines"), lines, F.col("lines_max"), p.errors)
+                | beyond(F.col("n_repeat_words"), words, F.col("repeats_max"), p.errors)
+                | beyond(F.col("word_chars"), words, F.col("length_max"), p.errors)
+                | beyond(F.col("word_chars"), words, F.col("length_min"), p.errors, -1))
     return (d.join(groups, F.col("_lang").eqNullSafe(F.col("g_lang"))
                    & F.col("_source").eqNullSafe(F.col("g_source")), "left")
             .select(*[c for c in own if c != text_col], *MEASURES, "base_failed",
-                    (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept")))
+                    (~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))).alias("kept")))

@@ -100,23 +100,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), fit_urls(labelled_urls(spark)), URL_RULES)
 
 
-_OP5_LIMITS = """
-SELECT {keys} {sep} max(rws) AS n,
-  max(CASE WHEN metric = 'symbols' THEN q2 + greatest(6 * (q2 - q1), 100) END) AS symbols_max,
-  max(CASE WHEN metric = 'lines' THEN q2 + greatest(6 * (q2 - q1), 500) END) AS lines_max,
-  max(CASE WHEN metric = 'repeats' THEN q2 + greatest(6 * (q2 - q1), 400) END) AS repeats_max,
-  max(CASE WHEN metric = 'length' THEN q2 + greatest(6 * (q2 - q1), 2000) END) AS length_max,
-  max(CASE WHEN metric = 'length' THEN q2 - greatest(6 * (q3 - q2), 2000) END) AS length_min
-FROM (
-  SELECT {keys} {sep} metric, max(rws) AS rws, min(CASE WHEN upto * 4 >= rws THEN top END) AS q1,
-    min(CASE WHEN upto * 4 >= rws * 2 THEN top END) AS q2, min(CASE WHEN upto * 4 >= rws * 3 THEN top END) AS q3
-  FROM (
-    SELECT {keys} {sep} metric,
-      CASE WHEN bucket < 32 THEN bucket ELSE ((17 + bucket % 16) << (bucket // 16 - 4)) - 1 END AS top,
-      sum(n) OVER (PARTITION BY {keys} {sep} metric) AS rws,
-      sum(n) OVER (PARTITION BY {keys} {sep} metric ORDER BY bucket) AS upto
-    FROM (SELECT {keys} {sep} metric, bucket, sum(n)::BIGINT AS n FROM sketch GROUP BY ALL))
-  GROUP BY ALL)
+_OP5_MERGED = """
+SELECT {keys}, metric, bucket, sum(w)::HUGEINT AS w FROM (
+  SELECT {keys}, metric, bucket, sum(n)::HUGEINT * 1000 AS w FROM sketch GROUP BY ALL
+  UNION ALL
+  SELECT {own_keys}, o.metric, p.bucket, (200000::HUGEINT * p.w) // p.total AS w
+  FROM (SELECT DISTINCT {keys}, metric FROM sketch) o
+  JOIN (SELECT *, sum(w) OVER (PARTITION BY {shared} metric) AS total FROM {wider}) p ON o.metric = p.metric {on})
 GROUP BY ALL"""
 OP5_CTES = r"""
 docs AS (SELECT row_number() OVER () AS r, *, coalesce(text, '') AS t FROM {documents}),
@@ -141,21 +131,37 @@ ratios AS (
   SELECT lang, source, unnest(['symbols', 'lines', 'repeats', 'length']) AS metric,
     unnest([symbols, lines, repeats, length]) AS v FROM judged JOIN docs USING (r) WHERE NOT base_failed),
 sketch AS (
-  SELECT lang, source, metric, CASE WHEN v < 32 THEN v
-    ELSE (length(bin(v)) - 1) * 16 + (v >> (length(bin(v)) - 5)) % 16 END AS bucket, count(*) AS n
+  SELECT lang, source, metric, CASE WHEN v < 128 THEN v
+    ELSE (length(bin(v)) - 1) * 64 + (v >> (length(bin(v)) - 7)) % 64 END AS bucket, count(*) AS n
   FROM ratios GROUP BY ALL),
-by_source AS (""" + _OP5_LIMITS.format(keys="lang, source", sep=",") + """),
-by_lang AS (""" + _OP5_LIMITS.format(keys="lang", sep=",") + """),
-by_all AS (""" + _OP5_LIMITS.format(keys="", sep="") + """),
+by_all AS (SELECT metric, bucket, sum(n)::HUGEINT * 1000 AS w FROM sketch GROUP BY ALL),
+by_lang AS (""" + _OP5_MERGED.format(keys="lang", own_keys="o.lang", shared="", wider="by_all", on="") + """),
+by_source AS (""" + _OP5_MERGED.format(keys="lang, source", own_keys="o.lang, o.source", shared="lang,", wider="by_lang",
+                                       on="AND o.lang IS NOT DISTINCT FROM p.lang") + """),
+walked AS (
+  SELECT lang, source, metric,
+    CASE WHEN bucket < 128 THEN bucket ELSE ((65 + bucket % 64) << (bucket // 64 - 6)) - 1 END AS top,
+    sum(w) OVER (PARTITION BY lang, source, metric) AS total,
+    sum(w) OVER (PARTITION BY lang, source, metric ORDER BY bucket) AS upto FROM by_source),
+quantiles AS (
+  SELECT lang, source, metric, """ + ", ".join(
+    f"min(CASE WHEN upto * 100 >= total * {k} THEN top END) AS q{k}" for k in (25, 50, 75, 90)) + """
+  FROM walked GROUP BY ALL),
+cuts AS (
+  SELECT lang, source, """ + ", ".join(
+    f"max(CASE WHEN metric = '{m}' THEN q90 + 6 * greatest(q90 - q50, q90 // 64) END) AS {m}_max"
+    for m in ("symbols", "lines", "repeats")) + """,
+    max(CASE WHEN metric = 'length' THEN q50 + 6 * greatest(q50 - q25, q50 // 64) END) AS length_max,
+    max(CASE WHEN metric = 'length' THEN greatest(q50 - 6 * greatest(q75 - q50, q50 // 64), 0) END) AS length_min
+  FROM quantiles GROUP BY ALL),
 verdicts AS (
   SELECT d.r, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND coalesce(symbols <= c.symbols_max AND lines <= c.lines_max AND repeats <= c.repeats_max
-      AND j.length <= c.length_max AND j.length >= c.length_min, FALSE) AS kept
-  FROM docs d JOIN judged j USING (r) LEFT JOIN (
-    SELECT s.lang, s.source, """ + ", ".join(
-    f"CASE WHEN s.n >= 200 THEN s.{c} WHEN l.n >= 200 THEN l.{c} ELSE a.{c} END AS {c}"
-    for c in ("symbols_max", "lines_max", "repeats_max", "length_max", "length_min")) + """
-    FROM by_source s JOIN by_lang l ON s.lang IS NOT DISTINCT FROM l.lang, by_all a) c
+    NOT base_failed AND NOT coalesce(""" + " OR ".join(
+    f"{s}({units} - {c}::DOUBLE * {size} / 1000) > 6 * sqrt({c}::DOUBLE * {size} / 1000 + 1)" for units, size, c, s in (
+        ("n_symbols", "n_words", "symbols_max", ""), ("n_dup_lines", "n_lines", "lines_max", ""),
+        ("n_repeat_words", "n_words", "repeats_max", ""), ("word_chars", "n_words", "length_max", ""),
+        ("word_chars", "n_words", "length_min", "-"))) + """, FALSE) AS kept
+  FROM docs d JOIN judged j USING (r) LEFT JOIN cuts c
   ON d.lang IS NOT DISTINCT FROM c.lang AND d.source IS NOT DISTINCT FROM c.source)"""
 OP5_SQL = "WITH " + OP5_CTES.format(documents="documents") + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
