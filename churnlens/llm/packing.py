@@ -51,14 +51,14 @@ class WordEncoder:
     For tokenizers that normalise to NFC and lower case, drop white space, and
     separate letters from punctuation before byte-level merges.  Texts are
     split at ASCII white space; a word of Latin letters goes straight to the
-    merges, any other word through the whole tokenizer.  The memory is two
-    generations of `known_words` words."""
+    merges, any other word through the whole tokenizer, and so does a text that
+    may hold special tokens (all begin with `<|`), which the tokenizer finds
+    before anything else.  The memory is two generations of `known_words` words."""
 
     def __init__(self, path: str, known_words: int = 1 << 19):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -100,6 +100,10 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         out = []
         for text in texts:
+            if text and "<|" in text:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(np.array(ids, dtype="<u4").tobytes())
+                continue
             data = (text or "").encode()
             if b"\xcc" not in data and b"\xcd" not in data:  # no combining marks: case doesn't matter
                 data = data.lower()
@@ -120,26 +124,30 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-PIECES = "id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "id long, piece int, start long, length long, ids_crc32 long, part int, no long"
 
 
 def _tokenise(p: Packing, with_ids: bool):
     fields = [("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-              ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
+              ("ids_crc32", pa.int64()), ("part", pa.int32()), ("no", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
     schema = pa.schema(fields)
     end = np.array([p.end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, no = TaskContext.get().partitionId(), 0
         encoder = _encoder(p.tokenizer)
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+                some = batch.slice(first, 256)
                 columns: list[list] = [[] for _ in fields]
-                for key, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                for key, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * p.capacity)):
                         own = ids[at: at + 4 * p.capacity]
-                        values = [key, piece, at // 4, len(own) // 4, zlib.crc32(own)]
+                        values = [key, piece, at // 4, len(own) // 4, zlib.crc32(own), part, no]
+                        no += 1
                         if with_ids:
                             values.append(np.frombuffer(own, dtype="<i4"))
                         for column, value in zip(columns, values):
@@ -152,8 +160,9 @@ def _tokenise(p: Packing, with_ids: bool):
 
 def tokenised_pieces(docs: DataFrame, params: Packing, id_col: str = "doc_id", text_col: str = "text",
                      with_ids: bool = True) -> DataFrame:
-    """(id, piece, start, length, ids_crc32[, ids]) of every document; a null
-    text is empty, so that every row has one piece at least: the end id."""
+    """(id, piece, start, length, ids_crc32, part, no[, ids]) of every document; a
+    null text is empty, so that every row has one piece at least: the end id.
+    `part` and `no` number the pieces of a task's part of the table."""
     importable(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _tokenise(params, with_ids), PIECES + ", ids array<int>" * with_ids)
@@ -208,7 +217,9 @@ def packed(pieces: DataFrame, params: Packing) -> DataFrame:
 
     The rank of a piece within its length is its place within a salt plus the
     rows of the salts before; a length of n pieces has sqrt(n) salts, so that
-    neither a salt nor the list of salts is a large group.  The plan goes to
+    neither a salt nor the list of salts is a large group.  The salt is a hash of
+    the piece's number in its part of the table, so rows that repeat are spread
+    like all others.  The plan goes to
     the tasks, which look their pieces' ranks up in it: its size is bounded by
     `capacity`, not by the corpus.  An empty table has an empty plan.
     """
@@ -218,7 +229,7 @@ def packed(pieces: DataFrame, params: Packing) -> DataFrame:
         np.array(plan(counts, params.capacity), dtype=np.int64).reshape(-1, 6))
     salts = spark.createDataFrame([(n, math.isqrt(c - 1) + 1) for n, c in counts.items()],
                                   "length long, salts long")
-    order = ["id", "start", "ids_crc32"]
+    order = ["part", "no"]
     salted = (pieces.join(F.broadcast(salts), "length")
               .withColumn("salt", F.pmod(F.xxhash64(*order), F.col("salts"))).drop("salts"))
     before = (salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
@@ -263,7 +274,7 @@ def pack_documents(docs: DataFrame, params: Packing, id_col: str = "doc_id", tex
     packed like any row.  Texts are tokenised once: the pieces are a written
     table that the histogram, the ranks and the result read."""
     pieces = stored(tokenised_pieces(docs, params, id_col, text_col, with_ids), "pieces")
-    return packed(pieces, params).withColumnRenamed("id", id_col)
+    return packed(pieces, params).drop("part", "no").withColumnRenamed("id", id_col)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
