@@ -3,8 +3,9 @@
 1. Every text becomes its set of word shingles (64-bit hashes).  From
    `bands x rows` minima come the band keys (hashes of `rows` full minima)
    and a packed signature that keeps only the lowest `bits` bits of each.
-2. Texts with equal sets are one class, found by the set's digest; only the
-   representative of a class goes on.
+2. Texts with equal sets are one class, found by the set's digest; the classes
+   are the vertices of all that follows, and only a class's representative text
+   goes on.  Ids come back in the result, so one id may have many texts.
 3. Candidates share a band key.  Each key links its members to its smallest
    member, and the connected groups of these links hold every candidate pair.
 4. A group is compared in blocks of bounded size, pair of blocks by pair of
@@ -54,7 +55,7 @@ class NearDup:
         return self.bands * self.rows
 
 
-FEATURES = "id long, n_shingles long, digest binary, signature binary, band_keys array<long>"
+FEATURES = "id long, mark long, n_shingles long, digest binary, signature binary, band_keys array<long>"
 
 
 def _minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -87,7 +88,7 @@ def _features(p: NearDup):
     a = rng.integers(0, 1 << 32, p.positions, dtype=np.uint32) | np.uint32(1)
     b = rng.integers(0, 1 << 32, p.positions, dtype=np.uint32)
     seeds = S.mix(np.arange(1, p.bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                         ("signature", pa.binary()), ("band_keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +108,7 @@ def _features(p: NearDup):
                 signatures.append(pack(low, p.bits))
                 keys.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(signatures, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], schema=schema)
 
     return run
@@ -210,37 +211,42 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup(), id_col: str =
     ``component_id`` is the smallest id reachable over links, ``kept`` marks
     the row that has it.  Null or wordless text: no shingles, linked with
     nothing, kept.  A text of fewer than `width` words is one shingle.  Rows
-    that repeat an id and text get equal results; a null id is never linked
-    and is kept with a null component.  Other columns are ignored; an empty
+    that repeat an id and text get equal results; an id with several texts has a
+    row for each, linked by its own text; a null id is never linked and is kept
+    with a null component.  Ids are whole numbers or text of one (others are null).  Other columns are ignored; an empty
     table gives no rows.
     """
     p, spark = params, docs.sparkSession
     importable(spark)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("mark"))
     features = stored(base.mapInArrow(_features(p), FEATURES), "features")
     usable = features.filter("n_shingles > 0 and id is not null")
+    # A class's own row is that of its smallest id; its number is written with it.
     classes = stored(
         usable.groupBy("digest").agg(
-            F.min("id").alias("id"), F.any_value("n_shingles").alias("n_shingles"),
-            F.any_value("signature").alias("signature"), F.any_value("band_keys").alias("band_keys")),
-        "classes")
+            F.min(F.struct("id", "mark")).alias("own"), F.any_value("n_shingles").alias("n_shingles"),
+            F.any_value("signature").alias("signature"), F.any_value("band_keys").alias("band_keys"))
+        .select(F.monotonically_increasing_id().alias("vertex"), "own.*", "digest", "n_shingles", "signature",
+                "band_keys"), "classes")
 
-    keys = classes.select("id", F.explode("band_keys").alias("key"))
+    keys = classes.select("vertex", F.explode("band_keys").alias("key"))
     # Written, so that a key with very many members is a skewed join of plain rows, which Spark splits.
-    hubs = stored(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
+    hubs = stored(keys.groupBy("key").agg(F.min("vertex").alias("hub"), F.count("*").alias("n"))
                   .filter("n > 1").select("key", "hub"), "hubs")
-    candidates = keys.join(hubs, "key").filter("id != hub")
+    candidates = keys.join(hubs, "key").filter("vertex != hub")
     groups = stored(connected_components(
-        candidates.select(F.col("id").alias("src"), F.col("hub").alias("dst")))
-        .select(F.col("vertex").alias("id"), F.col("component").alias("group")), "groups")
+        candidates.select(F.col("vertex").alias("src"), F.col("hub").alias("dst")))
+        .select("vertex", F.col("component").alias("group")), "groups")
 
-    members = stored(groups.join(classes.select("id", "digest", "n_shingles", "signature"), "id"), "members")
-    sets = (members.select("id", "digest").join(base, "id").select("id", "text", "digest")
-            .mapInArrow(_sets(p), "id long, shingles binary"))
+    members = stored(groups.join(classes.select("vertex", "id", "mark", "digest", "n_shingles", "signature"), "vertex"),
+                     "members")
+    sets = (members.select("vertex", "id", "mark", "digest").join(base, ["id", "mark"])
+            .select(F.col("vertex").alias("id"), "text", "digest").mapInArrow(_sets(p), "id long, shingles binary"))
     size = stored(members.groupBy("group").agg(
         F.ceil(F.greatest(F.count("*") / p.block_docs,
                           F.sum("n_shingles") / p.block_shingles)).cast("long").alias("blocks")), "sizes")
-    dealt = (members.select("id", "group", "signature").join(size, "group")
+    dealt = (members.select(F.col("vertex").alias("id"), "group", "signature").join(size, "group")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
              .join(sets, "id")
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -248,10 +254,12 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup(), id_col: str =
                      "id", "block", "signature", "shingles"))
     stars = (dealt.repartition(shuffle_partitions(spark), "group", "low", "high")
              .groupBy("group", "low", "high").applyInArrow(_compare(p), "src long, dst long"))
-    components = connected_components(stars)
+    components = stored(connected_components(stars), "components")
 
-    named = (classes.select("digest", F.col("id").alias("vertex")).join(components, "vertex", "left")
-             .select("digest", F.coalesce("component", "vertex").alias("component_id")))
+    placed = (classes.select("vertex", "digest", "id").join(components, "vertex", "left")
+              .withColumn("component", F.coalesce("component", "vertex")))
+    smallest = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = stored(placed.join(smallest, "component").select("digest", "component_id"), "named")
     result = (usable.select("id", "n_shingles", "digest").join(named, "digest")
               .select("id", "n_shingles", "component_id"))
     alone = features.filter("not (n_shingles > 0 and id is not null)").select(

@@ -88,6 +88,17 @@ def test_components_equal_brute_force(spark, block_docs):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_one_id_with_several_texts(spark):
+    """Every text is linked by itself, whatever other texts its id has."""
+    b, c = " ".join(words(21, 120)), " ".join(words(22, 120))
+    rows = [(1, b), (1, c), (2, c + " more"), (3, b + " more"), (4, " ".join(words(23, 80)))] + [
+        (9, " ".join(words(200 + i, 40))) for i in range(60)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), NearDup(percent=85)).collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r["component_id"] for r in got}
+    assert (by[1], by[2], by[3], by[4], by[9]) == (1, 1, 1, 4, 9)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     got = near_duplicates(docs, NearDup(percent=85)).collect()
