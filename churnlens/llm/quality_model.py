@@ -22,13 +22,14 @@ from churnlens.llm.tables import importable
 @dataclass(frozen=True)
 class Compression:
     """`rows_per_class`: expected number of labelled rows learned from per
-    class, chosen by a hash of the id: two thirds for the dictionary (up to
-    `chunks_per_text` chunks each, evenly spaced), one third for calibration."""
+    class, chosen by a hash of the id, two thirds for the dictionary and one
+    third for calibration; `most_rows` bounds them all where ids repeat.  The
+    rows' whole texts are learned from, in pieces of `chunk` bytes."""
     chunk: int = 1024
     level: int = 3
     dictionary_bytes: int = 1 << 17
     rows_per_class: int = 3_000
-    chunks_per_text: int = 4
+    most_rows: int = 12_000
 
 
 def _chunks(text: str | None, size: int) -> list[bytes]:
@@ -105,7 +106,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compr
     p = params
     importable(docs.sparkSession)
     known = labels.filter(learn).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")) \
-        .filter("label in (0, 1) and id is not null")
+        .filter("label in (0, 1) and id is not null").distinct()
     found = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(found) < 2:
         share = float(next(iter(found))) if found else 0.5
@@ -117,21 +118,20 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, params: Compr
     # The picked labels are as many as the parameter says, whatever the corpus:
     # they go to the texts, which stay where they are.
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna()
-              .join(F.broadcast(picked), "id").select("label", "curve", "text"))
+              .join(F.broadcast(picked), "id").select("label", "curve", "text")
+              .orderBy(F.xxhash64("text"), "label", "text").limit(p.most_rows))
     schema = pa.schema([("label", pa.int32()), ("chunk", pa.binary())])
 
-    def spaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = _chunks(text, p.chunk)
-                step = max(1, -(-len(parts) // p.chunks_per_text))
-                rows += [(label, x) for x in parts[::step]]
+                rows += [(label, x) for x in _chunks(text, p.chunk)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                               pa.array([r[1] for r in rows], pa.binary())], schema=schema)
 
     chunks = sample.filter("not curve").select("label", "text").mapInArrow(
-        spaced, "label int, chunk binary").orderBy(F.xxhash64("chunk")).toArrow()
+        pieces, "label int, chunk binary").orderBy(F.xxhash64("chunk")).toArrow()
     label, chunk = chunks["label"].to_numpy(), chunks["chunk"].to_pylist()
     scorer = Scorer(*[_dictionary([c for c, x in zip(chunk, label) if x == k], p.dictionary_bytes)
                       for k in (1, 0)], p)
