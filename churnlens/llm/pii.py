@@ -127,14 +127,35 @@ def ipv4(text: str, permute) -> str | None:
     return ".".join(reversed(out))
 
 
+#: Country calling codes of one and of two digits; all others have three.
+CODES_1 = ("1", "7")
+CODES_2 = ("20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+           "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84",
+           "86", "90", "91", "92", "93", "94", "95", "98")
+#: Country of numbers without a code.
+HOME_CODE = "1"
+
+
 def phone(text: str, permute) -> str | None:
-    """The country code stays."""
-    code = re.match(r"\+\d{1,3}(?=\D)|1(?=[ .-])|", text).group()
-    d = _digits(text[len(code):])
+    """The national number moves, the country code stays; a number without a code
+    is one of HOME_CODE.  Equal numbers are linked however they are written."""
+    digits = _digits(text)
+    if text[0] == "+":
+        own = 1 if digits[:1] in CODES_1 else 2 if digits[:2] in CODES_2 else 3
+        code = digits[:own]
+    else:
+        own = 1 if re.match(r"1[ .-]", text) else 0
+        code = HOME_CODE
+    at = 0  # behind the code's digits
+    for c in text:
+        if not own:
+            break
+        own, at = own - c.isdigit(), at + 1
+    d = _digits(text[at:])
     if not 7 <= len(d) <= 14:
         return None
-    x = permute(f"phone{code}", 10 ** len(d), int(d))
-    return code + _into(text[len(code):], str(x).zfill(len(d)))
+    x = permute(f"phone {code}", 10 ** len(d), int(d))
+    return text[:at] + _into(text[at:], str(x).zfill(len(d)))
 
 
 def us_number(text: str, permute) -> str | None:
@@ -165,28 +186,31 @@ def iban(text: str, permute) -> str | None:
     return "".join(c if c == " " else next(own) for c in text)
 
 
-_FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
-
-
 @functools.cache
-def _days(kind: str) -> tuple[list[str], dict[str, int]]:
-    """All dates from 1900 to 2099 as they are written in one way."""
-    days = [datetime.date.fromordinal(i) for i in range(_FIRST, _LAST + 1)]
-    if kind == "year first":
-        written = [f"{d.year:04d}{d.month:02d}{d.day:02d}" for d in days]
-    elif kind == "day first":
-        written = [f"{d.day:02d}{d.month:02d}{d.year:04d}" for d in days]
-    else:  # month first, where it can't be read as day first
-        written = [f"{d.month:02d}{d.day:02d}{d.year:04d}" for d in days if d.day > 12]
-    return written, {w: i for i, w in enumerate(written)}
+def _days(late: bool) -> tuple[list[datetime.date], dict[datetime.date, int]]:
+    """All dates from 1900 to 2099 behind the 12th of their month, or up to it."""
+    first, last = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+    days = [d for d in map(datetime.date.fromordinal, range(first, last + 1)) if (d.day > 12) == late]
+    return days, {d: i for i, d in enumerate(days)}
 
 
 def date(text: str, permute) -> str | None:
+    """The day moves and is written as it was: equal days are linked in all ways of
+    writing.  Days up to the 12th stay so, and later ones too, so that month and day
+    can be told apart before and after (both up to 12: the day is first)."""
     bare = _digits(text)
-    for kind in ("year first",) if len(re.match(r"\d+", text).group()) == 4 else ("day first", "month first"):
-        written, index = _days(kind)
-        if bare in index:
-            return _into(text, written[permute(f"date {kind}", len(written), index[bare])])
+    ways = ([((0, 4), (4, 6), (6, 8))] if len(re.match(r"\d+", text).group()) == 4
+            else [((4, 8), (2, 4), (0, 2)), ((4, 8), (0, 2), (2, 4))])
+    for way in ways:
+        try:
+            day = datetime.date(*(int(bare[a:b]) for a, b in way))
+        except ValueError:
+            continue
+        days, index = _days(day.day > 12)
+        if day in index:
+            new = days[permute(f"date {'late' if day.day > 12 else 'early'}", len(days), index[day])]
+            parts = dict(zip(way, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")))
+            return _into(text, "".join(parts[k] for k in sorted(parts)))
     return None
 
 
@@ -257,9 +281,8 @@ class Pseudonyms:
     def _valid(self, kind: str, text: str) -> bool:
         return self.value(kind, text) is not None
 
-    def _readings(self, text: str, start: int, judged: list) -> Iterator[tuple[str, int]]:
-        """(kind, end) of what can stand at ``start``.  A phone number doesn't reach into a valid card number;
-        the readings looked at for that go to ``judged``."""
+    def _readings(self, text: str, start: int) -> Iterator[tuple[str, int]]:
+        """(kind, end) of what can stand at ``start``.  A phone number doesn't reach into a valid card number."""
         for kind, shape in _SHAPES:
             if m := shape.match(text, start):
                 yield kind, m.end()
@@ -267,59 +290,43 @@ class Pseudonyms:
             yield "card", end
         for shape in _PHONE_ENDS:
             if m := shape.match(text, start):
-                inner = [("card", g.start(), end) for g in _START.finditer(text, start + 1, m.end() + 64)
-                         if g.start() < m.end() for end in self._cards(text, g.start())]
-                judged += [(*x, self._valid(x[0], text[x[1]:x[2]])) for x in inner]
-                if not any(x[3] for x in judged[len(judged) - len(inner):]):
+                inner = ((g.start(), end) for g in _START.finditer(text, start + 1, m.end() + 64)
+                         if g.start() < m.end() for end in self._cards(text, g.start()))
+                if not any(self._valid("card", text[a:b]) for a, b in inner):
                     yield "phone", m.end()
 
-    def _found(self, text: str) -> Iterator[tuple[int, int, str, list]]:
-        """(start, end, kind, other readings that reach into it, judged before it, with their verdicts)."""
+    def spans(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """(start, end, kind) of all values, in order, apart.  At each start the first
+        reading whose value is valid holds; without one the search goes on right after the start."""
         found: list[tuple[int, int, str]] = []
         if "@" in text:
             found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(text)]
         if _DIGIT.search(text):
             found += [(m.start(), m.end(), "iban") for m in _IBAN.finditer(text)]
             found += [(m.start(), len(text) + 1, "number") for m in _START.finditer(text)]
-        upto, judged = 0, []
+        upto = 0
         for start, end, kind in sorted(found):
             if start < upto:
                 continue
-            judged = [x for x in judged if x[2] > start]
-            for k, e in self._readings(text, start, judged) if kind == "number" else [(kind, end)]:
+            for k, e in self._readings(text, start) if kind == "number" else [(kind, end)]:
                 if self._valid(k, text[start:e]):
-                    yield start, e, k, [x for x in judged if x[1] < e]
+                    yield start, e, k
                     upto = e
                     break
-                judged.append((k, start, e, False))
-
-    def spans(self, text: str) -> list[tuple[int, int, str, str]]:
-        """(start, end, kind, pseudonym) of all values, in order, apart.
-
-        At each start the first reading whose value is valid holds; without
-        one the search goes on right after the start.  A pseudonym that would
-        change the verdict on another reading that reaches into it is permuted
-        again, so the replaced text is read as the text was.  The way back
-        goes from the last value to the first, through the same texts.
-        """
-        found, out = list(self._found(text)), []
-        now = list(text) if any(others for *_, others in found) else []
-        for start, end, kind, others in reversed(found) if self.back else found:
-            new = self.value(kind, text[start:end])
-            if now:
-                now[start:end] = new
-                while any(self._valid(k, "".join(now[a:b])) != valid for k, a, b, valid in others):
-                    now[start:end] = new = self.value(kind, new)
-            out.append((start, end, kind, new))
-        return out[::-1] if self.back else out
-
-    def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
-        out, at, spans = [], 0, []
-        for start, end, kind, new in self.spans(text):
-            out += [text[at:start], new]
-            spans.append((kind, start, end))
+
+    def replace(self, text: str, spans: list[tuple[str, int, int]] | None = None) -> tuple[str, list[tuple[str, int, int]]]:
+        """``text`` with its values replaced, and (kind, start, end) of each.
+
+        A value's pseudonym depends on the value alone, never on what is beside it.
+        The way back takes the ``spans`` of the way there, as every format keeps its
+        length; without them the values are found again, which can differ where
+        a pseudonym and a number beside it read as another value."""
+        out, at, done = [], 0, []
+        for start, end, kind in self.spans(text) if spans is None else [(a, b, k) for k, a, b in spans]:
+            out += [text[at:start], self.value(kind, text[start:end])]
+            done.append((kind, start, end))
             at = end
-        return "".join([*out, text[at:]]), spans
+        return "".join([*out, text[at:]]), done
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -331,13 +338,14 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", spans_col
     ``spans_col``, where they were (kind, start and end in code points).
 
     Every format keeps its length.  ``back`` inverts a replaced text under the
-    same key.  Null text stays null, with no spans; an empty table gives no
+    same key, by the spans in its column ``spans_col`` where it has one.  Null text stays null, with no spans; an empty table gives no
     rows; the other columns pass as they are (one named ``spans_col`` is
     replaced).  Numbers that fail their validity check stay as they are.
     """
     importable(docs.sparkSession)
     kept = [c for c in docs.columns if c != spans_col]
-    base = docs.select(*[docs[c] for c in kept])
+    known = back and spans_col in docs.columns
+    base = docs.select(*[docs[c] for c in kept + [spans_col] * known])
     at = kept.index(text_col)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -345,8 +353,10 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", spans_col
         pseudonyms = Pseudonyms(key, back)
         for batch in batches:
             texts, spans = [], []
-            for text in batch.column(at).to_pylist():
-                new, own = (None, []) if text is None else pseudonyms.replace(text)
+            given = batch.column(len(kept)).to_pylist() if known else [None] * batch.num_rows
+            for text, where in zip(batch.column(at).to_pylist(), given):
+                where = [(x["kind"], x["start"], x["end"]) for x in where] if where is not None else None
+                new, own = (None, []) if text is None else pseudonyms.replace(text, where)
                 texts.append(new)
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(kept))]
@@ -354,5 +364,5 @@ def pseudonymised(docs: DataFrame, key: bytes, text_col: str = "text", spans_col
                 columns.append(pa.array(spans, span_type))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *([spans_col] if spans_col else [])])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name in kept]
     return base.mapInArrow(run, ", ".join(fields + ([f"`{spans_col}` {SPANS}"] if spans_col else [])))
