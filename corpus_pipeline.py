@@ -6,7 +6,7 @@ last return the columns of documents.  Between stages the rows are written as
 Parquet in the shared folder and read again.
 
 Nulls: null text has no words and is rejected by the quality rules; rows with
-a null id are judged by their text, never count as duplicates, and are packed.
+a null id are judged, deduplicated by their texts and packed like all others.
 Rows that repeat an id and text leave one row.  Extra columns are kept.
 """
 
@@ -30,12 +30,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged(rows).filter("kept").select("_row.*")
 
 
+#: Keys of rows without an id: beyond the ids, so that a row with an id stays before them.
+NO_ID = 1 << 62
+
+
 def minhash_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest id."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept"))
-    once = (docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-            .withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text"))
-    return once.unionByName(docs.filter("doc_id is null"))
+    """One document of each group of near-duplicates: that of the smallest id, one of rows
+    without an id only where no other has one."""
+    mark = F.xxhash64("text")
+    keyed = docs.withColumns({"_mark": mark, "_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(
+        mark, F.lit(NO_ID)))})
+    kept = near_duplicates(keyed, id_col="_key").filter("kept").select("_key")
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", "_mark"]).drop("_key", "_mark")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
