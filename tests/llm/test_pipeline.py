@@ -11,7 +11,7 @@ import pytest
 import corpus_pipeline as P
 from churnlens.llm import queries as Q
 from churnlens.llm.pii import Pseudonyms
-from tests.llm.frames import awkward, none
+from tests.llm.frames import awkward, none, words
 from tests.llm.test_decontaminate import shingle_set as item_set
 from tests.llm.test_near_dup import brute
 
@@ -63,7 +63,17 @@ def test_stages_keep_columns_and_take_awkward_rows(spark, name, stage):
 def test_one_of_each_group_stays(spark):
     docs = awkward(spark)
     ids = sorted(r["doc_id"] or -1 for r in P.minhash_near_dup(spark, docs, SF).collect())
-    assert ids == [-1, -1, 1, 2, 3, 4, 5, 7, 8, 11]
+    assert ids == [-1, 1, 2, 3, 4, 5, 7, 8, 11]  # the copy without an id goes, the null text stays
+
+
+def test_rows_without_an_id_are_deduplicated_too(spark):
+    other = " ".join(words(77, 150))
+    rows = [(None, other), (None, other), (None, other + " tail"), (5, " ".join(words(78, 150))),
+            (None, " ".join(words(78, 150)) + " end"), (1, "a b"), (1, "c d")]
+    made = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in P.minhash_near_dup(spark, made, SF).collect())
+    assert [i for i, _ in got] == [0, 1, 1, 5]
+    assert got[0][1] in (other, other + " tail")
 
 
 def test_last_stage_packs_awkward_rows(spark):
