@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import fnmatch
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,10 @@ RAW_SCHEMA = T.StructType([
     T.StructField("Churn", T.IntegerType()),
 ])
 
+#: Landing files whose first lines are read at the same time.
+HEADER_READERS = 32
+
+
 def landing_files(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     """URIs of all files under ``path`` (a file or folder) in any store that
     Spark reads, without its own markers (names that start with `_` or `.`).
@@ -60,9 +66,12 @@ def file_header(spark: SparkSession, file: str, sep: str = ",") -> tuple[str, ..
 
 def headers(spark: SparkSession, path: str, pattern: str = "*",
             required: list[str] = C.RAW_COLUMNS) -> dict[str, tuple[str, ...]]:
-    """The header of every file that has one; a file that lacks a required
-    column is an error that names it."""
-    found = {f: file_header(spark, f) for f in landing_files(spark, path, pattern)}
+    """The header of every file that has one, many files at a time; a file that
+    lacks a required column is an error that names it."""
+    files = landing_files(spark, path, pattern)
+    read = inheritable_thread_target(spark)(lambda f: file_header(spark, f))
+    with ThreadPoolExecutor(max_workers=max(1, min(HEADER_READERS, len(files)))) as pool:
+        found = dict(zip(files, pool.map(read, files)))
     for f, names in found.items():
         missing = [c for c in required if c not in names]
         if names and missing:
