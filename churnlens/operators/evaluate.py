@@ -213,3 +213,39 @@ def youden_threshold(points: DataFrame) -> DataFrame:
             .orderBy(F.col("youden_j").desc(), F.col("threshold").desc())
             .limit(1)
             .select("threshold", "tpr", "fpr", "youden_j"))
+
+
+# ------------------------------------------------- curve over merged histograms
+
+def score_histogram(scored: DataFrame, bins: int = 1024, label: str = "label", score: str = "score") -> DataFrame:
+    """(bin, pos, neg): counts of both classes by equal bins of a score between 0 and
+    1.  Histograms of parts (micro-batches, days) add up to that of all rows, so a curve
+    over a stream needs `bins` rows of state.  Null or NaN scores are left out."""
+    at = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("long")
+    return (scored.filter(F.col(score).isNotNull() & ~F.isnan(score)).groupBy(at.alias("bin"))
+            .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+
+
+def merged_histogram(parts: DataFrame) -> DataFrame:
+    """The histogram of all rows from those of parts."""
+    return parts.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def roc_from_histogram(histogram: DataFrame) -> DataFrame:
+    """(bin, tpr, fpr): the curve's points at the lower edges of the bins, largest first;
+    these points are exact."""
+    above = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)  # as many rows as bins
+    every = Window.partitionBy()
+    return histogram.select("bin", (F.sum("pos").over(above) / F.sum("pos").over(every)).alias("tpr"),
+                            (F.sum("neg").over(above) / F.sum("neg").over(every)).alias("fpr"))
+
+
+def auc_from_histogram(histogram: DataFrame) -> DataFrame:
+    """(auc, error_bound): the area with half of the pairs within a bin, which is off by at
+    most half of their share.  NULL without rows of both classes."""
+    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as bins
+    counted = histogram.select(F.col("pos").cast("double").alias("pos"), F.col("neg").cast("double").alias("neg"),
+                               F.coalesce(F.sum(F.col("neg").cast("double")).over(below), F.lit(0.0)).alias("below"))
+    pairs, inside = F.sum("pos") * F.sum("neg"), F.sum(F.col("pos") * F.col("neg"))
+    return counted.agg(F.when(pairs > 0, (F.sum(F.col("pos") * F.col("below")) + inside / 2.0) / pairs).alias("auc"),
+                       F.when(pairs > 0, inside / (2.0 * pairs)).alias("error_bound"))

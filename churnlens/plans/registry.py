@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from churnlens.plans import (  # noqa: F401
-        q_evaluation, q_ingest, q_models, q_prep, q_silver, q_splits, q_streaming)
+        q_evaluation, q_ingest, q_models, q_prep, q_silver, q_splits, q_streaming, q_temporal)
