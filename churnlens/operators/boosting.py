@@ -151,22 +151,33 @@ def soft(g: np.ndarray, alpha) -> np.ndarray:
 def best_splits(sums: np.ndarray, alpha: np.ndarray, lam: np.ndarray, least: np.ndarray) -> dict[str, np.ndarray]:
     """The best split of every node from ``sums`` (2, nodes, features, bins; in UNITs) with
     the nodes' own regularisation.  Ties go to the first feature, then the lowest bin."""
-    g, h = sums * UNIT
+    # All in UNITs; a loss reduction is worth UNIT of what comes out.
+    a, lam, least = (x[:, None, None] / UNIT for x in (alpha, lam, least))
     # A column that the tree did not draw has no sums; the first drawn one has all rows.
-    drawn = h.any(axis=2)
-    first = drawn.argmax(axis=1)
-    at = np.arange(len(first))
-    total_g, total_h = g[at, first].sum(axis=1)[:, None, None], h[at, first].sum(axis=1)[:, None, None]
-    left_g, left_h = np.cumsum(g, axis=2)[..., :-1], np.cumsum(h, axis=2)[..., :-1]
-    right_g, right_h = total_g - left_g, total_h - left_h
-    a, lam_, least_ = (x[:, None, None] for x in (alpha, lam, least))
-    gain = (soft(left_g, a) ** 2 / (left_h + lam_) + soft(right_g, a) ** 2 / (right_h + lam_)
-            - soft(total_g, a) ** 2 / (total_h + lam_))
-    gain = np.where((left_h >= least_) & (right_h >= least_) & drawn[:, :, None], gain, -np.inf)
+    drawn = sums[1].any(axis=2)
+    at, first = np.arange(len(drawn)), drawn.argmax(axis=1)
+    total_g, total_h = (x[at, first].sum(axis=1)[:, None, None] for x in sums)
+    left_g, left_h = np.cumsum(sums, axis=3)[..., :-1]
+    right_h = total_h - left_h
+
+    def reduction(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        x = np.abs(g)
+        x -= a
+        np.maximum(x, 0, out=x)
+        x *= x
+        x /= h + lam
+        return x
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = reduction(left_g, left_h)
+        gain += reduction(total_g - left_g, right_h)
+        gain -= reduction(total_g, total_h)
+    gain[(left_h < least) | (right_h < least) | ~drawn[:, :, None]] = -np.inf
     flat = gain.reshape(len(gain), -1).argmax(axis=1)
     f, b = flat // gain.shape[2], flat % gain.shape[2]
-    return {"feature": f, "bin": b, "gain": gain[at, f, b], "g": total_g[:, 0, 0], "h": total_h[:, 0, 0],
-            "left_g": left_g[at, f, b], "left_h": left_h[at, f, b]}
+    return {"feature": f, "bin": b, **{k: v * UNIT for k, v in (
+        ("gain", gain[at, f, b]), ("g", total_g[:, 0, 0]), ("h", total_h[:, 0, 0]), ("left_g", left_g[at, f, b]),
+        ("left_h", left_h[at, f, b]))}}
 
 
 @dataclass

@@ -175,9 +175,10 @@ def boosted_search(train: DataFrame, draws: list[dict], positive_weight: float,
     draw's model is there when its AUC is known.  The column transform is fitted
     per fold, with the categories of all rows.  A fold without rows of both
     classes is left out of a draw's mean."""
-    whole = fit_prep(train)
-    preps = [replace(fit_prep(train.filter(F.col(fold_col) != f)), categories=whole.categories)
-             for f in range(folds)] + [whole]
+    fit = inheritable_thread_target(train.sparkSession)(fit_prep)
+    with ThreadPoolExecutor(max_workers=folds + 1) as pool:  # a few small jobs each
+        *parts, whole = pool.map(fit, [*[train.filter(F.col(fold_col) != f) for f in range(folds)], train])
+    preps = [replace(p, categories=whole.categories) for p in parts] + [whole]
     wide, matrices = train, []
     for i, stats in enumerate(preps):
         # A fold without any value of a column takes that of all rows.

@@ -27,7 +27,7 @@ def duck():
 
 
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-                 "boolean": "BOOLEAN"}
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
