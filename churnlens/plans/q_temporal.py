@@ -61,7 +61,10 @@ def interval_orders_q(spark, sf_dir):
                          "ts", "o_time", "o_until").drop("o_custkey")
 
 
-_COUNTS = {"n": F.count(F.lit(1)), "spent": F.sum(F.col("value").cast("decimal(18,2)")).cast("double")}
+def _counts():
+    return {"n": F.count(F.lit(1)), "spent": F.sum(F.col("value").cast("decimal(18,2)")).cast("double")}
+
+
 _SESSIONS = """
 WITH marked AS (
   SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new
@@ -78,11 +81,11 @@ GROUP BY user_id, start"""
 
 
 def _session_windows(events):
-    return sessions(events, "user_id", "ts", "2 hours", _COUNTS)
+    return sessions(events, "user_id", "ts", "2 hours", _counts())
 
 
 def _sliding_windows(events):
-    return sliding(events, "user_id", "ts", "6 hours", "2 hours", _COUNTS)
+    return sliding(events, "user_id", "ts", "6 hours", "2 hours", _counts())
 
 
 @register("user_sessions", _SESSIONS)
