@@ -36,9 +36,57 @@ physics.example.com
 """.split()
 
 
+#: Whole URLs labelled by hand: other kinds of hosts, domains and paths.
+BLOCK_URLS = """
+https://www.royalpoker.eu/promo/welcome-bonus http://pokerroom.bet/signup?ref=77 https://spin-palace.casino/slots
+https://megajackpot.io/play/free-spins https://betkings.co.uk/football/odds http://www.bet-now.de/sportwetten/
+https://onlinekasino.de/bonus https://paris-sportifs-bonus.fr/inscription http://apuestas24.es/casino
+https://roulette-live.net/tables/3 https://bingo4cash.com/join http://blackjack-tips.biz/win https://lotto-winner.xyz/claim
+https://sexcams.tv/live http://freeporn.xxx/videos/113 https://hotgirls-chat.com/rooms https://adultfriend.club/profiles
+http://escort-berlin.de/models https://nudes.cam/top http://www.xxxtube.ru/watch?v=9 https://milfdating.online/meet
+https://cheap-rx-pharmacy.ru/viagra-100mg http://buycialis.top/order https://onlinepharma24.com/no-prescription
+https://weightloss-pills.shop/keto-gummies https://steroids4u.eu/catalog http://tramadol-express.biz/buy
+https://rolex-replicas.cn/submariner http://fakebags.store/louis-vuitton https://replica-shoes.ru/nike
+https://getrichfast.info/bitcoin-doubler https://crypto-doubler.io/deposit http://forex-signals.biz/vip
+https://payday-loan-now.com/apply http://quickcash-loans.us/no-credit-check https://free-iphone-prize.win/claim-now
+http://you-won.click/gift-card https://survey-rewards.xyz/amazon-voucher http://secure-login-paypa1.com/verify
+https://appleid-unlock.support/login http://bank-account-verify.info/update https://wallet-recover.org/seed-phrase
+https://crackedsoft.net/photoshop-keygen http://serials-keys.ws/windows-activator https://warezbb.to/download/iso
+https://thepiratemirror.se/torrent/882 http://freemovies-hd.cc/stream https://nulled-scripts.io/themes
+https://adclick-tracker.com/c?id=3 http://popads.biz/pop.js https://doubleads.net/banner/300x250 https://clickbank-ads.co/redirect
+http://backlinks-cheap.com/buy-seo-links https://linkfarm.biz/directory http://article-spinner.top/seo-spam
+https://bulkmailer.ru/spam-tools http://email-lists.biz/buy-leads https://followers4instagram.shop/likes
+""".split()
+ALLOW_URLS = """
+https://www.bbc.com/news/science-environment https://www.nytimes.com/2021/05/04/health/vaccines.html
+https://www.theguardian.com/world/2020/jan/31/brexit https://www.lefigaro.fr/culture/musique https://www.zeit.de/wissen
+https://www.faz.net/aktuell/politik/ https://elpais.com/internacional/2022-03-01 https://www.corriere.it/cronache/
+https://www.lesechos.fr/industrie http://www.asahi.com/articles https://www.reuters.com/markets/europe
+https://en.wikipedia.org/wiki/Best-fit_algorithm https://de.wikipedia.org/wiki/Berlin https://fr.wiktionary.org/wiki/mot
+https://arxiv.org/abs/1706.03762 https://www.nature.com/articles/s41586-020 https://www.science.org/doi/10.1126
+https://pubmed.ncbi.nlm.nih.gov/31452104/ https://www.cambridge.org/core/journals https://www.mit.edu/research/
+https://www.ox.ac.uk/admissions https://www.uni-heidelberg.de/de/studium https://www.sorbonne-universite.fr/formations
+https://www.nasa.gov/missions/artemis https://www.who.int/health-topics/nutrition https://europa.eu/youth/volunteering
+https://www.gov.uk/browse/driving https://www.service-public.fr/particuliers https://www.usa.gov/benefits
+https://gitlab.com/explore/projects https://pypi.org/project/numpy/ https://docs.python.org/3/library/re.html
+https://developer.mozilla.org/en-US/docs/Web/CSS https://stackoverflow.com/questions/11227809 https://www.kernel.org/doc/html/
+https://www.postgresql.org/docs/current/ https://www.rust-lang.org/learn https://spark.apache.org/docs/latest/
+https://www.debian.org/releases/ https://www.w3.org/TR/html52/ https://www.rfc-editor.org/rfc/rfc7231
+https://www.goodreads.com/book/show/5107 https://www.gutenberg.org/ebooks/1342 https://www.imdb.com/title/tt0111161/
+https://www.chefkoch.de/rezepte/apfelkuchen https://www.marmiton.org/recettes/ratatouille https://www.seriouseats.com/pizza-dough
+https://www.metoffice.gov.uk/weather/forecast https://www.bahn.de/fahrplan https://www.sncf-connect.com/horaires
+https://www.lonelyplanet.com/italy/rome https://www.nationalgeographic.com/animals https://www.rei.com/learn/hiking
+https://www.khanacademy.org/math/algebra https://www.coursera.org/learn/machine-learning https://www.duolingo.com/course
+https://blog.cloudflare.com/http3 https://martinfowler.com/articles/microservices.html https://www.joelonsoftware.com/2000/04/06
+https://www.allrecipes.com/recipe/20144 https://www.mayoclinic.org/diseases-conditions/asthma https://www.apotheken-umschau.de/
+https://www.fifa.com/tournaments https://www.olympics.com/en/athletes https://www.kicker.de/bundesliga/tabelle
+https://www.sparkasse.de/girokonto https://www.ecb.europa.eu/stats https://www.bundesbank.de/de/aufgaben
+""".split()
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """(url, label): the hand-labelled hosts, each with the usual prefixes and
-    kinds of paths; 1 is block."""
+    kinds of paths, and the hand-labelled URLs, each whole and by its host; 1 is block."""
     rows = []
     for label, hosts in ((1.0, BLOCK_HOSTS), (0.0, ALLOW_HOSTS)):
         for i, host in enumerate(hosts):
@@ -46,6 +94,10 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
                 lang = ("en", "de", "fr", "es")[(i + j) % 4]
                 tail = ("", ".html", "/", "")[(i + 2 * j) % 4]
                 rows.append((f"https://{prefix}{host}/{lang}/{(37 * i + 11 * j) % 1000}{tail}", label))
+    for label, urls in ((1.0, BLOCK_URLS), (0.0, ALLOW_URLS)):
+        for url in urls:
+            scheme, _, rest = url.partition("://")
+            rows += [(url, label), (f"{scheme}://{rest.partition('/')[0]}/", label)]
     return spark.createDataFrame(rows, "url string, label double").coalesce(1)
 
 
