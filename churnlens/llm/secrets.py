@@ -5,19 +5,20 @@ what is assigned to a secret's name, of any characters but spaces and quotes.  O
 each the forest sees its length, its transitions between kinds of characters,
 how much of it ordinary words and pronounceable letters cover, whether it lies
 in a path, URL or address, and its neighbouring words.  It is trained from
-labelled findings.  Everything is DataFrame expressions and Spark ML: no Python
+reviewed findings, secrets and hard negatives.  Everything is DataFrame expressions and Spark ML: no Python
 runs on the executors and no text is shuffled.
 """
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.llm.tables import stored
@@ -120,21 +121,76 @@ def featured(found: DataFrame) -> tuple[DataFrame, list[str]]:
     return found.withColumns({f"f_{k}": v.cast("double") for k, v in f.items()}), [f"f_{k}" for k in f]
 
 
-def labelled_by_form(found: DataFrame) -> DataFrame:
-    """``found`` with `label` where the form alone tells: 1 for issued keys with a
-    known prefix and for random values in an assignment to a secret's name, 0
-    for plain numbers, words and addresses; null else.  Used where no reviewed
-    findings are at hand."""
-    s, before = F.col("secret"), F.lower("before")
-    names = "|".join(SECRET_WORDS.split())
-    named = before.rlike(rf"(?:{names})[\"']?\s*[=:]\s*[\"']?$")
-    random = s.rlike("[0-9].*[a-zA-Z].*[0-9]|[a-zA-Z].*[0-9].*[a-zA-Z]")
-    issued = s.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^sk-[0-9A-Za-z]{20,}$|^xox[abp]-[0-9A-Za-z-]{10,}$")
-    code = s.rlike(r"://|[(\[]|\$\{")
-    plain = s.rlike("^[0-9+-]+$") | (~s.rlike("[0-9]") & ~(named & s.rlike("[^A-Za-z/_-]"))) | \
-        (s.rlike(r"^[a-z]+[0-9]{1,4}$") & ~named) | \
-        s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-")
-    return found.withColumn("label", F.when(issued | (named & random & ~code), 1).when(plain, 0).cast("int"))
+#: What stands before and after a finding, how its value is made (see `_made`) and its label.
+REVIEWED = (
+    # named values
+    ('password="', '"', "mixed 12", 1), ("PASSWORD: ", "\n", "signs 10", 1), ("db_password = '", "'", "short", 1),
+    ("the password=", " is for", "lowdig 8", 1), ('"passwd": "', '",', "mixed 16", 1), ("pwd=", ";", "short", 1),
+    ('api_key: "', '"', "hex 32", 1), ("apikey=", "&", "mixed 24", 1), ("export API_KEY=", "\n", "upperdig 20", 1),
+    ("X-Auth-Token: ", "\n", "hex 40", 1), ('token = "', '"', "hex 40", 1), ("token=", " ", "mixed 40", 1),
+    ("Authorization: Bearer ", "\n", "mixed 36", 1), ('"client_secret": "', '"', "mixed 32", 1), ("secret = '", "'", "hex 18", 1),
+    ("SECRET_KEY='", "'", "signs 24", 1), ("access_key=", " region", "upperdig 20", 1), ("AWS_SECRET_ACCESS_KEY=", "\n", "base64 40", 1),
+    ("private_key: ", "\n", "base64 44", 1), ("credential=", ",", "mixed 20", 1), ("password=", " ", "hex 18", 1),
+    # issued keys, wherever they stand
+    ("found ", " in the logs", "AKIA", 1), (" ", " ", "AKIA", 1), ("clone with ", " please", "ghp_", 1), ("use ", ".", "sk-", 1),
+    ("bot ", "\n", "xoxb-", 1), ("see ", ", then", "AKIA", 1),
+    # hashes, identifiers and encodings
+    ("commit ", "\n", "hex 40", 0), ("at commit ", " of the", "hex 20", 0), ("sha256:", "\n", "hex 64", 0), ("md5 sum ", " of", "hex 32", 0),
+    ("image@sha256:", " pulled", "hex 64", 0), ('ETag: "', '"', "hex 32", 0), ("checksum ", " ok", "hex 40", 0), ("id ", " was", "uuid", 0),
+    ('"request_id": "', '"', "uuid", 0), ("session ", " ended", "uuid", 0), ("data:image/png;base64,", '"', "base64 60", 0),
+    ("src=\"data:font/woff2;base64,", '"', "base64 80", 0), ("integrity=sha384-", " ", "base64 64", 0),
+    ("order no. ", " shipped", "digits 16", 0), ("call ", " now", "digits 16", 0), ("ISBN ", ",", "digits 17", 0), ("row ", " of", "digits 20", 0),
+    # names, paths and words
+    ("in ", " we", "words 3 2", 0), ("class ", " extends", "camel", 0), ("see ", ".", "camel", 0), ("open ", " and", "path", 0),
+    ("https://host.org/", " for", "path", 0), ("the ", " of", "long word", 0), ("on ", " we met", "dated", 0), ("file ", ".txt", "dated", 0),
+    ("release ", " of", "version", 0), ("/usr/lib/", ".so", "words 3 2", 0),
+    # placeholders and plain words behind a name
+    ('password="', '"', "placeholder", 0), ("password: ", "\n", "placeholder", 0), ("token: ", " for", "plain", 0), ("key: ", ",", "plain", 0),
+    ("secret=", "\n", "placeholder", 0), ("api_key = ", "\n", "placeholder", 0), ("the key: ", " to", "plain", 0),
+    ("password = ", "\n", "code", 0), ("token=", ")", "code", 0), ("password: ", " ", "digits 8", 0), ("key=", "\n", "long word", 0))
+_PLAIN = ("required optional internal whatever unknown important different another something together primary foreign shared "
+          "public default hidden missing present").split()
+_PARTS = "main test data user file list item node view page load save read copy resource config service handler builder model".split()
+
+
+def _made(kind: str, rng: random.Random) -> str:
+    """A value of a kind, like `hex 40`."""
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    signs = {"hex": "0123456789abcdef", "mixed": lower + upper + digits, "upperdig": upper + digits, "lowdig": lower + digits,
+             "digits": digits, "base64": lower + upper + digits + "+/", "signs": lower + upper + digits + "!@#$%^*"}
+    name, *size = kind.split()
+    some = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    if name in signs:
+        return some(signs[name], int(size[0]))
+    word = lambda: rng.choice(_PARTS)
+    return {
+        "short": lambda: some(upper, 1) + some(lower, 3) + some(digits, 2) + some("!@#$", 1) + some(lower, 2),
+        "AKIA": lambda: "AKIA" + some(upper + "234567", 16), "ghp_": lambda: "ghp_" + some(lower + upper + digits, 36),
+        "sk-": lambda: "sk-" + some(lower + upper + digits, 40),
+        "xoxb-": lambda: "xoxb-" + some(digits, 11) + "-" + some(lower + upper + digits, 20),
+        "uuid": lambda: "-".join(some("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)),
+        "words": lambda: "-".join(word() for _ in range(3)) + "-" + some(digits, 2),
+        "camel": lambda: "".join(word().title() for _ in range(4)),
+        "path": lambda: "/".join(word() for _ in range(4)) + some(digits, 1),
+        "long": lambda: word() + word() + word() + word() + some(digits, 4), "plain": lambda: rng.choice(_PLAIN),
+        "dated": lambda: f"20{some(digits, 2)}-0{rng.randint(1, 9)}-1{some(digits, 1)}-{word()}-{word()}",
+        "version": lambda: f"{word()}-{word()}-{some(digits, 1)}.{some(digits, 1)}",
+        "placeholder": lambda: rng.choice(["changeme", "your_password_here", "********", "xxxxxxxx", "<password>", "REPLACE_ME",
+                                           "example", "TODO_set_me", "enter-your-key", "password123"]),
+        "code": lambda: rng.choice(["os.environ['PASS']", "${DB_PASSWORD}", "get_password(user)", "config.secret_key", "None;return"]),
+    }[name]()
+
+
+def reviewed_findings(spark: SparkSession, values: int = 8, seed: int = 11) -> DataFrame:
+    """(secret, before, after, label): the reviewed forms, each with some values, among words of a text."""
+    rng = random.Random(seed)
+    rows = []
+    for before, after, kind, label in REVIEWED:
+        for _ in range(values):
+            left = " ".join(rng.choice(_PLAIN + WORD_PARTS) for _ in range(5))
+            right = " ".join(rng.choice(_PLAIN + WORD_PARTS) for _ in range(5))
+            rows.append((_made(kind, rng), (left + " " + before)[-48:], (after + " " + right)[:48], label))
+    return spark.createDataFrame(rows, "secret string, before string, after string, label int")
 
 
 def fit_secrets(labelled: DataFrame, params: SecretForest = SecretForest()) -> PipelineModel | None:
@@ -174,11 +230,11 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, params: Sec
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, start, secret, score, is_secret) of every candidate in ``docs``.
 
-    ``findings``: reviewed findings (secret, before, after, label); without
-    them those that the form alone labels are learned from.  Null and empty
+    ``findings``: reviewed findings (secret, before, after, label), by default
+    ``reviewed_findings``; nothing is learned from ``docs`` themselves.  Null and empty
     texts have no candidate; null ids and repeated rows give theirs again.
     """
     found = stored(candidates(docs, params.least, id_col, text_col), "candidates")
-    model = fit_secrets(labelled_by_form(found) if findings is None else findings, params)
+    model = fit_secrets(reviewed_findings(docs.sparkSession) if findings is None else findings, params)
     return judged_candidates(found, model, params).select(
         F.col("id").alias(id_col), "start", "secret", "score", "is_secret")

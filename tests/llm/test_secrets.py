@@ -3,7 +3,8 @@ from __future__ import annotations
 import random
 import re
 
-from churnlens.llm.secrets import candidates, fit_secrets, judged_candidates, labelled_by_form, scan_secrets
+from churnlens.llm.secrets import (REVIEWED, _made, candidates, fit_secrets, judged_candidates, reviewed_findings,
+                                    scan_secrets)
 from tests.llm.frames import awkward, none, words
 
 RUN = "A-Za-z0-9+/_-"
@@ -51,12 +52,35 @@ def test_candidates_and_their_places(spark):
 
 
 def test_forest_tells_secrets_from_the_rest(spark):
-    """Learned from the labels of one half, held against the other."""
+    """Learned from the reviewed findings, held against texts of other forms."""
     docs, truth = corpus()
     found = candidates(spark.createDataFrame(docs, "doc_id long, text string"))
-    model = fit_secrets(labelled_by_form(found.filter("id < 80")))
-    got = judged_candidates(found.filter("id >= 80"), model).collect()
-    assert {(r["id"], r["secret"]) for r in got if r["is_secret"]} == {x for x in truth if x[0] >= 80}
+    got = judged_candidates(found, fit_secrets(reviewed_findings(spark))).collect()
+    assert {(r["id"], r["secret"]) for r in got if r["is_secret"]} == truth
+
+
+#: Forms that the reviewed findings don't have: before, after, kind of value, label.
+OTHER = [("mysql -p secret: ", " -u root", "mixed 18", 1), ('conn = "Server=db;Pwd=', '"', "short", 1), ("SLACK_TOKEN=", "\n", "xoxb-", 1),
+         ("auth_token: '", "'", "hex 64", 1), ("ghp: ", "\n", "ghp_", 1), ("our apikey is apikey=", " ok", "mixed 28", 1),
+         ("openai ", " leaked", "sk-", 1), ("credential: ", "\n", "signs 16", 1), ("PRIVATE_KEY=", "\n", "base64 52", 1),
+         ("tree ", " parent", "hex 40", 0), ("sha1 of it is ", "\n", "hex 40", 0), ("layer ", ": done", "hex 64", 0), ("guid=", " used", "uuid", 0),
+         ("trace ", " took", "hex 32", 0), ("url(data:image/gif;base64,", ")", "base64 72", 0), ("account ", " closed", "digits 18", 0),
+         ("import ", "\n", "camel", 0), ("../", " was", "path", 0), ("meeting ", " notes", "dated", 0), ("password is ", "\n", "placeholder", 0),
+         ("Password: ", " later", "plain", 0), ("token = ", "\n", "placeholder", 0), ("api_key=", "\n", "code", 0), ("title ", " of", "long word", 0)]
+
+
+def test_held_out_findings_of_other_forms(spark):
+    """Precision and recall on forms and values that were not learned from."""
+    rng = random.Random(99)
+    rows = [(_made(kind, rng), before, after, label, i) for i, (before, after, kind, label) in enumerate(OTHER) for _ in range(12)]
+    assert not {x[:2] for x in OTHER} & {x[:2] for x in REVIEWED}
+    df = spark.createDataFrame(rows, "secret string, before string, after string, label int, form int")
+    got = judged_candidates(df, fit_secrets(reviewed_findings(spark))).collect()
+    hits = sum(r["is_secret"] and r["label"] == 1 for r in got)
+    precision, recall = hits / sum(r["is_secret"] for r in got), hits / sum(r["label"] for r in got)
+    wrong = sorted({(OTHER[r["form"]][0], r["label"]) for r in got if r["is_secret"] != (r["label"] == 1)})
+    print(precision, recall, wrong)
+    assert precision >= 0.9 and recall >= 0.9
 
 
 def test_values_named_as_secrets_are_candidates(spark):
@@ -87,7 +111,7 @@ def test_forest_tells_short_passwords(spark):
             prose.insert(20, f'{rng.choice(["key", "token", "password"])}: {rng.choice(["required", "internal", "whatever", "20240102"])}')
         docs.append((i, " ".join(prose)))
     found = candidates(spark.createDataFrame(docs, "doc_id long, text string"))
-    got = judged_candidates(found.filter("id >= 80"), fit_secrets(labelled_by_form(found.filter("id < 80")))).collect()
+    got = judged_candidates(found.filter("id >= 80"), fit_secrets(reviewed_findings(spark))).collect()
     assert {(r["id"], r["secret"]) for r in got if r["is_secret"]} == {x for x in truth if x[0] >= 80}
 
 
@@ -95,5 +119,8 @@ def test_awkward_rows(spark):
     assert scan_secrets(none(spark)).collect() == []
     secret = "token = 'a1b2c3d4e5f6a7b8c9d0'"
     docs = awkward(spark, [(None, secret, "en", "a")] * 2)
-    got = scan_secrets(docs).collect()  # one label only: every candidate stands
+    got = scan_secrets(docs).collect()
+    assert [(r["doc_id"], r["start"], r["is_secret"]) for r in got] == [(None, 9, True)] * 2
+    one = reviewed_findings(spark).filter("label = 1")  # one label only: every candidate stands
+    got = scan_secrets(docs, one).collect()
     assert [(r["doc_id"], r["score"], r["is_secret"]) for r in got] == [(None, None, True)] * 2
