@@ -2,13 +2,16 @@
 
 A short test item inside a long document has a tiny Jaccard similarity, so
 whole-set signatures cannot find it.  Containment of the item is estimated from
-the item's side instead: its sketch holds the `sketch` smallest of its shingle
-hashes, and the share of them that a document has estimates the share of the
-whole item.  Items are partitioned by size: those of up to `sketch` shingles
-are their own sketch; for every larger size class the number of hits that makes
-a candidate is set so that an item at the threshold is missed with a
-probability below `miss`.  Candidates are verified by exact containment of the
-full shingle set.
+the item's side instead: its sketch holds its smallest shingle hashes, and the
+share of them that a document has estimates the share of the whole item.
+
+Items are partitioned by size, a class from one power of two to the next, and
+every class has an index of its own that a document is looked up in.  Items of the
+first class are their own sketch.  The sketch of each larger class is longer, and
+the number of hits that makes a candidate there is the largest at which an item at the
+threshold is missed with a probability below `miss`, so both the work on false
+candidates and the loss are bounded class by class.  Candidates are verified by exact
+containment of the full shingle set.
 
 Documents are probed where they lie, whole and without a shuffle; the items go
 to the tasks in blocks of at most `block_bytes` of text, one pass over the
@@ -32,14 +35,22 @@ from churnlens.llm.tables import importable
 
 @dataclass(frozen=True)
 class Decontam:
-    """An item is found in a document that has at least `percent` % of its shingles."""
+    """An item is found in a document that has at least `percent` % of its shingles.
+    `sketch`: the sketch of the first size class; `longer`: by how much each class's
+    is longer than the one before."""
     width: int = 5
     percent: int = 80
     sketch: int = 32
+    longer: int = 8
     miss: float = 1e-9
     block_bytes: int = 16 << 20
 
 
+def size_class(size: int, p: Decontam) -> int:
+    """0 up to `sketch` shingles, then one class a power of two."""
+    return max(0, (-(-size // p.sketch) - 1).bit_length())
+
+
 def least_hits(size: int, sketch: int, percent: int, miss: float) -> int:
     """The largest number of sketch hits that an item of `size` shingles, of
     which just `percent` % are in a document, falls below with a probability of
@@ -56,8 +67,43 @@ def least_hits(size: int, sketch: int, percent: int, miss: float) -> int:
         hits += 1
 
 
+class SizeClass:
+    """The sketches of the items of one class, as sorted arrays."""
+
+    def __init__(self, items: np.ndarray, sets: list[np.ndarray], number: int, p: Decontam):
+        size = p.sketch + p.longer * number
+        known: dict[int, int] = {}
+        self.hits = {int(i): known.setdefault(len(sets[i]), least_hits(len(sets[i]), size, p.percent, p.miss)) for i in items}
+        parts = [sets[i][:size] for i in items]  # sorted: the smallest hashes
+        keys, owner = np.concatenate(parts), np.repeat(items, [len(x) for x in parts])
+        order = np.argsort(keys, kind="stable")
+        self.items = owner[order]
+        self.keys, self.first = np.unique(keys[order], return_index=True)
+        self.last = np.append(self.first[1:], len(owner))
+        bits = max(16, int(len(self.keys)).bit_length() + 6)
+        self.mask = np.uint64((1 << bits) - 1)
+        self.seen = np.zeros(1 << bits, dtype=bool)
+        self.seen[self.keys & self.mask] = True
+
+    def candidates(self, hashes: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(document, item) with enough sketch hits; document d's hashes are hashes[at[d]:at[d + 1]]."""
+        likely = np.flatnonzero(self.seen[hashes & self.mask])
+        place = np.minimum(np.searchsorted(self.keys, hashes[likely]), len(self.keys) - 1)
+        real = self.keys[place] == hashes[likely]
+        likely, place = likely[real], place[real]
+        if not len(likely):
+            return
+        doc = np.searchsorted(at, likely, side="right") - 1
+        once = np.unique(doc * len(self.keys) + place)
+        doc, place = once // len(self.keys), once % len(self.keys)
+        for d in np.unique(doc).tolist():
+            found = np.concatenate([self.items[self.first[k]: self.last[k]] for k in place[doc == d]])
+            items, n = np.unique(found, return_counts=True)
+            yield from ((d, i) for i, k in zip(items.tolist(), n.tolist()) if k >= self.hits[i])
+
+
 class ItemIndex:
-    """Sketches and full sets of one block of items, as sorted arrays."""
+    """The size classes and full sets of one block of items."""
 
     def __init__(self, ids: list, texts: pa.Array, p: Decontam):
         self.p, self.ids, self.sets = p, [], []
@@ -66,50 +112,26 @@ class ItemIndex:
                 self.ids.append(ids[row])
                 self.sets.append(np.unique(hashes))
         self.sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
-        known: dict[int, int] = {}
-        self.hits = np.array([known.setdefault(n, least_hits(n, p.sketch, p.percent, p.miss))
-                              for n in self.sizes.tolist()], dtype=np.int64)
-        parts = [s[: p.sketch] for s in self.sets]  # sorted: the smallest hashes
-        keys = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-        items = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-        order = np.argsort(keys, kind="stable")
-        self.items = items[order]
-        self.keys, self.first = np.unique(keys[order], return_index=True)
-        self.last = np.append(self.first[1:], len(items))
-        bits = max(16, int(len(self.keys)).bit_length() + 6)
-        self.mask = np.uint64((1 << bits) - 1)
-        self.seen = np.zeros(1 << bits, dtype=bool)
-        self.seen[self.keys & self.mask] = True
+        of = np.array([size_class(n, p) for n in self.sizes.tolist()], dtype=np.int64)
+        self.classes = [SizeClass(np.flatnonzero(of == k), self.sets, k, p) for k in np.unique(of).tolist()]
 
     def search(self, texts: pa.Array) -> Iterator[tuple[int, int, int]]:
         """(row, item index, shared shingles) of every contained item."""
-        if not len(self.keys):
+        if not self.classes:
             return
         for row, data, offsets in S.blocks(texts):
             words, counts = S.word_hashes(data, offsets, S.ALNUM_WORDS)
             hashes, n_of = S.shingle_hashes(words, counts, self.p.width)
             at = np.concatenate([[0], np.cumsum(n_of)])
-            likely = np.flatnonzero(self.seen[hashes & self.mask])
-            place = np.minimum(np.searchsorted(self.keys, hashes[likely]), len(self.keys) - 1)
-            real = self.keys[place] == hashes[likely]
-            likely, place = likely[real], place[real]
-            if not len(likely):
-                continue
-            doc = np.searchsorted(at, likely, side="right") - 1
-            once = np.unique(doc * len(self.keys) + place)
-            doc, place = once // len(self.keys), once % len(self.keys)
-            for d in np.unique(doc):
-                keys = place[doc == d]
-                found = np.concatenate([self.items[self.first[k]: self.last[k]] for k in keys])
-                items, n = np.unique(found, return_counts=True)
-                own = None
-                for item in items[n >= self.hits[items]]:
-                    if own is None:
-                        own = np.unique(hashes[at[d]: at[d + 1]])
+            for own_class in self.classes:
+                last, own = -1, None
+                for d, item in own_class.candidates(hashes, at):
+                    if d != last:
+                        last, own = d, np.unique(hashes[at[d]: at[d + 1]])
                     where = np.minimum(np.searchsorted(own, self.sets[item]), len(own) - 1)
                     shared = int((own[where] == self.sets[item]).sum())
                     if 100 * shared >= self.p.percent * self.sizes[item]:
-                        yield row + int(d), int(item), shared
+                        yield row + d, item, shared
 
 
 def _item_blocks(benchmark: DataFrame, p: Decontam, item_col: str, text_col: str) -> list[ItemIndex]:

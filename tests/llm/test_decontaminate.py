@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from churnlens.llm.decontaminate import Decontam, contained_items, least_hits, without_items
+from churnlens.llm.decontaminate import Decontam, ItemIndex, contained_items, least_hits, size_class, without_items
 from tests.llm.frames import awkward, none, words
 
 
@@ -28,7 +28,7 @@ def cases():
     return docs, items
 
 
-@pytest.mark.parametrize("params", [Decontam(), Decontam(sketch=6, miss=1e-6), Decontam(block_bytes=200)])
+@pytest.mark.parametrize("params", [Decontam(), Decontam(sketch=6, longer=3, miss=1e-6), Decontam(block_bytes=200)])
 def test_equals_brute_force(spark, params):
     docs, items = cases()
     got = contained_items(spark.createDataFrame(docs, "doc_id long, text string"),
@@ -51,6 +51,32 @@ def test_least_hits():
     assert least_hits(1, 32, 80, 1e-9) == 1
 
 
+def test_size_classes():
+    p = Decontam()
+    assert [size_class(n, p) for n in (1, 32, 33, 64, 65, 128, 129, 32 << 9)] == [0, 0, 1, 1, 2, 2, 3, 9]
+
+
+def test_recall_and_false_candidates_of_every_class():
+    """Items of all classes, each in documents at 80 to 100 %: every one is found, and documents
+    that hold 45 % seldom become candidates where sketches are samples."""
+    import pyarrow as pa
+
+    p = Decontam()
+    sizes = (20, 60, 120, 250, 500, 1000, 2000)
+    items = [words(7000 + i, n, 100_000) for i, n in enumerate(sizes)]
+    index = ItemIndex(list(range(len(items))), pa.array([" ".join(w) for w in items]), p)
+    assert len(index.classes) == len({size_class(len(s), p) for s in index.sets}) == len(sizes)
+    for i, w in enumerate(items):
+        docs, far = [], []
+        for k in range(20):
+            n = -(-len(w) * (82 + k % 19) // 100) + 4
+            docs.append(" ".join(words(8000 + k, 300, 100_000) + w[:n]))
+            far.append(" ".join(words(9000 + k, 300, 100_000) + w[: len(w) * 45 // 100]))
+        found = {(d, j) for d, j, _ in index.search(pa.array(docs))}
+        assert {(d, i) for d in range(20)} <= found  # recall 1 in this class
+        assert not {(d, j) for d, j, _ in index.search(pa.array(far))}
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     items = spark.createDataFrame([(1, " ".join(words(2, 120))), (None, "one"), (3, None)], "item_id long, text string")
