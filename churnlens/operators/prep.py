@@ -78,6 +78,15 @@ def category_values(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> dict[
     return {c: sorted(v) for c, v in out.items()}
 
 
+def modes_and_values(df: DataFrame, columns: list[str] = C.CAT_FEATURES) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """``category_modes`` and ``category_values`` from one count."""
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
+    for r in _category_counts(df, columns).collect():
+        found[r["feature"]].append((-r["n"], r["value"]))
+    return ({c: min(v)[1] if v else None for c, v in found.items()},
+            {c: sorted(x for _, x in v) for c, v in found.items()})
+
+
 def number(c: str) -> Column:
     """The column as a finite double, else NULL."""
     return finite(F.col(c).cast("double"), "double")
@@ -111,7 +120,7 @@ def fit_prep(train: DataFrame, num: list[str] = C.NUM_FEATURES,
         medians = numeric_medians(cols, num)
         # Imputing with the mode adds no new value, so the categories of the
         # imputed column are the distinct non-NULL values counted here.
-        modes, categories = category_modes(cols, cat), category_values(cols, cat)
+        modes, categories = modes_and_values(cols, cat)
         means, stds = numeric_moments(impute(cols, medians, modes), num)
         return PrepStats(medians, modes, means, stds, categories)
     finally:

@@ -67,8 +67,15 @@ def _select(df: DataFrame, series: list[Column], ranks_for: Callable[[int], list
     first = frame.agg(*[f(F.col(f"s{i}")).alias(f"{n}{i}") for i in range(len(series))
                         for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
     counts = [first[f"n{i}"] for i in range(len(series))]
-    targets = [_Target(i, k, first[f"lo{i}"], first[f"hi{i}"], 0, n)
-               for i, n in enumerate(counts) if n for k in sorted(set(ranks_for(n)))]
+    targets, after = [], []  # a rank right behind a searched one is read off it at the end
+    for i, n in enumerate(counts):
+        searched = 0
+        for k in sorted(set(ranks_for(n))) if n else ():
+            if k == searched + 1 and searched:
+                after.append((i, k))
+            else:
+                targets.append(_Target(i, k, first[f"lo{i}"], first[f"hi{i}"], 0, n))
+                searched = k
     for t in targets:
         if not 1 <= t.rank <= t.rows:
             raise ValueError(f"rank {t.rank} of {t.rows} values")
@@ -98,14 +105,17 @@ def _select(df: DataFrame, series: list[Column], ranks_for: Callable[[int], list
             zones = {"l": inside & (v < la), "a": inside & (v == la), "m": inside & (v > la) & (v < lb),
                      "b": inside & (v == lb) & (v > la), "h": inside & (v > lb)}
             for z, c in zones.items():
-                aggs += [F.count_if(c).alias(f"n{z}{j}"), F.min(F.when(c, v)).alias(f"lo{z}{j}"),
-                         F.max(F.when(c, v)).alias(f"hi{z}{j}")]
+                aggs.append(F.count_if(c).alias(f"n{z}{j}"))
+                if z in "lmh":  # the others are the pivots themselves
+                    aggs += [F.min(F.when(c, v)).alias(f"lo{z}{j}"), F.max(F.when(c, v)).alias(f"hi{z}{j}")]
         row = frame.agg(*aggs).first()
         for j, t in enumerate(live):
+            ends = {"a": pivots[j][:1] * 2, "b": pivots[j][1:] * 2,
+                    **{z: (row[f"lo{z}{j}"], row[f"hi{z}{j}"]) for z in "lmh"}}
             for z in "lambh":
                 n = row[f"n{z}{j}"]
                 if t.rank <= t.below + n:
-                    t.lo, t.hi, t.rows = row[f"lo{z}{j}"], row[f"hi{z}{j}"], n
+                    (t.lo, t.hi), t.rows = ends[z], n
                     if t.lo == t.hi:
                         t.value, t.done = t.lo, True
                     break
@@ -116,6 +126,14 @@ def _select(df: DataFrame, series: list[Column], ranks_for: Callable[[int], list
     found: list[dict[int, object]] = [{} for _ in series]
     for t in targets:
         found[t.series][t.rank] = t.value
+    if after:
+        aggs = []
+        for j, (i, k) in enumerate(after):
+            v, before = F.col(f"s{i}"), lit(found[i][k - 1], i)
+            aggs += [F.count_if(v <= before).alias(f"n{j}"), F.min(F.when(v > before, v)).alias(f"v{j}")]
+        row = frame.agg(*aggs).first()
+        for j, (i, k) in enumerate(after):
+            found[i][k] = found[i][k - 1] if row[f"n{j}"] >= k else row[f"v{j}"]
     return found, counts
 
 

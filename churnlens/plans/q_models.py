@@ -6,8 +6,8 @@ sums and orders.  Each query returns those, computed by Spark over all rows of
 the real result.  Both searches run in full, the random one with all its draws
 of the application's space over all folds, all models grown together.
 
-Fitted runs are kept per (Spark application, data folder, kind): the keys that
-only need the winner of a search share it.
+Fitted runs are kept per (Spark application, data folder and its files, kind): the
+keys that only need the winner of a search share it.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from churnlens.plans import training as TR
 from churnlens.plans.medallion import split_from
 from churnlens.plans.oracle import cols, q, with_base
 from churnlens.plans.registry import register
+from churnlens.session import checkpoint_root
 from churnlens.sources import tables as TB
 
 #: The checks write to a database of their own.
@@ -31,8 +32,23 @@ CHECK_TABLES = C.Tables(database="churnlens_check")
 _RUNS: dict = {}
 
 
+def _stamp(spark, sf_dir: str) -> tuple:
+    """Sizes and times of the files a run reads: rewritten tables are fitted anew."""
+    found = []
+    for table in ("customer", "orders", "events"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+        found.append(tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)))
+    return tuple(found)
+
+
+def _check_database(spark) -> None:
+    """The database of the checks, in the shared folder."""
+    TB.ensure_database(spark, CHECK_TABLES.qualified_database, f"{checkpoint_root(spark)}/{CHECK_TABLES.database}")
+
+
 def _run(spark, sf_dir, kind: str) -> TR.ModelRun:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = (spark.sparkContext.applicationId, sf_dir, kind, _stamp(spark, sf_dir))
     if key not in _RUNS:
         fits = {"single": TR.fit_single, "grid": lambda d: TR.run_grid(d, parallelism=6), "random": TR.run_random}
         # Training and hold-out evaluation share the split frame: persisted
@@ -154,7 +170,7 @@ def score_tags_q(spark, sf_dir):
     "CAST(0 AS BIGINT) AS n_without_band FROM split"))
 def scores_roundtrip_q(spark, sf_dir):
     run, tables = _run(spark, sf_dir, "grid"), CHECK_TABLES
-    TB.ensure_database(spark, tables.qualified_database)
+    _check_database(spark)
     name = TB.write_table(TR.score_portfolio(run, _gold(spark, sf_dir)), tables.qualified(tables.scores_grid),
                           tables.fmt, "Churn scores of the Spark-ML boosted trees.")
     back = TB.read_table(spark, name)
@@ -213,6 +229,7 @@ _LOG_ROWS = ([("param", k) for k in ("class_weight_ratio", "maxDepth", "maxIter"
 
 def _logged(spark, sf_dir, kind: str):
     run = _run(spark, sf_dir, kind)
+    _check_database(spark)
     name = TR.append_run_log(spark, run, CHECK_TABLES, extra_metrics=_impact_metrics(spark, run, sf_dir))
     return run, TB.read_table(spark, name)
 

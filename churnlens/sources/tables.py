@@ -16,9 +16,10 @@ def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def ensure_database(spark: SparkSession, database: str) -> None:
-    """``database`` or ``catalog.database``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """``database`` or ``catalog.database``; a new one at ``location``, else in the warehouse."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{place}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
