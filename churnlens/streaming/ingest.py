@@ -37,7 +37,9 @@ def bronze_stream(spark: SparkSession, landing_dir: str, pattern: str = "*",
     Lines are read as text and take their column names from their own file's
     header, which is looked up when the stream starts; a file that arrives
     after that stops the query with an error and is ingested by the next run.
-    Fields are text, like batch bronze.  A field can't span lines."""
+    Fields are text, like batch bronze.  A field can't span lines.  A line in which
+    every field is its column's own name is a header line wherever it stands (files that
+    were put together keep theirs in the middle), so no row of data looks like it."""
     known = headers(spark, landing_dir, pattern, columns)
     width = max((len(h) for h in known.values()), default=1)
     table = spark.createDataFrame([(f, list(h)) for f, h in known.items()], "_file string, _names array<string>")
