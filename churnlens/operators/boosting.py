@@ -371,19 +371,20 @@ class Grown:
 
 def grow(rows: DataFrame, matrices: list[list[str]], fits: list[Fit], positive_weight: list[float],
          growth: Growth = Growth(), label: str = C.TARGET, key: str = "_h", fold: str = "fold",
-         fitted_on: list[int | None] | None = None) -> Grown:
+         fitted_on: list[int | None] | None = None, edges: list[list[list[float]]] | None = None) -> Grown:
     """Grow all ``fits`` on ``rows``.
 
     ``matrices`` are lists of columns of ``rows`` (doubles without nulls); bins
     are quantiles of the rows that matrix i is fitted on (all but fold
-    ``fitted_on[i]``).  ``positive_weight`` is each model's weight of label 1.
+    ``fitted_on[i]``), or the given ``edges`` of every matrix and column (fewer than
+    `max_bins`).  ``positive_weight`` is each model's weight of label 1.
     No rows: models of empty trees.
     """
     spark = rows.sparkSession
     features, run = len(matrices[0]), uuid.uuid4().hex
     fitted_on = fitted_on or [None] * len(matrices)
-    edges = [bin_edges(rows if f is None else rows.filter(F.col(fold) != f), m, growth.max_bins)
-             for m, f in zip(matrices, fitted_on)]
+    edges = edges or [bin_edges(rows if f is None else rows.filter(F.col(fold) != f), m, growth.max_bins)
+                      for m, f in zip(matrices, fitted_on)]
     n = rows.count()
     partitions = max(1, -(-n // growth.rows_per_partition))
     narrow = rows.select(F.col(label).cast("int").alias("label"), F.col(fold).cast("int").alias("fold"),

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from churnlens import config as C
 from churnlens.functions.expressions import risk_band
 from churnlens.operators import attribution as AT
+from churnlens.operators import boosting as BT
 from churnlens.operators import models as M
 from churnlens.operators import scoring as SC
+from churnlens.operators.split import with_hash
 from churnlens.plans import training as TR
 from churnlens.plans.medallion import split_from
 from churnlens.plans.oracle import cols, q, with_base
@@ -123,6 +125,46 @@ def cv_random_q(spark, sf_dir):
     return _checked_search(spark, _run(spark, sf_dir, "random"))
 
 
+#: Columns and bin edges of the single split that SQL finds too.
+STUMP = {"support_calls": list(range(11)), "payment_delay": list(range(0, 45, 5)), "risk_score_flags": list(range(4))}
+_STUMP_EDGES = ", ".join(f"({i}, '{c}', {e})" for i, (c, edges) in enumerate(STUMP.items()) for e in edges)
+_STUMP_VALUES = " UNION ALL ".join(
+    f"SELECT {i} AS i, coalesce({c}, 0) AS v, 0.5 - \"Churn\" AS g FROM train" for i, c in enumerate(STUMP))
+
+
+@register("boosted_stump", with_base("""
+SELECT feature, edge, round(gain, 6) AS gain, round(-0.1 * tl / (hl + 2), 5) AS left_value,
+  round(-0.1 * tr / (hr + 2), 5) AS right_value
+FROM (
+  SELECT *, tl * tl / (hl + 2) + tr * tr / (hr + 2) - t * t / (hl + hr + 2) AS gain,
+    row_number() OVER (ORDER BY tl * tl / (hl + 2) + tr * tr / (hr + 2) - t * t / (hl + hr + 2) DESC, i, edge) AS place
+  FROM (
+    SELECT *, sign(gl) * greatest(abs(gl) - 0.5, 0) AS tl, sign(gr) * greatest(abs(gr) - 0.5, 0) AS tr,
+      sign(gl + gr) * greatest(abs(gl + gr) - 0.5, 0) AS t
+    FROM sums WHERE hl >= 3 AND hr >= 3))
+WHERE place = 1""", f"""
+edges AS (SELECT * FROM (VALUES {_STUMP_EDGES}) e(i, feature, edge)),
+rows_of AS ({_STUMP_VALUES}),
+sums AS (
+  SELECT i, feature, edge, coalesce(sum(g) FILTER (WHERE v <= edge), 0)::DOUBLE AS gl,
+    coalesce(sum(g) FILTER (WHERE v > edge), 0)::DOUBLE AS gr,
+    0.25::DOUBLE * count(*) FILTER (WHERE v <= edge) AS hl, 0.25::DOUBLE * count(*) FILTER (WHERE v > edge) AS hr
+  FROM edges JOIN rows_of USING (i) GROUP BY ALL)"""))
+def boosted_stump_q(spark, sf_dir):
+    """The first split of a boosted model on given bins: column, edge, loss reduction and leaf
+    values, with L1, L2 and least child hessian."""
+    train = with_hash(split_from(spark, sf_dir).filter(F.col("split") == "train"), name=M.ROW_HASH).withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0)).cast("double") for c in STUMP})
+    params = BT.BoostParams(n_estimators=1, max_depth=1, learning_rate=0.1, reg_alpha=0.5, reg_lambda=2.0, min_child_weight=3.0)
+    edges = [[float(e) for e in own] for own in STUMP.values()]
+    grown = BT.grow(train, [list(STUMP)], [BT.Fit(params)], [1.0], edges=[edges])
+    t = grown.trees[0]
+    f, at = int(t.feature[0, 0]), int(t.bin[0, 0])
+    return spark.createDataFrame([(list(STUMP)[f], int(edges[f][at]), round(float(t.gain[0, 0]), 6),
+                                   round(float(t.value[0, 1]), 5), round(float(t.value[0, 2]), 5))],
+                                 "feature string, edge int, gain double, left_value double, right_value double")
+
+
 @register("best_params", f"""
 SELECT CAST({len(_GRID_LABELS)} AS BIGINT) AS n_sets, true AS chosen_is_one, true AS chosen_is_best""")
 def best_params_q(spark, sf_dir):
