@@ -454,7 +454,7 @@ def pack_by_patterns(docs: DataFrame, params: CuttingStock, id_col: str = "doc_i
     sequence_id, offset.
 
     Null or empty text: the end id alone.  Null ids, repeated rows and texts of
-    any length are packed like any row.  Extra columns are ignored; an empty
+    any length are packed like any row; ids are whole numbers, or text of one.  Extra columns are ignored; an empty
     table gives no rows.  Texts are tokenised once, into a written table."""
     p, spark = params, docs.sparkSession
     pieces = stored(token_pieces(docs, p, id_col, text_col), "pieces")

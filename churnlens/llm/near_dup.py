@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup(), id_col: str =
     nothing, kept.  A text of fewer than `width` words is one shingle.  Rows
     that repeat an id and text get equal results; an id with several texts has a
     row for each, linked by its own text; a null id is never linked and is kept
-    with a null component.  Ids are whole numbers or text of one (others are null).  Other columns are ignored; an empty
+    with a null component.  Ids are whole numbers, or text of one (other text
+    is an error).  Other columns are ignored; an empty
     table gives no rows.
     """
     p, spark = params, docs.sparkSession

@@ -271,7 +271,7 @@ def pack_documents(docs: DataFrame, params: Packing, id_col: str = "doc_id", tex
     [, ids], sequence_id, offset.
 
     Null or empty text: the end id alone.  Null ids and repeated rows are
-    packed like any row.  Texts are tokenised once: the pieces are a written
+    packed like any row.  Ids are whole numbers, or text of one.  Texts are tokenised once: the pieces are a written
     table that the histogram, the ranks and the result read."""
     pieces = stored(tokenised_pieces(docs, params, id_col, text_col, with_ids), "pieces")
     return packed(pieces, params).drop("part", "no").withColumnRenamed("id", id_col)
