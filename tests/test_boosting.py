@@ -125,6 +125,36 @@ def test_matrices_and_layout(spark, rows):
     assert not (one.trees[1].feature == 1).any()  # a constant column never splits
 
 
+def jobs_of(spark, group, run):
+    """Spark jobs of ``run()``."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_trees(spark, rows):
+    """Rows that fit a task: models are dealt to tasks, no job a level."""
+    def grow(trees):
+        return B.grow(rows, [["a", "b", "c"]], [B.Fit(B.BoostParams(trees, 3), f) for f in (None, 0, 1)], [1.0] * 3, label="y")
+
+    few, many = (jobs_of(spark, f"trees-{n}", lambda n=n: grow(n)) for n in (2, 12))
+    assert few == many < 12
+
+
+def test_whole_models_equal_levels(spark, rows):
+    """A task that grows whole models gives what the jobs by level give, covers and gains too."""
+    fits = [B.Fit(B.BoostParams(6, d, .2, s, .67, .1, 1.0, 2.0, .1), f) for d, s in ((1, 1.0), (5, .6)) for f in (None, 2)]
+    one, two = (B.grow(rows, [["a", "b", "c"]], fits, [2.5] * len(fits), g, label="y")
+                for g in (B.Growth(), B.Growth(rows_per_partition=100, rows_per_block=50, window=4)))
+    assert one.auc == two.auc
+    for a, b in zip(one.trees, two.trees):
+        for k in B.TREES:
+            assert (getattr(a, k) == getattr(b, k)).all(), k
+
+
 def test_no_rows_one_class_and_ties(spark, rows):
     grown = B.grow(rows.limit(0), [["a", "b", "c"]], [B.Fit(PARAMS[0], 1)], [1.0], label="y")
     assert (grown.trees[0].feature == -1).all() and grown.auc == [None]
