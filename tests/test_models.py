@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from churnlens import config as C
@@ -240,3 +241,30 @@ def test_table_names_of_one_two_and_three_parts(spark):
     TB.write_table(df, "churnlens_one_part_name")
     assert TB.read_table(spark, "churnlens_one_part_name").count() == 3
     assert C.Tables(catalog="spark_catalog", database="d").qualified("t") == "spark_catalog.d.t"
+
+
+def test_folds_are_fitted_at_the_same_time(spark, split_df):
+    """The fits of a search run ``parallelism`` at a time across folds, not fold after fold."""
+    import threading
+
+    together, begun = threading.Barrier(3), []
+
+    class Waiting(GBTClassifier):
+        def _fit(self, rows):
+            begun.append(1)
+            if len(begun) <= 3:
+                together.wait(120)
+            return super()._fit(rows)
+
+    train, *_ = TR.training_frame(split_df)
+    est = Waiting(labelCol=C.TARGET, featuresCol="features", weightCol="classWeight", maxIter=1, maxDepth=1)
+    found = M.cross_validate(M.native_stages, est, [{est.maxDepth: 1}], train, [{"maxDepth": 1}], parallelism=3,
+                             partitions=1)
+    assert len(begun) == 4 and 0 <= found.best["avg_auc"] <= 1
+
+
+def test_no_task_of_a_fit_takes_most_rows():
+    """A fit's rows are dealt to tasks of at most 50,000, whatever their number."""
+    for rows in (1, 12_000, 759_060, 4_554_360):
+        assert rows / TR._partitions(rows, None) <= 50_000
+    assert TR._partitions(12_000, None) == 1 and TR._partitions(12_000, 4) == 4
