@@ -136,9 +136,10 @@ def source_divergence(docs: DataFrame, params: Divergence = Divergence(), text_c
     counts = stored(collapsed(base).mapInArrow(_terms(p), TERMS)
                     .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")),
                     "term_counts")
-    lang_terms = (counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-                  .filter(F.col("docs") >= p.min_docs).drop("docs"))
-    kept = stored(counts.drop("docs").join(lang_terms, ["lang", "term"]), "kept_terms")
+    # One shuffle for a term's sums and the join with them; the rows of a term are its sources.
+    of_term = Window.partitionBy("lang", "term")
+    kept = stored(counts.withColumns({"lang_n": F.sum("n").over(of_term), "lang_docs": F.sum("docs").over(of_term)})
+                  .filter(F.col("lang_docs") >= p.min_docs).select("lang", "term", "source", "n", "lang_n"), "kept_terms")
 
     langs = stored(kept.groupBy("lang").agg(F.sum("n").alias("lang_total"),
                                             F.count_distinct("term").alias("terms")), "langs")
