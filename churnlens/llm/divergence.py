@@ -133,12 +133,11 @@ def source_divergence(docs: DataFrame, params: Divergence = Divergence(), text_c
     importable(spark)
     base = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(a) for c, a in (
         (lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    counts = stored(collapsed(base).mapInArrow(_terms(p), TERMS)
-                    .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")),
-                    "term_counts")
-    # One shuffle for a term's sums and the join with them; the rows of a term are its sources.
+    # One shuffle by term serves its counts, their sums and the filter; the rows of a term are its sources.
     of_term = Window.partitionBy("lang", "term")
-    kept = stored(counts.withColumns({"lang_n": F.sum("n").over(of_term), "lang_docs": F.sum("docs").over(of_term)})
+    kept = stored(collapsed(base).mapInArrow(_terms(p), TERMS).repartition("lang", "term")
+                  .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+                  .withColumns({"lang_n": F.sum("n").over(of_term), "lang_docs": F.sum("docs").over(of_term)})
                   .filter(F.col("lang_docs") >= p.min_docs).select("lang", "term", "source", "n", "lang_n"), "kept_terms")
 
     langs = stored(kept.groupBy("lang").agg(F.sum("n").alias("lang_total"),
