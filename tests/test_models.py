@@ -268,3 +268,18 @@ def test_no_task_of_a_fit_takes_most_rows():
     for rows in (1, 12_000, 759_060, 4_554_360):
         assert rows / TR._partitions(rows, None) <= 50_000
     assert TR._partitions(12_000, None) == 1 and TR._partitions(12_000, 4) == 4
+
+
+def test_fits_read_written_rows(spark, split_df):
+    """The jobs of a fit neither repeat nor carry the plan of the rows, and the folder goes with the fit."""
+    from pyspark.ml import Pipeline
+
+    train, _, n, folder = TR.training_frame(split_df)
+    plan = train._jdf.queryExecution().toString()
+    assert "FileScan" in plan and "InMemory" not in plan and "Exchange" not in plan
+    rows = M._features_of(Pipeline(stages=M.native_stages()).fit(train), train, [C.TARGET, "classWeight"], 2)
+    plan = rows._jdf.queryExecution().toString()
+    assert rows.count() == n and rows.rdd.getNumPartitions() == 2
+    assert "FileScan" not in plan and "Exchange" not in plan
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
