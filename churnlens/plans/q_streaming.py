@@ -12,7 +12,7 @@ from churnlens.plans.medallion import split_from
 from churnlens.plans.oracle import BASE, SILVER_COLS, cols, with_base
 from churnlens.plans.q_silver import _METRICS_SQL
 from churnlens.plans.registry import register
-from churnlens.session import scratch_path
+from churnlens.session import drop_folder, scratch_path, stored
 from churnlens.sources.landing import write_landing
 from churnlens.sources.portfolio import portfolio
 from churnlens.streaming.scoring import read_scores, run_scoring_stream
@@ -71,18 +71,25 @@ def quarantine_replay_metrics_q(spark, sf_dir):
     return _repaired(spark, sf_dir).metrics(spark)
 
 
+def stream_files(rows: int) -> int:
+    """Files of the scored stream, half of them a micro-batch: four, more where one would get over 50,000 rows."""
+    return max(4, -(-rows // TR.ROWS_PER_PARTITION))
+
+
 @register("score_stream", with_base(
     f"SELECT {cols(C.ALL_FEATURES + [C.TARGET])}, true AS as_batch, '{C.MODEL_TAG_GRID}' AS modelo FROM split"))
 def score_stream_q(spark, sf_dir):
     """Gold rows scored in micro-batches by a stored and reloaded model; every row has the batch score."""
-    gold = split_from(spark, sf_dir)
+    gold, folder = stored(split_from(spark, sf_dir), "split")
     root = scratch_path(spark, "score-stream")
-    gold.drop("split", "fold").repartition(4).write.parquet(f"{root}/gold")
+    files = stream_files(gold.count())
+    gold.drop("split", "fold").repartition(files).write.parquet(f"{root}/gold")
     run = TR.fit_single(gold, C.GBTParams(max_iter=C.GRID_MAX_ITER[0], max_depth=C.GRID_MAX_DEPTH[0]))
     scorer = TR.load_run_scorer(TR.save_run(run, f"{root}/model"))
+    drop_folder(spark, folder)
     rows = spark.read.parquet(f"{root}/gold")
     run_scoring_stream(spark, f"{root}/gold", rows.schema, scorer, run.name, f"{root}/scores", f"{root}/checkpoint",
-                       max_files_per_trigger=2)
+                       max_files_per_trigger=-(-files // 2))
     batch = SC.with_band(run.scorer.score(rows)).select(*[F.col(c).alias(f"b_{c}") for c in (
         *C.ALL_FEATURES, C.TARGET, "prob_churn", "nivel_riesgo")])
     got = read_scores(spark, f"{root}/scores")

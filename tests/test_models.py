@@ -283,3 +283,10 @@ def test_fits_read_written_rows(spark, split_df):
     assert "FileScan" not in plan and "Exchange" not in plan
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     assert place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def test_scored_stream_files_follow_the_rows():
+    from churnlens.plans.q_streaming import stream_files
+
+    assert stream_files(0) == stream_files(12_000) == 4
+    assert 4_554_360 / stream_files(4_554_360) <= 50_000
