@@ -276,7 +276,7 @@ def test_fits_read_written_rows(spark, split_df):
 
     train, _, n, folder = TR.training_frame(split_df)
     plan = train._jdf.queryExecution().toString()
-    assert "FileScan" in plan and "InMemory" not in plan and "Exchange" not in plan
+    assert "FileScan" in plan and "InMemoryTableScan" not in plan and "Exchange" not in plan
     rows = M._features_of(Pipeline(stages=M.native_stages()).fit(train), train, [C.TARGET, "classWeight"], 2)
     plan = rows._jdf.queryExecution().toString()
     assert rows.count() == n and rows.rdd.getNumPartitions() == 2
