@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from churnlens.operators import boosting as B
 from churnlens.operators.attribution import leaf_tables, mean_abs_shapley, row_values, shapley_values
 from churnlens.operators.prep import PrepStats
+from churnlens.plans import training as TR
 
 
 def table(n=300, seed=1):
@@ -256,3 +257,16 @@ def test_values_add_up_and_awkward_rows(spark, tmp_path):
     again = B.BoostedScorer.load(spark, model.save(spark, str(tmp_path / "m"))).score(rows).collect()
     assert scored == again and all(0 < r["prob_churn"] < 1 for r in scored)
     assert sum(v for _, v in model.importance()) == pytest.approx(1)
+
+
+def test_attribution_of_few_rows_is_dealt_to_all_cores(spark, monkeypatch):
+    """Rows of one small file would be one task, whatever a row's look-ups cost."""
+    rows, model = scorer(spark)
+    seen = []
+    monkeypatch.setattr(TR.AT, "shapley_values", lambda of, df: seen.append(df) or shapley_values(of, df))
+    got = TR.attribution(TR.ModelRun("tag", "run", model, None, 1.0, None), rows.coalesce(1)).collect()
+    assert seen[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    want = {r["feature"]: r for r in mean_abs_shapley(shapley_values(model, rows)).collect()}
+    assert {r["feature"] for r in got} == set(want)
+    for r in got:
+        assert r["mean_abs_attribution"] == pytest.approx(want[r["feature"]]["mean_abs_attribution"], abs=1e-12)
