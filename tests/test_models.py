@@ -263,6 +263,56 @@ def test_folds_are_fitted_at_the_same_time(spark, split_df):
     assert len(begun) == 4 and 0 <= found.best["avg_auc"] <= 1
 
 
+def test_one_task_fits_of_all_rows_run_beside_the_folds(spark, split_df):
+    """Where a fit is one task, no parameter set waits for the folds to be fitted on all rows."""
+    import threading
+
+    together = threading.Barrier(8)
+
+    class Waiting(GBTClassifier):
+        def _fit(self, rows):
+            together.wait(120)
+            return super()._fit(rows)
+
+    train, _, n, _ = TR.training_frame(split_df)
+    est = Waiting(labelCol=C.TARGET, featuresCol="features", weightCol="classWeight", maxIter=1)
+    maps = [{est.maxDepth: 1}, {est.maxDepth: 2}]
+    labels = [{"maxDepth": 1}, {"maxDepth": 2}]
+    found = M.cross_validate(M.native_stages, est, maps, train, labels, parallelism=8, partitions=1)
+    assert found.model.stages[-1].getOrDefault("maxDepth") == found.best["maxDepth"]
+    assert found.model.transform(train).count() == n
+
+
+def test_compared_models_are_fitted_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    from churnlens.plans import q_models as Q
+
+    together, made = threading.Barrier(2), []
+
+    class Stop(Exception):
+        pass
+
+    def logged(*_):
+        raise Stop
+
+    def fit(rows, **_):
+        together.wait(120)
+        assert rows.count() == 130   # both read the same written rows
+        made.append(1)
+        return TR.ModelRun("tag", str(len(made)), None, None, 1.0, None)
+
+    monkeypatch.setattr(Q, "_RUNS", {})
+    monkeypatch.setattr(TR, "run_grid", fit)
+    monkeypatch.setattr(TR, "run_random", fit)
+    monkeypatch.setattr(TR, "evaluate", lambda run, rows: None)
+    monkeypatch.setattr(Q, "_logged", logged)
+    with pytest.raises(Stop):
+        Q.model_comparison_q(spark, "/root/testdata/sf0.001")
+    assert len(made) == 2 and len(Q._RUNS) == 2
+    assert Q._runs(spark, "/root/testdata/sf0.001", "random", "grid") == list(Q._RUNS.values())[::-1] and len(made) == 2
+
+
 def test_no_task_of_a_fit_takes_most_rows():
     """A fit's rows are dealt to tasks of at most 50,000, whatever their number."""
     for rows in (1, 12_000, 759_060, 4_554_360):
