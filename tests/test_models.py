@@ -313,6 +313,23 @@ def test_compared_models_are_fitted_at_the_same_time(spark, monkeypatch):
     assert Q._runs(spark, "/root/testdata/sf0.001", "random", "grid") == list(Q._RUNS.values())[::-1] and len(made) == 2
 
 
+def test_fold_fits_have_their_share_of_tasks(spark, split_df, monkeypatch):
+    """A fit without a fold has about two thirds of the rows, and so of the tasks, of one on all rows."""
+    seen, features = [], M._features_of
+    monkeypatch.setattr(M, "_features_of", lambda prep, rows, keep, n: seen.append((rows.count(), n)) or features(prep, rows, keep, n))
+    train, _, rows, _ = TR.training_frame(split_df)
+    est = M.gbt(C.GBTParams(max_iter=1, max_depth=1))
+    M.cross_validate(M.native_stages, est, [{est.maxDepth: 1}], train, [{"maxDepth": 1}], partitions=6)
+    assert sorted(n for _, n in seen)[-1] == 6 and all(n <= 5 for own, n in seen if own < rows) and len(seen) == 4
+    assert all(own / n <= rows / 6 for own, n in seen)
+    assert M._share(1, {0: 5, 1: 5, 2: 5}, 0) == M._share(3, {0: 9}, 0) == M._share(3, {}, 0) == 1
+    assert M._share(73, {0: 10, 1: 10, 2: 9, None: 1}, 2) == 49
+
+
+def test_tasks_carry_few_trees():
+    assert M.gbt().getCheckpointInterval() <= 3
+
+
 def test_no_task_of_a_fit_takes_most_rows():
     """A fit's rows are dealt to tasks of at most 50,000, whatever their number."""
     for rows in (1, 12_000, 759_060, 4_554_360):
