@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnlens.operators import boosting as B
+from churnlens.operators import models as M
 from churnlens.operators.attribution import leaf_tables, mean_abs_shapley, row_values, shapley_values
 from churnlens.operators.prep import PrepStats
 from churnlens.plans import training as TR
@@ -156,6 +157,83 @@ def test_whole_models_equal_levels(spark, rows):
             assert (getattr(a, k) == getattr(b, k)).all(), k
 
 
+def test_deep_and_wide_models_equal_levels(spark):
+    """More nodes that split than are compared one by one, node numbers beyond a byte and
+    columns that share a histogram; a matrix of too many cells is not one task's."""
+    wide = spark.createDataFrame(table(6000, 3), SCHEMA).withColumn("d", F.col("_h") % 7)
+    fits = [B.Fit(B.BoostParams(2, 9, .3, s, c, .0, .1, .5, .0), f) for s, c in ((1.0, 1.0), (.8, .75)) for f in (None, 1)]
+    one, two = (B.grow(wide, [["a", "b", "c", "d"]], fits, [1.3] * 4, g, label="y")
+                for g in (B.Growth(), B.Growth(cells_per_partition=20_000, rows_per_block=1500)))
+    assert max((t.feature[0, 63:127] >= 0).sum() for t in one.trees) > B.COMPARED
+    assert one.auc == two.auc
+    for a, b in zip(one.trees, two.trees):
+        for k in B.TREES:
+            assert (getattr(a, k) == getattr(b, k)).all(), k
+
+
+def test_columns_share_histograms():
+    """Fewer passes than columns, and the sums of every column by node all the same."""
+    rng, n = np.random.default_rng(5), 150_000
+    sizes = [64, 3, 2, 2, 40, 2, 11]
+    block = {"bins": np.stack([rng.integers(0, k, n) for k in sizes]).astype(np.uint8), "fold": rng.integers(0, 3, n),
+             "label": rng.integers(0, 2, n), "key": rng.integers(0, 1 << 60, n).astype(np.uint64)}
+    rows = B._Rows.of(block, B.Fit(B.BoostParams(1, 3), 2))
+    assert rows.seen == (block["fold"] != 2).sum()
+    g, h = rng.integers(-2 ** 20, 2 ** 20, rows.seen), rng.integers(0, 2 ** 18, rows.seen)
+    rows.slopes.real, rows.slopes.imag, rows.use[:] = g, h, True
+    rows.node[:] = rng.integers(0, 7, n)
+    columns = np.array([0, 1, 2, 4, 5, 6])
+    own = B._Histograms(rows, columns, 64)
+    assert len(own.packs) <= 3 and sorted(i for p in own.packs for i in p) == list(range(len(columns)))
+    for got, nodes in ((own.of(), [range(7)]), (own.of(np.array([3, 6]), 7), [[3], [6]])):
+        for i, some in enumerate(nodes):
+            mine = np.isin(rows.node[:rows.seen], list(some))
+            for j, c in enumerate(columns):
+                for k, x in enumerate((g, h)):
+                    assert (got[k, i, j] == np.bincount(rows.bins[c, :rows.seen][mine], x[mine], 64)).all()
+
+
+def test_tasks_have_like_work():
+    fits = [B.Fit(B.BoostParams(**d), f, f) for d in M.random_draws() for f in range(3)]
+    work = lambda m: fits[m].params.n_estimators * (fits[m].params.max_depth + 2)
+    groups = B._dealt(fits, 24)
+    assert sorted(m for g in groups for m in g) == list(range(len(fits)))
+    assert all(len({fits[m].matrix for m in g}) == 1 for g in groups) and len(groups) == 24
+    loads = [sum(map(work, g)) for g in groups]
+    assert loads == sorted(loads, reverse=True) and max(loads) < 1.25 * sum(loads) / len(loads)
+
+
+def test_search_fits_only_the_best_draw_on_all_rows(monkeypatch):
+    """A model without a held-out fold is one whose result may be read."""
+    class Stop(Exception):
+        pass
+
+    grown = []
+    stats = PrepStats({"a": 9.0}, {}, {"a": 0.0}, {"a": 1.0}, {})
+
+    def grow(rows, matrices, fits, *args, **kwargs):
+        grown.append(fits)
+        if len(grown) > 1:
+            raise Stop
+        return B.Grown([], [], [[.6, .9, None][f.params.n_estimators // 2] for f in fits])
+
+    class Rows:
+        sparkSession = None
+
+        def filter(self, condition):
+            return self
+
+    monkeypatch.setattr(M, "grow", grow)
+    monkeypatch.setattr(M, "fit_prep", lambda df: stats)
+    monkeypatch.setattr(M, "with_prepared", lambda df, *args: df)
+    monkeypatch.setattr(M, "inheritable_thread_target", lambda spark: lambda f: f)
+    with pytest.raises(Stop):
+        M.boosted_search(Rows(), [{"n_estimators": n} for n in (1, 2, 4)], 1.0)
+    search, refit = grown
+    assert sorted((f.params.n_estimators, f.fold) for f in search) == [(n, f) for n in (1, 2, 4) for f in range(3)]
+    assert [(f.params.n_estimators, f.fold) for f in refit] == [(2, None)]
+
+
 def test_no_rows_one_class_and_ties(spark, rows):
     grown = B.grow(rows.limit(0), [["a", "b", "c"]], [B.Fit(PARAMS[0], 1)], [1.0], label="y")
     assert (grown.trees[0].feature == -1).all() and grown.auc == [None]
