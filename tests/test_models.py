@@ -313,6 +313,33 @@ def test_compared_models_are_fitted_at_the_same_time(spark, monkeypatch):
     assert Q._runs(spark, "/root/testdata/sf0.001", "random", "grid") == list(Q._RUNS.values())[::-1] and len(made) == 2
 
 
+def test_compared_models_score_the_same_written_rows(spark, monkeypatch):
+    """The plan behind the scored rows runs once, not once a model, and the folder goes with the query."""
+    from churnlens.plans import q_models as Q
+
+    seen, want = [], Q._gold(spark, "/root/testdata/sf0.001")
+
+    class Stop(Exception):
+        pass
+
+    def logged(spark, sf_dir, kind, gold):
+        plan = gold._jdf.queryExecution().toString()
+        assert "FileScan" in plan and "Exchange" not in plan
+        assert gold.exceptAll(want).isEmpty() and gold.count() == want.count()
+        seen.append((kind, gold))
+        if len(seen) > 1:
+            raise Stop
+        return TR.ModelRun("tag", "run", None, None, 1.0, None), None
+
+    monkeypatch.setattr(Q, "_runs", lambda *_: [])
+    monkeypatch.setattr(Q, "_logged", logged)
+    with pytest.raises(Stop):
+        Q.model_comparison_q(spark, "/root/testdata/sf0.001")
+    assert [kind for kind, _ in seen] == ["grid", "random"] and seen[0][1] is seen[1][1]
+    place = spark._jvm.org.apache.hadoop.fs.Path(seen[0][1].inputFiles()[0])
+    assert not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def test_fold_fits_have_their_share_of_tasks(spark, split_df, monkeypatch):
     """A fit without a fold has about two thirds of the rows, and so of the tasks, of one on all rows."""
     seen, features = [], M._features_of
